@@ -1,48 +1,35 @@
-"""Functions over arrays of structs, plus text clean-up.
-
-Accessors are plain lambdas (``lambda e: e["stat"]["name"]``) so that the same
-function serves typed structs and VARIANT leaves.
-"""
-
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-Accessor = Callable[[Column], Column]
+"""Arrays of structs, and text clean-up."""
 
 # Unicode white space plus the four ASCII separators that Python's str.split() also drops.
 _WHITE_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
-def slot_order(items: Column, slot: Accessor, value: Accessor) -> Column:
+def slot_order(items: str, slot: str, value: str) -> str:
     """Values ordered by slot; equal slots keep their source order."""
-    tagged = F.transform(
-        items, lambda e, i: F.struct(slot(e).alias("slot"), i.alias("i"), value(e).alias("value"))
-    )
-    return F.transform(F.array_sort(tagged), lambda e: e["value"])
+    tagged = f"transform({items}, (e, i) -> struct({slot} AS slot, i AS i, {value} AS value))"
+    return f"transform(array_sort({tagged}), s -> s.value)"
 
 
-def nested_names(items: Column, value: Accessor) -> Column:
+def nested_names(items: str, value: str) -> str:
     """Values in source order; an empty array stays empty."""
-    return F.transform(items, value)
+    return f"transform({items}, e -> {value})"
 
 
-def distinct_sorted(items: Column, value: Accessor) -> Column:
+def distinct_sorted(items: str, value: str) -> str:
     """Distinct values, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(items, value)))
+    return f"array_sort(array_distinct(transform({items}, e -> {value})))"
 
 
-def first_match(items: Column, matches: Accessor) -> Column:
-    """First element that matches, in array order, else null."""
-    return F.get(F.filter(items, matches), F.lit(0))
+def first_match(items: str, condition: str) -> str:
+    """First element that meets a condition, in array order, else null."""
+    return f"get(filter({items}, e -> {condition}), 0)"
 
 
-def last_match(items: Column, matches: Accessor) -> Column:
-    """Last element that matches, in array order, else null."""
-    return F.try_element_at(F.filter(items, matches), F.lit(-1))
+def last_match(items: str, condition: str) -> str:
+    """Last element that meets a condition, in array order, else null."""
+    return f"try_element_at(filter({items}, e -> {condition}), -1)"
 
 
-def collapse_spaces(text: Column) -> Column:
+def collapse_spaces(text: str) -> str:
     """Runs of white space become one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(text, _WHITE_SPACE, " "))
+    return f"trim(regexp_replace({text}, r'{_WHITE_SPACE}', ' '))"

@@ -1,52 +1,42 @@
 """Resource references: urls, keys and ids."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed value: a resource url ends in /<entity>/<number> with an optional slash.
 # (?U) gives \w and \d their Unicode meaning, (?d) makes only \n a line end.
 KEY_PATTERN = r"(?dU)/([\w-]+)/(\d+)/?$"
 
 
-def parse_key(url: Column) -> Column:
+def parse_key(url: str) -> str:
     """``.../species/6/`` -> ``species:6``; null where the url is no resource url."""
-    entity = F.regexp_extract(url, KEY_PATTERN, 1)
-    number = F.regexp_extract(url, KEY_PATTERN, 2)
-    return F.when(entity != "", F.concat_ws(":", entity, number))
+    entity, number = (f"regexp_extract({url}, r'{KEY_PATTERN}', {i})" for i in (1, 2))
+    return f"CASE WHEN {entity} <> '' THEN concat({entity}, ':', {number}) END"
 
 
-def url_to_key(url: Column) -> Column:
+def url_to_key(url: str) -> str:
     """As :func:`parse_key`, but an unparseable url fails the job."""
-    return F.coalesce(
-        parse_key(url),
-        F.raise_error(F.concat(F.lit("unparseable resource url: "), F.coalesce(url, F.lit("null")))),
-    )
-
-
-def _last_segment(url: Column) -> Column:
-    return F.regexp_extract(url, r"/([^/]+)/*$", 1)
+    message = f"concat('unparseable resource url: ', coalesce({url}, 'null'))"
+    return f"coalesce({parse_key(url)}, raise_error({message}))"
 
 
-def ref_id(url: Column) -> Column:
+def ref_id(url: str) -> str:
     """Trailing path segment as a number; anything else fails the job (ANSI cast)."""
-    return _last_segment(url).cast("bigint")
+    return f"CAST(regexp_extract({url}, '/([^/]+)/*$', 1) AS BIGINT)"
 
 
-def try_ref_id(url: Column) -> Column:
+def try_ref_id(url: str) -> str:
     """Trailing path segment as a number, else null."""
-    return _last_segment(url).try_cast("bigint")
+    return f"TRY_CAST(regexp_extract({url}, '/([^/]+)/*$', 1) AS BIGINT)"
 
 
-def key_entity(key: Column) -> Column:
+def key_entity(key: str = "key") -> str:
     """Entity part of ``entity:id``, up to the first colon."""
-    return F.substring_index(key, ":", 1)
+    return f"substring_index({key}, ':', 1)"
 
 
-def key_id(key: Column) -> Column:
+def key_id(key: str = "key") -> str:
     """Everything after the first colon of ``entity:id``."""
-    return F.get(F.split(key, ":", 2), F.lit(1))
+    return f"get(split({key}, ':', 2), 1)"
 
 
-def key_path(key: Column) -> Column:
+def key_path(key: str = "key") -> str:
     """``entity:id`` -> ``/entity/id``."""
-    return F.concat(F.lit("/"), key_entity(key), F.lit("/"), key_id(key))
+    return f"concat('/', {key_entity(key)}, '/', {key_id(key)})"

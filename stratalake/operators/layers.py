@@ -1,11 +1,12 @@
 """Building the layers, each from the stored layer before."""
 
+import json
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratalake.operators.discovery import new_records
 from stratalake.operators.lineage import FAILED, RUNNING, SUCCESS
@@ -16,6 +17,11 @@ from stratalake.sources.store import Warehouse
 
 LAYERS = ("raw", "staging", "analytics")
 
+_EVENT = (
+    "run_id string, seq int, status string, scope_limit bigint, stages array<string>, "
+    "raw_written bigint, staging_written bigint, error string"
+)
+
 
 def capture(
     warehouse: Warehouse,
@@ -55,7 +61,8 @@ def load(warehouse: Warehouse, on_error: str = "fail") -> dict[str, int]:
 def build_star(warehouse: Warehouse) -> dict[str, int]:
     """Staging -> analytics, every table anew; all of them change in one commit."""
     frames = star(*(warehouse.table(ENTITIES[e].table) for e in ("root", "species", "type", "move")))
-    staged = [warehouse.stage_overwrite(name, rows) for name, rows in frames.items()]
+    with ThreadPoolExecutor(len(frames)) as pool:  # independent jobs: small ones fill the gaps
+        staged = list(pool.map(warehouse.stage_overwrite, frames.keys(), frames.values()))
     warehouse.commit(*staged)
     return {s.table: s.rows for s in staged}
 
@@ -114,20 +121,12 @@ def _record(
     staging: int | None = None,
     error: str | None = None,
 ) -> None:
-    columns = T.StructType(
-        [
-            T.StructField("run_id", T.StringType()),
-            T.StructField("seq", T.IntegerType()),
-            T.StructField("status", T.StringType()),
-            T.StructField("scope_limit", T.LongType()),
-            T.StructField("stages", T.ArrayType(T.StringType())),
-            T.StructField("raw_written", T.LongType()),
-            T.StructField("staging_written", T.LongType()),
-            T.StructField("error", T.StringType()),
-        ]
-    )
-    event = warehouse.spark.createDataFrame(
-        [(run_id, seq, status, limit, stages, raw, staging, error)], columns
+    event = {
+        "run_id": run_id, "seq": seq, "status": status, "scope_limit": limit, "stages": stages,
+        "raw_written": raw, "staging_written": staging, "error": error,
+    }
+    row = warehouse.spark.sql(
+        f"SELECT e.*, current_timestamp() AS at FROM (SELECT from_json(:event, '{_EVENT}') AS e)",
+        args={"event": json.dumps(event)},
     )
-    stamped = event.coalesce(1).withColumn("at", F.current_timestamp())
-    warehouse.append("meta.run_events", stamped)
+    warehouse.append("meta.run_events", row)

@@ -5,11 +5,9 @@ number 5 as "5" and cannot tell a missing key from a null; a VARIANT leaf keeps
 apart, in the same single parse that skips every key the projection does not read.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from stratalake.functions.nested import (
@@ -31,8 +29,8 @@ class FieldRule:
     """One staging column: its value, and what is wrong with its source (null if nothing)."""
 
     name: str
-    value: Callable[[], Column]
-    problem: Callable[[], Column]
+    value: str
+    problem: str
 
 
 @dataclass(frozen=True)
@@ -49,39 +47,32 @@ class EntitySpec:
         return TABLES[self.table].schema
 
 
-# --- reading VARIANT leaves -----------------------------------------------------------
+# --- reading VARIANT leaves; ``d`` is the parsed payload --------------------------------
 
 _KIND = {"bigint": "BIGINT", "string": "STRING", "boolean": "BOOLEAN"}
 
 
-def _at(path: str) -> Column:
-    return F.col(f"d.{path}")
+def _read(leaf: str, dtype: str = "string") -> str:
+    return f"TRY_CAST({leaf} AS {dtype})"
 
 
-def _read(leaf: Column, dtype: str) -> Column:
-    return F.try_variant_get(leaf, "$", dtype)
+def _is(leaf: str, dtype: str = "string") -> str:
+    return f"coalesce(schema_of_variant({leaf}) = '{_KIND[dtype]}', false)"
 
 
-def _text(leaf: Column) -> Column:
-    return _read(leaf, "string")
-
-
-def _leaf_problem(leaf: Column, dtype: str, nullable: bool = False) -> Column:
-    wrong = F.schema_of_variant(leaf) != _KIND[dtype]
-    null = F.lit(None).cast("string") if nullable else F.lit(NULL)
+def _leaf_problem(leaf: str, dtype: str = "string", nullable: bool = False) -> str:
+    null = "NULL" if nullable else f"'{NULL}'"
     return (
-        F.when(leaf.isNull(), MISSING)
-        .when(F.is_variant_null(leaf), null)
-        .when(wrong, WRONG_TYPE)
+        f"CASE WHEN {leaf} IS NULL THEN '{MISSING}' WHEN is_variant_null({leaf}) THEN {null} "
+        f"WHEN NOT {_is(leaf, dtype)} THEN '{WRONG_TYPE}' END"
     )
 
 
-def _is_text(leaf: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(leaf) == "STRING", F.lit(False))
-
-
-def _each_problem(items: Column, ok: Callable[[Column], Column]) -> Column:
-    return F.when(items.isNull(), MISSING).when(~F.forall(items, ok), WRONG_TYPE)
+def _each_problem(items: str, ok: str) -> str:
+    return (
+        f"CASE WHEN {items} IS NULL THEN '{MISSING}' "
+        f"WHEN NOT forall({items}, e -> {ok}) THEN '{WRONG_TYPE}' END"
+    )
 
 
 # --- kinds of column ------------------------------------------------------------------
@@ -89,114 +80,74 @@ def _each_problem(items: Column, ok: Callable[[Column], Column]) -> Column:
 
 def scalar(name: str, dtype: str, path: str | None = None, nullable: bool = False) -> FieldRule:
     """A typed value copied as it is; null stays null."""
-    path = path or name
-    return FieldRule(
-        name,
-        lambda: _read(_at(path), dtype),
-        lambda: _leaf_problem(_at(path), dtype, nullable),
-    )
+    leaf = f"d.{path or name}"
+    return FieldRule(name, _read(leaf, dtype), _leaf_problem(leaf, dtype, nullable))
 
 
 def reference(name: str, path: str) -> FieldRule:
     """Number at the end of a required url."""
+    leaf = f"d.{path}"
+    value = try_ref_id(_read(leaf))
+    no_number = f"CASE WHEN {value} IS NULL THEN '{WRONG_TYPE}' END"
+    return FieldRule(name, value, f"coalesce({_leaf_problem(leaf)}, {no_number})")
 
-    def problem() -> Column:
-        bad = F.when(try_ref_id(_text(_at(path))).isNull(), WRONG_TYPE)
-        return F.coalesce(_leaf_problem(_at(path), "string"), bad)
 
-    return FieldRule(name, lambda: try_ref_id(_text(_at(path))), problem)
-
-
-def _optional(path: str, leaf: str) -> tuple[Column, Column]:
-    """Leaf below a parent that may be null or empty, and what is wrong with the pair."""
-    parent = _at(path)
-    child = F.try_variant_get(parent, f"$.{leaf}", "variant")
-    kind = F.schema_of_variant(parent)
-    absent = F.is_variant_null(parent) | (kind == "OBJECT<>")
+def _optional(path: str, leaf: str) -> tuple[str, str]:
+    """Text below a parent that may be null or empty, and what is wrong with the pair."""
+    parent = f"d.{path}"
+    child = f"try_variant_get({parent}, '$.{leaf}', 'variant')"
+    absent = f"(is_variant_null({parent}) OR schema_of_variant({parent}) = 'OBJECT<>')"
     problem = (
-        F.when(parent.isNull(), MISSING)
-        .when(absent, F.lit(None).cast("string"))
-        .when(~kind.startswith("OBJECT"), WRONG_TYPE)
-        .otherwise(_leaf_problem(child, "string"))
+        f"CASE WHEN {parent} IS NULL THEN '{MISSING}' WHEN {absent} THEN NULL "
+        f"WHEN NOT startswith(schema_of_variant({parent}), 'OBJECT') THEN '{WRONG_TYPE}' "
+        f"ELSE {_leaf_problem(child)} END"
     )
-    return F.when(~absent, _text(child)), problem
+    return f"CASE WHEN NOT {absent} THEN {_read(child)} END", problem
 
 
 def optional_text(name: str, path: str, leaf: str) -> FieldRule:
     """Text below an optional parent; no parent gives null."""
-    return FieldRule(name, lambda: _optional(path, leaf)[0], lambda: _optional(path, leaf)[1])
+    return FieldRule(name, *_optional(path, leaf))
 
 
 def optional_reference(name: str, path: str) -> FieldRule:
     """Number at the end of the url of an optional parent; no parent gives null."""
+    url, problem = _optional(path, "url")
+    value = try_ref_id(url)
+    no_number = f"CASE WHEN ({url}) IS NOT NULL AND {value} IS NULL THEN '{WRONG_TYPE}' END"
+    return FieldRule(name, value, f"coalesce({problem}, {no_number})")
 
-    def problem() -> Column:
-        url, wrong = _optional(path, "url")
-        return F.coalesce(wrong, F.when(url.isNotNull() & try_ref_id(url).isNull(), WRONG_TYPE))
-
-    return FieldRule(name, lambda: try_ref_id(_optional(path, "url")[0]), problem)
 
-
-def names(name: str, path: str, inner: str | None = None, distinct: bool = False) -> FieldRule:
+def names(name: str, path: str, leaf: str = "e.name", distinct: bool = False) -> FieldRule:
     """Names of an array of references: in source order, or distinct and sorted."""
+    pick = distinct_sorted if distinct else nested_names
+    return FieldRule(name, pick(f"d.{path}", _read(leaf)), _each_problem(f"d.{path}", _is(leaf)))
 
-    def leaf(e: Column) -> Column:
-        return e[inner]["name"] if inner else e["name"]
-
-    def value() -> Column:
-        pick = distinct_sorted if distinct else nested_names
-        return pick(_at(path), lambda e: _text(leaf(e)))
-
-    return FieldRule(name, value, lambda: _each_problem(_at(path), lambda e: _is_text(leaf(e))))
 
-
-def slots(name: str, path: str, inner: str) -> FieldRule:
+def slots(name: str, path: str, leaf: str) -> FieldRule:
     """Names of an array of references, ordered by slot."""
-
-    def value() -> Column:
-        return slot_order(
-            _at(path), lambda e: _read(e["slot"], "bigint"), lambda e: _text(e[inner]["name"])
-        )
-
-    def ok(e: Column) -> Column:
-        slot_ok = F.coalesce(F.schema_of_variant(e["slot"]) == "BIGINT", F.lit(False))
-        return slot_ok & _is_text(e[inner]["name"])
-
-    return FieldRule(name, value, lambda: _each_problem(_at(path), ok))
+    value = slot_order(f"d.{path}", _read("e.slot", "bigint"), _read(leaf))
+    ok = f"{_is('e.slot', 'bigint')} AND {_is(leaf)}"
+    return FieldRule(name, value, _each_problem(f"d.{path}", ok))
 
 
 def stat(name: str, stat_name: str) -> FieldRule:
     """One named entry of the stats array as a column; of equal names the last one counts."""
-
-    def leaf() -> Column:
-        return last_match(_at("stats"), lambda e: _text(e["stat"]["name"]) == stat_name)["base_stat"]
-
-    return FieldRule(
-        name, lambda: _read(leaf(), "bigint"), lambda: _leaf_problem(leaf(), "bigint")
-    )
+    leaf = f"{last_match('d.stats', f"{_read('e.stat.name')} = '{stat_name}'")}.base_stat"
+    return FieldRule(name, _read(leaf, "bigint"), _leaf_problem(leaf, "bigint"))
 
 
 def first_text_in(name: str, path: str, language: str) -> FieldRule:
     """Text of the first entry in a language, white space collapsed; none gives null."""
-
-    def leaf() -> Column:
-        hit = first_match(_at(path), lambda e: _text(e["language"]["name"]) == language)
-        return hit["flavor_text"]
-
-    def problem() -> Column:
-        # entries before the first match must name a language; after it nothing is read
-        unnamed = first_match(
-            _at(path),
-            lambda e: ~_is_text(e["language"]["name"])
-            | (_text(e["language"]["name"]) == language),
-        )
-        return (
-            F.when(_at(path).isNull(), MISSING)
-            .when(unnamed.isNotNull() & ~_is_text(unnamed["language"]["name"]), WRONG_TYPE)
-            .when(unnamed.isNotNull() & ~_is_text(unnamed["flavor_text"]), WRONG_TYPE)
-        )
-
-    return FieldRule(name, lambda: collapse_spaces(_text(leaf())), problem)
+    items, spoken = f"d.{path}", f"{_read('e.language.name')} = '{language}'"
+    text = f"{first_match(items, spoken)}.flavor_text"
+    # entries before the first match must name a language; after it nothing is read
+    stop = first_match(items, f"NOT {_is('e.language.name')} OR {spoken}")
+    bad = f"s IS NOT NULL AND NOT ({_is('s.language.name')} AND {_is('s.flavor_text')})"
+    # the one-element transform names the entry, so it is searched for once
+    named = f"get(transform(array({stop}), s -> CASE WHEN {bad} THEN '{WRONG_TYPE}' END), 0)"
+    problem = f"CASE WHEN {items} IS NULL THEN '{MISSING}' ELSE {named} END"
+    return FieldRule(name, collapse_spaces(_read(text)), problem)
 
 
 # --- the four entities ----------------------------------------------------------------
@@ -227,9 +178,9 @@ ROOT = EntitySpec(
         scalar("order", "bigint"),
         scalar("is_default", "boolean"),
         reference("species_id", "species.url"),
-        slots("types", "types", "type"),
-        slots("abilities", "abilities", "ability"),
-        names("moves", "moves", inner="move", distinct=True),
+        slots("types", "types", "e.type.name"),
+        slots("abilities", "abilities", "e.ability.name"),
+        names("moves", "moves", "e.move.name", distinct=True),
         scalar("sprite_front_default", "string", "sprites.front_default", nullable=True),
         scalar("sprite_back_default", "string", "sprites.back_default", nullable=True),
         stat("hp", "hp"),
@@ -322,44 +273,37 @@ ENTITIES: dict[str, EntitySpec] = {s.entity: s for s in (ROOT, SPECIES, TYPE, MO
 def checked(payloads: DataFrame, spec: EntitySpec) -> DataFrame:
     """(key, payload) -> key, payload, the staging columns, and the list of ``problems``."""
     corrupt = "_malformed"
-    document = F.from_json(
-        "payload", f"{spec.payload}, {corrupt} string", {"columnNameOfCorruptRecord": corrupt}
+    document = (
+        f"from_json(payload, '{spec.payload}, {corrupt} string', "
+        f"map('columnNameOfCorruptRecord', '{corrupt}'))"
     )
     # explode of one element: without it the filter on the problems is pushed below this
     # select, and with it a copy of the parse for every field the filter looks at
-    parsed = payloads.select("key", "payload", F.explode(F.array(document)).alias("d"))
-    found = [
-        F.when(p.isNotNull(), F.concat(F.lit(f"{f.name}: "), p))
-        for f in spec.fields
-        for p in [f.problem()]
-    ]
-    broken = F.when(
-        F.col("d").isNull() | F.col(f"d.{corrupt}").isNotNull(), F.lit(f"payload: {MALFORMED}")
-    )
-    return parsed.select(
+    parsed = payloads.selectExpr("key", "payload", f"explode(array({document})) AS d")
+    broken = f"CASE WHEN d IS NULL OR d.{corrupt} IS NOT NULL THEN 'payload: {MALFORMED}' END"
+    found = [f"concat('{f.name}: ', {f.problem})" for f in spec.fields]
+    return parsed.selectExpr(
         "key",
         "payload",
-        *[f.value().alias(f.name) for f in spec.fields],
-        F.array_compact(F.array(broken, *found)).alias("problems"),
+        *[f"{f.value} AS `{f.name}`" for f in spec.fields],
+        f"array_compact(array({', '.join([broken, *found])})) AS problems",
     )
 
 
 def accepted(rows: DataFrame) -> DataFrame:
     """Rows without a problem."""
-    return rows.where(F.size("problems") == 0).drop("problems", "payload")
+    return rows.where("size(problems) = 0").drop("problems", "payload")
 
 
 def rejected(rows: DataFrame) -> DataFrame:
     """Rows with a problem: key, payload, problems."""
-    return rows.where(F.size("problems") > 0).select("key", "payload", "problems")
+    return rows.where("size(problems) > 0").select("key", "payload", "problems")
 
 
 def all_accepted(rows: DataFrame) -> DataFrame:
     """All rows; the first one with a problem fails the job, and with it the whole write."""
-    message = F.concat(
-        F.lit("invalid payload "), F.col("key"), F.lit(": "), F.array_join("problems", "; ")
-    )
-    ok = F.when(F.size("problems") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    message = "concat('invalid payload ', key, ': ', array_join(problems, '; '))"
+    ok = f"CASE WHEN size(problems) > 0 THEN CAST(raise_error({message}) AS BOOLEAN) ELSE true END"
     return rows.where(ok).drop("problems", "payload")
 
 

@@ -1,9 +1,9 @@
 """Payload files on shared storage, and the envelope they are captured in."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.functions.refs import key_entity
+from stratalake.functions.refs import key_entity, key_id
 
 # <entity>/<id>.json, or the same two names as Spark's own partition folders
 PLAIN_TREE = r"/([\w-]+)/(\d+)\.json$"
@@ -11,15 +11,11 @@ PARTITIONED_TREE = r"/entity_type=([\w-]+)/id=(\d+)/[^/]+$"
 
 
 def _keyed(files: DataFrame, pattern: str) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    entity = F.regexp_extract(path, pattern, 1)
-    bad_path = F.raise_error(F.concat(F.lit("no entity and id in path: "), path))
-    return files.select(
-        F.when(entity != "", F.concat_ws(":", entity, F.regexp_extract(path, pattern, 2)))
-        .otherwise(bad_path)
-        .alias("key"),
-        F.col("value").alias("payload"),
-    )
+    path = "_metadata.file_path"
+    entity, number = (f"regexp_extract({path}, r'{pattern}', {i})" for i in (1, 2))
+    bad_path = f"raise_error(concat('no entity and id in path: ', {path}))"
+    key = f"CASE WHEN {entity} <> '' THEN concat({entity}, ':', {number}) ELSE {bad_path} END"
+    return files.selectExpr(f"{key} AS key", "value AS payload")
 
 
 def landing_scan(spark: SparkSession, path: str, pattern: str = PLAIN_TREE) -> DataFrame:
@@ -36,28 +32,23 @@ def landing_stream(spark: SparkSession, path: str, pattern: str = PLAIN_TREE) ->
 def write_landing(payloads: DataFrame, path: str) -> None:
     """Lay payloads out one per file, in partition folders (see PARTITIONED_TREE)."""
     (
-        payloads.select(
-            F.col("payload").alias("value"),
-            key_entity(F.col("key")).alias("entity_type"),
-            F.substring_index("key", ":", -1).alias("id"),
+        payloads.selectExpr(
+            "payload AS value", f"{key_entity()} AS entity_type", f"{key_id()} AS id"
         )
         .write.partitionBy("entity_type", "id")
         .text(path)
     )
 
 
-def encode_payload(document: Column) -> Column:
+def encode_payload(document: str) -> str:
     """Document -> JSON text; null fields are kept, since a missing key means an error later."""
-    return F.to_json(document, {"ignoreNullFields": "false"})
+    return f"to_json({document}, map('ignoreNullFields', 'false'))"
 
 
 def envelope(payloads: DataFrame) -> DataFrame:
     """(key, payload) -> raw record."""
-    return payloads.select(
-        "key",
-        key_entity(F.col("key")).alias("entity_type"),
-        "payload",
-        F.current_timestamp().alias("fetched_at"),
+    return payloads.selectExpr(
+        "key", f"{key_entity()} AS entity_type", "payload", "current_timestamp() AS fetched_at"
     )
 
 
@@ -73,13 +64,12 @@ def existing_keys(raw: DataFrame) -> DataFrame:
 
 def root_scope(payload_keys: DataFrame, entity: str, limit: int | None = None) -> DataFrame:
     """Keys of the root entities in scope: the first ``limit`` by id, or all of them."""
-    roots = payload_keys.where(key_entity(F.col("key")) == entity).select("key")
+    roots = payload_keys.where(f"{key_entity()} = '{entity}'").select("key")
     if limit is None:
         return roots
-    return roots.orderBy(F.substring_index("key", ":", -1).cast("bigint")).limit(limit)
+    return roots.orderBy(F.expr(f"CAST({key_id()} AS BIGINT)")).limit(limit)
 
 
 def fixed_keys(spark: SparkSession, entity: str, n: int, first: int = 1) -> DataFrame:
     """Keys of an entity whose ids are the fixed range first .. first + n - 1."""
-    ids = spark.range(first, first + n)
-    return ids.select(F.concat_ws(":", F.lit(entity), F.col("id")).alias("key"))
+    return spark.range(first, first + n).selectExpr(f"concat('{entity}:', id) AS key")

@@ -23,8 +23,20 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def tune(spark: SparkSession) -> None:
-    """Runtime settings every plan here counts on: AQE, splitting of skewed joins."""
+    """Runtime settings every plan here counts on.
+
+    AQE with splitting of skewed joins, also where that costs a further shuffle. Shuffled
+    partitions may be as small as 256 KB: payloads are built from and parsed out of few
+    bytes with much computing, so cores matter more than partition size.
+    """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")

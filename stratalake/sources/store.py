@@ -5,18 +5,22 @@ folders is appended to the log, so a failed or lost job leaves it as it was, a p
 may read the table it replaces, and several tables can change at once.
 """
 
+import json
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.upsert import latest, merge_rows
 from stratalake.plans.tables import TABLES, conform
+from stratalake.sources.shared import path_exists
 
 _LOG = "seq bigint, table string, folders array<string>, rows bigint"
+_LOG_FIELDS = "seq:bigint,table:string,folders:array<string>,rows:bigint"
 
 
 @dataclass(frozen=True)
@@ -37,12 +41,9 @@ class Warehouse:
         self._folders, self._seq = self._read_log()
 
     def _read_log(self) -> tuple[dict[str, list[str]], int]:
-        try:
-            log = self.spark.read.schema(_LOG).json(f"{self.path}/_log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.path}/_log"):
             return {}, 0
+        log = self.spark.read.schema(_LOG).json(f"{self.path}/_log")
         # one line per table of the catalogue
         current = log.groupBy("table").agg(F.max(F.struct("seq", "folders")).alias("c")).collect()
         return (
@@ -52,38 +53,41 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """Current content, in the declared columns; empty if never written."""
-        spec = TABLES[name]
         folders = self._folders.get(name)
         if not folders:
-            return self.spark.createDataFrame([], spec.schema)
-        read = self.spark.read.schema(spec.schema).parquet(*folders)
-        return read.select([F.col(f"`{c}`") for c in spec.schema.names])
+            return self.spark.createDataFrame([], TABLES[name].schema)
+        return self._read(name, folders)
+
+    def _base(self, name: str) -> str:
+        return f"{self.path}/{name.replace('.', '/')}"
 
     def is_written(self, name: str) -> bool:
         return bool(self._folders.get(name))
 
-    def _stage(self, name: str, rows: DataFrame, counted: DataFrame | None = None) -> Staged:
+    def _stage(self, name: str, rows: DataFrame) -> Staged:
         spec = TABLES[name]
-        folder = f"{self.path}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
+        folder = f"{self._base(name)}/part_of={uuid.uuid4().hex}"
         seen = Observation()
-        if counted is None:
-            out = conform(rows, spec.schema).observe(seen, F.count(F.lit(1)).alias("rows"))
-        else:
-            counted = conform(counted, spec.schema)
-            out = conform(rows, spec.schema).unionByName(
-                counted.observe(seen, F.count(F.lit(1)).alias("rows"))
-            )
-        writer = out.write
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(folder)
+        out = conform(rows, spec.schema).observe(seen, F.count(F.lit(1)).alias("rows"))
+        out.write.partitionBy(*spec.partition_by).parquet(folder)
         return Staged(name, (folder,), seen.get["rows"])
 
+    def _read(self, name: str, folders: Iterable[str]) -> DataFrame:
+        spec = TABLES[name]
+        read = self.spark.read.schema(spec.schema).option("basePath", self._base(name))
+        return read.parquet(*folders).select([F.col(f"`{c}`") for c in spec.schema.names])
+
     def commit(self, *staged: Staged) -> None:
         """Make written folders current, all of them in one log append."""
         self._seq += 1
-        lines = [(self._seq, s.table, list(s.folders), s.rows) for s in staged]
-        log = self.spark.createDataFrame(lines, _LOG).coalesce(1)
+        lines = [
+            {"seq": self._seq, "table": s.table, "folders": s.folders, "rows": s.rows}
+            for s in staged
+        ]
+        log = self.spark.sql(
+            f"SELECT inline(from_json(:lines, 'array<struct<{_LOG_FIELDS}>>'))",
+            args={"lines": json.dumps(lines)},
+        )
         log.write.mode("append").json(f"{self.path}/_log")
         self._folders.update({s.table: list(s.folders) for s in staged})
 
@@ -114,21 +118,25 @@ class Warehouse:
         key = TABLES[name].key
         if seq is not None:
             batch = latest(batch, key, seq).drop(seq)
-        if not self.is_written(name):
-            staged = self._stage(name, batch)
-        else:
-            kept = merge_rows(self.table(name), batch, key)
-            staged = self._stage(name, kept, counted=batch)
-        if staged.rows:
-            self.commit(staged)
-        return staged.rows
+        new = self._stage(name, batch)
+        if not new.rows:
+            return 0
+        folders = new.folders
+        if self.is_written(name):
+            # the batch is computed once; only the keys of its stored rows are read back
+            kept = merge_rows(self.table(name), self._read(name, new.folders), key)
+            old = self._stage(name, kept)
+            if old.rows:
+                folders = (*new.folders, *old.folders)
+        self.commit(Staged(name, folders, new.rows))
+        return new.rows
 
     def ensure(self) -> None:
         """Give every declared table a stored, empty version unless it has one."""
         missing = [n for n in TABLES if not self.is_written(n)]
         if missing:
-            empty = [self.spark.createDataFrame([], TABLES[n].schema) for n in missing]
-            self.commit(*(self._stage(n, e) for n, e in zip(missing, empty, strict=True)))
+            with ThreadPoolExecutor(len(missing)) as pool:
+                self.commit(*pool.map(lambda n: self._stage(n, self.table(n)), missing))
 
 
 def row_counts(warehouse: Warehouse, names: list[str]) -> DataFrame:

@@ -80,7 +80,7 @@ def q_landing_scan(layers: Layers) -> DataFrame:
     files = landing_scan(layers.spark, _documents_on_disk(layers), PARTITIONED_TREE)
     return files.select(
         "key",
-        key_entity(F.col("key")).alias("entity"),
+        F.expr(key_entity()).alias("entity"),
         F.get_json_object("payload", "$.id").cast("bigint").alias("id"),
     )
 
@@ -124,7 +124,8 @@ def q_raw_envelope(layers: Layers) -> DataFrame:
 )
 def q_payload_roundtrip(layers: Layers) -> DataFrame:
     suppliers = layers.tables.supplier
-    text = suppliers.select(encode_payload(F.struct(*suppliers.columns)).alias("payload"))
+    document = f"struct({', '.join(suppliers.columns)})"
+    text = suppliers.selectExpr(f"{encode_payload(document)} AS payload")
     return text.select(F.from_json("payload", suppliers.schema).alias("d")).select("d.*")
 
 
@@ -301,7 +302,7 @@ def q_closure_check(layers: Layers) -> DataFrame:
         FROM pages WHERE regexp_matches(url, '/([\w-]+)/(\d+)/?$')""",
 )
 def q_url_to_key(layers: Layers) -> DataFrame:
-    keyed = layers.tables.pages.select("page_id", "url", parse_key(F.col("url")).alias("key"))
+    keyed = layers.tables.pages.select("page_id", "url", F.expr(parse_key("url")).alias("key"))
     return keyed.where(F.col("key").isNotNull())
 
 
@@ -310,7 +311,7 @@ def q_url_to_key(layers: Layers) -> DataFrame:
     r"SELECT page_id, url FROM pages WHERE NOT regexp_matches(url, '/([\w-]+)/(\d+)/?$')",
 )
 def q_url_to_key_rejects(layers: Layers) -> DataFrame:
-    keyed = layers.tables.pages.select("page_id", "url", parse_key(F.col("url")).alias("key"))
+    keyed = layers.tables.pages.select("page_id", "url", F.expr(parse_key("url")).alias("key"))
     return keyed.where(F.col("key").isNull()).drop("key")
 
 
@@ -320,7 +321,6 @@ def q_url_to_key_rejects(layers: Layers) -> DataFrame:
                concat('/', replace(key, ':', '/')) AS path FROM ({_ALL_KEYS})""",
 )
 def q_key_split(layers: Layers) -> DataFrame:
-    key = F.col("key")
-    return layers.raw.select(
-        "key", key_entity(key).alias("entity"), key_id(key).alias("id"), key_path(key).alias("path")
+    return layers.raw.selectExpr(
+        "key", f"{key_entity()} AS entity", f"{key_id()} AS id", f"{key_path()} AS path"
     )

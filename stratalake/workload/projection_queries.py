@@ -1,6 +1,6 @@
 """Projection functions, entity projections and the gate."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.nested import (
@@ -35,11 +35,11 @@ _REF = "struct<name:string,url:string>"
 
 def _parsed(layers: Layers, entity: str, ddl: str) -> DataFrame:
     payloads = raw_by_entity(layers.raw, entity)
-    return payloads.select(F.explode(F.array(F.from_json("payload", ddl))).alias("d")).select("d.*")
+    return payloads.selectExpr(f"explode(array(from_json(payload, '{ddl}'))) AS d").select("d.*")
 
 
-def _joined(column: str | Column) -> Column:
-    return F.array_join(column, ",")
+def _joined(names: str, alias: str) -> str:
+    return f"array_join({names}, ',') AS {alias}"
 
 
 # --- functions ------------------------------------------------------------------------
@@ -48,7 +48,7 @@ def _joined(column: str | Column) -> Column:
 @query("ref_id", "SELECT id, supp AS species_id FROM u_root")
 def q_ref_id(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "root", f"id bigint, species {_REF}")
-    return rows.select("id", ref_id(F.col("species.url")).alias("species_id"))
+    return rows.selectExpr("id", f"{ref_id('species.url')} AS species_id")
 
 
 @query(
@@ -58,19 +58,18 @@ def q_ref_id(layers: Layers) -> DataFrame:
 )
 def q_slot_order(layers: Layers) -> DataFrame:
     ddl = f"id bigint, types array<struct<slot:int,type:{_REF}>>, abilities array<struct<slot:int,ability:{_REF}>>"
-    rows = _parsed(layers, "root", ddl)
-    return rows.select(
+    return _parsed(layers, "root", ddl).selectExpr(
         "id",
-        _joined(slot_order(F.col("types"), lambda e: e["slot"], lambda e: e["type"]["name"])).alias("types"),
-        _joined(slot_order(F.col("abilities"), lambda e: e["slot"], lambda e: e["ability"]["name"])).alias("abilities"),
-    )
+        _joined(slot_order("types", "e.slot", "e.type.name"), "types"),
+        _joined(slot_order("abilities", "e.slot", "e.ability.name"), "abilities"),
+    )
 
 
 @query("nested_names", "SELECT id, egg_groups, len(egg_groups) = 0 AS is_empty FROM u_species")
 def q_nested_names(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "species", f"id bigint, egg_groups array<{_REF}>")
-    names = nested_names(F.col("egg_groups"), lambda e: e["name"])
-    return rows.select("id", _joined(names).alias("egg_groups"), (F.size(names) == 0).alias("is_empty"))
+    names = nested_names("egg_groups", "e.name")
+    return rows.selectExpr("id", _joined(names, "egg_groups"), f"size({names}) = 0 AS is_empty")
 
 
 @query(
@@ -81,8 +80,8 @@ def q_nested_names(layers: Layers) -> DataFrame:
 )
 def q_distinct_sorted(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "root", f"id bigint, moves array<struct<move:{_REF}>>")
-    names = distinct_sorted(F.col("moves"), lambda e: e["move"]["name"])
-    return rows.select("id", F.size(names).cast("bigint").alias("n"), _joined(names).alias("moves"))
+    names = rows.selectExpr("id", f"{distinct_sorted('moves', 'e.move.name')} AS names")
+    return names.selectExpr("id", "CAST(size(names) AS BIGINT) AS n", _joined("names", "moves"))
 
 
 @query(
@@ -100,16 +99,14 @@ def q_first_match(layers: Layers) -> DataFrame:
     turns = firsts.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("first.turn", "role", "first.text"))).alias("turns")
     )
-    return turns.select(
-        "conv_id",
-        first_match(F.col("turns"), lambda e: e["role"] == "assistant")["turn"].alias("first_answer"),
-        first_match(F.col("turns"), lambda e: e["role"] == "system")["text"].alias("instruction"),
-    )
+    answer = first_match("turns", "e.role = 'assistant'")
+    instruction = first_match("turns", "e.role = 'system'")
+    return turns.selectExpr("conv_id", f"{answer}.turn AS first_answer", f"{instruction}.text AS instruction")
 
 
 @query("ws_collapse", r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM documents")
 def q_ws_collapse(layers: Layers) -> DataFrame:
-    return layers.tables.documents.select("doc_id", collapse_spaces(F.col("text")).alias("text"))
+    return layers.tables.documents.selectExpr("doc_id", f"{collapse_spaces('text')} AS text")
 
 
 @query(
@@ -118,34 +115,30 @@ def q_ws_collapse(layers: Layers) -> DataFrame:
 )
 def q_stat_pivot(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "root", f"id bigint, stats array<struct<base_stat:bigint,stat:{_REF}>>")
-
-    def stat(name: str) -> Column:
-        hit = last_match(F.col("stats"), lambda e: e["stat"]["name"] == name)
-        return hit["base_stat"].alias(name.replace("-", "_"))
-
     names = ["hp", "attack", "defense", "special-attack", "special-defense", "speed"]
-    return rows.select("id", *[stat(n) for n in names])
+    stats = {n.replace("-", "_"): last_match("stats", f"e.stat.name = '{n}'") for n in names}
+    return rows.selectExpr("id", *[f"{hit}.base_stat AS {c}" for c, hit in stats.items()])
 
 
 @query("nested_path", "SELECT id, growth_rate, color, generation_id FROM u_species")
 def q_nested_path(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "species", f"id bigint, growth_rate {_REF}, color {_REF}, generation {_REF}")
-    return rows.select(
+    return rows.selectExpr(
         "id",
-        F.col("growth_rate.name").alias("growth_rate"),
-        F.col("color.name").alias("color"),
-        ref_id(F.col("generation.url")).alias("generation_id"),
+        "growth_rate.name AS growth_rate",
+        "color.name AS color",
+        f"{ref_id('generation.url')} AS generation_id",
     )
 
 
 @query("optional_path", "SELECT id, shape, habitat, evolves_from_id FROM u_species")
 def q_optional_path(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "species", f"id bigint, shape {_REF}, habitat {_REF}, evolves_from_species {_REF}")
-    return rows.select(
+    return rows.selectExpr(
         "id",
-        F.col("shape.name").alias("shape"),
-        F.col("habitat.name").alias("habitat"),
-        ref_id(F.col("evolves_from_species.url")).alias("evolves_from_id"),
+        "shape.name AS shape",
+        "habitat.name AS habitat",
+        f"{ref_id('evolves_from_species.url')} AS evolves_from_id",
     )
 
 
@@ -157,21 +150,25 @@ def q_null_preserved(layers: Layers) -> DataFrame:
 
 @query(
     "column_order",
-    """SELECT id, name, "order", is_default_position FROM
-       (SELECT id, name, "order", 7 AS is_default_position FROM u_species)""",
+    """SELECT id, name, "order", 7 AS is_legendary_position FROM u_species""",
 )
 def q_column_order(layers: Layers) -> DataFrame:
     spec = ENTITIES["species"]
     rows = project(raw_by_entity(layers.raw, "species"), spec)
-    shuffled = rows.select(sorted(rows.columns, reverse=True))
+    shuffled = rows.select([F.col(f"`{c}`") for c in sorted(rows.columns, reverse=True)])
     ordered = conform(shuffled, spec.schema)
     position = ordered.columns.index("is_legendary") + 1
-    return ordered.select("id", "name", "`order`", F.lit(position).alias("is_default_position"))
+    return ordered.select("id", "name", "`order`", F.lit(position).alias("is_legendary_position"))
 
 
 # --- entities -------------------------------------------------------------------------
 
 
+def _lists_joined(rows: DataFrame) -> DataFrame:
+    lists = [f.name for f in rows.schema if f.dataType.typeName() == "array"]
+    return rows.withColumns({c: F.array_join(c, ",") for c in lists})
+
+
 @query(
     "stage_root",
     """SELECT r.id, r.name, height, weight, CASE WHEN balance >= 0 THEN weight END AS base_experience,
@@ -188,13 +185,13 @@ def q_column_order(layers: Layers) -> DataFrame:
 )
 def q_stage_root(layers: Layers) -> DataFrame:
     rows = project(raw_by_entity(layers.raw, "root"), ENTITIES["root"])
-    return rows.withColumns({c: _joined(c) for c in ("types", "abilities", "moves")})
+    return _lists_joined(rows)
 
 
 @query("stage_species", "SELECT * FROM u_species")
 def q_stage_species(layers: Layers) -> DataFrame:
     rows = project(raw_by_entity(layers.raw, "species"), ENTITIES["species"])
-    return rows.withColumn("egg_groups", _joined("egg_groups"))
+    return _lists_joined(rows)
 
 
 _TYPE_LISTS = ",\n".join(
@@ -214,7 +211,7 @@ _TYPE_LISTS = ",\n".join(
 )
 def q_stage_type(layers: Layers) -> DataFrame:
     rows = project(raw_by_entity(layers.raw, "type"), ENTITIES["type"])
-    return rows.withColumns({c: _joined(c) for c in rows.columns if "_damage_" in c and c != "move_damage_class"})
+    return _lists_joined(rows)
 
 
 @query("stage_move", "SELECT * FROM u_move")

@@ -3,9 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions.bounded import bounded_list
 from stratalake.operators import readers, scoring, teams
-from stratalake.plans.star import MAX_TYPES
 from stratalake.workload import universe
 from stratalake.workload.registry import query
 from stratalake.workload.shared import Layers
@@ -216,9 +214,8 @@ def q_team_counter(layers: Layers) -> DataFrame:
     against = teams.types_of_team(
         members.join(strongest, "team_id", "left_semi"), layers.star("bridge_root_type")
     )
-    listed = bounded_list(layers.star("dim_type").select("type_id"), ["type_id"], MAX_TYPES, "types")
-    ids = F.transform(listed, lambda e: e["type_id"])
-    return teams.counter_coverage(_objective(layers), ids, against).select("team_id", "coverage")
+    types = layers.star("dim_type").select("type_id")
+    return teams.counter_coverage(_objective(layers), types, against).select("team_id", "coverage")
 
 
 @query(

@@ -4,7 +4,7 @@ supplier -> root, customer -> species, nation -> type, part -> move; lineitem gi
 learnsets, the stats and the relations between types. Every row of every table counts.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.bounded import bounded_list
@@ -32,268 +32,248 @@ class Tables:
         return table
 
 
-def _url(entity: str, number: Column) -> Column:
-    return F.concat(F.lit(f"http://w/{entity}/"), number.cast("string"), F.lit("/"))
+def _url(entity: str, number: str) -> str:
+    return f"concat('http://w/{entity}/', {number}, '/')"
 
 
-def _ref(name: Column, entity: str, number: Column) -> Column:
-    return F.struct(name.alias("name"), _url(entity, number).alias("url"))
+def _ref(name: str, entity: str, number: str) -> str:
+    return f"struct({name} AS name, {_url(entity, number)} AS url)"
 
 
-def _named(name: Column) -> Column:
-    return F.struct(name.alias("name"))
+def _to(entity: str, number: str) -> str:
+    return f"struct({_url(entity, number)} AS url)"
 
 
-def _whole(amount: str) -> Column:
-    return F.floor(F.abs(F.col(amount))).cast("bigint")
+def _named(name: str) -> str:
+    return f"struct({name} AS name)"
 
 
-def _payload(rows: DataFrame, entity: str, document: list[Column]) -> DataFrame:
-    return rows.select(
-        F.concat_ws(":", F.lit(entity), F.col("id").cast("string")).alias("key"),
-        encode_payload(F.struct(*document)).alias("payload"),
+def _whole(amount: str) -> str:
+    return f"CAST(floor(abs({amount})) AS BIGINT)"
+
+
+def _payload(rows: DataFrame, entity: str, document: dict[str, str]) -> DataFrame:
+    fields = ", ".join(f"{value} AS `{name}`" for name, value in document.items())
+    return rows.selectExpr(
+        f"concat('{entity}:', id) AS key", f"{encode_payload(f'struct({fields})')} AS payload"
     )
 
 
 def supplier_parts(t: Tables) -> DataFrame:
     """(l_suppkey, l_partkey, copies, counts by flag and status), reduced before the shuffle."""
     return t.lineitem.groupBy("l_suppkey", "l_partkey").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.count_if(F.col("l_returnflag") == "A").alias("n_a"),
-        F.count_if(F.col("l_returnflag") == "N").alias("n_n"),
-        F.count_if(F.col("l_returnflag") == "R").alias("n_r"),
-        F.count_if(F.col("l_linestatus") == "O").alias("n_o"),
-        F.count_if(F.col("l_linestatus") == "F").alias("n_f"),
+        F.expr("count(*) AS copies"),
+        F.expr("count_if(l_returnflag = 'A') AS n_a"),
+        F.expr("count_if(l_returnflag = 'N') AS n_n"),
+        F.expr("count_if(l_returnflag = 'R') AS n_r"),
+        F.expr("count_if(l_linestatus = 'O') AS n_o"),
+        F.expr("count_if(l_linestatus = 'F') AS n_f"),
     )
 
 
 def _lot_moves(parts: DataFrame, per_supplier: DataFrame) -> DataFrame:
-    """(l_suppkey, lot, moves): part keys, those sold more than once listed twice."""
-    many = per_supplier.where(F.col("n_parts") > LOT_PARTS).select(
-        "l_suppkey", F.ceil(F.col("n_parts") / LOT_PARTS).alias("lots")
+    """(s_suppkey, lot, parts): part keys, those sold more than once listed twice."""
+    many = per_supplier.where(f"n_parts > {LOT_PARTS}").selectExpr(
+        "l_suppkey", f"ceil(n_parts / {LOT_PARTS}) AS lots"
     )
-    lot = F.coalesce(F.col("l_partkey") % F.col("lots"), F.lit(0)).cast("bigint")
+    lot = F.expr("CAST(coalesce(l_partkey % lots, 0) AS BIGINT)")
+    twice = "collect_list(CASE WHEN copies > 1 THEN l_partkey END)"
+    listed = F.expr(f"sort_array(concat(collect_list(l_partkey), {twice}))")
     return (
         parts.join(many, "l_suppkey", "left")
-        .groupBy("l_suppkey", lot.alias("lot"))
-        .agg(
-            F.sort_array(
-                F.concat(
-                    F.collect_list("l_partkey"),
-                    F.collect_list(F.when(F.col("copies") > 1, F.col("l_partkey"))),
-                )
-            ).alias("parts")
-        )
+        .groupBy(F.col("l_suppkey").alias("s_suppkey"), lot.alias("lot"))
+        .agg(listed.alias("parts"))
     )
 
 
 def roots(t: Tables) -> DataFrame:
     parts = supplier_parts(t)
-    counts = ["n_a", "n_n", "n_r", "n_o", "n_f"]
     per_supplier = parts.groupBy("l_suppkey").agg(
-        F.count(F.lit(1)).alias("n_parts"), *[F.sum(c).alias(c) for c in counts]
+        F.expr("count(*) AS n_parts"),
+        *[F.expr(f"sum({c}) AS {c}") for c in ("n_a", "n_n", "n_r", "n_o", "n_f")],
     )
     nation = t.nation.select("n_nationkey", "n_name")
-    second = F.col("s_suppkey") * 7 % N_TYPES
     rows = (
-        t.supplier.join(_lot_moves(parts, per_supplier), F.col("s_suppkey") == F.col("l_suppkey"), "left")
-        .drop("l_suppkey")
-        .join(per_supplier, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-        .join(nation, F.col("n_nationkey") == F.col("s_nationkey"))
-        .withColumnsRenamed({"n_name": "type_1", "n_nationkey": "id_1"})
-        .join(nation, F.col("n_nationkey") == second)
-        .withColumnsRenamed({"n_name": "type_2", "n_nationkey": "id_2"})
-        .withColumn("lot", F.coalesce("lot", F.lit(0)))
-        .withColumn("id", F.col("s_suppkey") + F.col("lot") * LOT_STEP)
-        .withColumn(
-            "name",
-            F.when(F.col("lot") == 0, F.col("s_name")).otherwise(F.concat_ws("#", "s_name", "lot")),
+        t.supplier.withColumn("other", F.expr(f"s_suppkey * 7 % {N_TYPES}"))
+        .join(_lot_moves(parts, per_supplier), "s_suppkey", "left")
+        .join(per_supplier.withColumnRenamed("l_suppkey", "s_suppkey"), "s_suppkey", "left")
+        .join(nation.toDF("s_nationkey", "type_1"), "s_nationkey")
+        .join(nation.toDF("other", "type_2"), "other")
+        .selectExpr(
+            "*",
+            f"s_suppkey + coalesce(lot, 0) * {LOT_STEP} AS id",
+            f"{_whole('s_acctbal')} AS amount",
         )
-        .withColumn("amount", _whole("s_acctbal"))
     )
 
-    def slot(number: int, kind: str, ref: Column) -> Column:
-        return F.struct(F.lit(number).alias("slot"), ref.alias(kind))
-
-    def stat(name: str, value: Column) -> Column:
-        return F.struct(value.cast("bigint").alias("base_stat"), _named(F.lit(name)).alias("stat"))
-
-    def n(column: str) -> Column:
-        return F.coalesce(F.col(column), F.lit(0))
-
-    first = slot(1, "type", _ref(F.col("type_1"), "type", F.col("id_1")))
-    other = slot(2, "type", _ref(F.col("type_2"), "type", F.col("id_2")))
-    trait = F.concat(F.lit("trait-"), F.col("s_suppkey") % 11)
-    aura = F.concat(F.lit("aura-"), F.col("s_nationkey") % 7)
-    moves = F.coalesce("parts", F.array().cast("array<bigint>"))
+    def stat(name: str, value: str) -> str:
+        return f"struct(CAST({value} AS BIGINT) AS base_stat, {_named(f"'{name}'")} AS stat)"
+
+    first = f"struct(1 AS slot, {_ref('type_1', 'type', 's_nationkey')} AS type)"
+    second = f"struct(2 AS slot, {_ref('type_2', 'type', 'other')} AS type)"
+    trait = f"struct(1 AS slot, {_named("concat('trait-', s_suppkey % 11)")} AS ability)"
+    aura = f"struct(3 AS slot, {_named("concat('aura-', s_nationkey % 7)")} AS ability)"
+    move = _ref("concat('part-', p)", "move", "p")
+    stats = [
+        stat("speed", "-1"),  # a repeated name: the later entry counts
+        stat("hp", "coalesce(n_a, 0)"),
+        stat("attack", "coalesce(n_n, 0) + amount"),
+        stat("defense", "coalesce(n_r, 0)"),
+        stat("special-attack", "coalesce(n_o, 0) + amount"),
+        stat("special-defense", "coalesce(n_f, 0)"),
+        stat("speed", "amount % 1000"),
+    ]
     return _payload(
         rows,
         "root",
-        [
-            F.col("id"),
-            F.col("name"),
-            (F.col("s_nationkey") + 1).alias("height"),
-            F.col("amount").alias("weight"),
-            F.when(F.col("s_acctbal") >= 0, F.col("amount")).alias("base_experience"),
-            F.col("s_suppkey").alias("order"),
-            (F.col("s_acctbal") >= 0).alias("is_default"),
-            _ref(F.concat(F.lit("species-"), F.col("s_suppkey")), "species", F.col("s_suppkey")).alias("species"),
-            F.when(F.col("id_1") == F.col("id_2"), F.array(first)).otherwise(F.array(other, first)).alias("types"),
-            F.array(slot(3, "ability", _named(aura)), slot(1, "ability", _named(trait))).alias("abilities"),
-            F.transform(
-                moves, lambda p: F.struct(_ref(F.concat(F.lit("part-"), p), "move", p).alias("move"))
-            ).alias("moves"),
-            F.struct(
-                F.when(F.col("s_acctbal") >= 0, _url("front", F.col("s_suppkey"))).alias("front_default"),
-                F.when(F.col("s_acctbal") >= 5000, _url("back", F.col("s_suppkey"))).alias("back_default"),
-            ).alias("sprites"),
-            F.array(
-                stat("speed", F.lit(-1)),  # a repeated name: the later entry counts
-                stat("hp", n("n_a")),
-                stat("attack", n("n_n") + F.col("amount")),
-                stat("defense", n("n_r")),
-                stat("special-attack", n("n_o") + F.col("amount")),
-                stat("special-defense", n("n_f")),
-                stat("speed", F.col("amount") % 1000),
-            ).alias("stats"),
-        ],
-    )
+        {
+            "id": "id",
+            "name": "CASE WHEN coalesce(lot, 0) = 0 THEN s_name ELSE concat(s_name, '#', lot) END",
+            "height": "s_nationkey + 1",
+            "weight": "amount",
+            "base_experience": "CASE WHEN s_acctbal >= 0 THEN amount END",
+            "order": "s_suppkey",
+            "is_default": "s_acctbal >= 0",
+            "species": _ref("concat('species-', s_suppkey)", "species", "s_suppkey"),
+            "types": f"CASE WHEN s_nationkey = other THEN array({first}) ELSE array({second}, {first}) END",
+            "abilities": f"array({aura}, {trait})",
+            "moves": f"transform(coalesce(parts, array()), p -> struct({move} AS move))",
+            "sprites": (
+                f"struct(CASE WHEN s_acctbal >= 0 THEN {_url('front', 's_suppkey')} END AS front_default, "
+                f"CASE WHEN s_acctbal >= 5000 THEN {_url('back', 's_suppkey')} END AS back_default)"
+            ),
+            "stats": f"array({', '.join(stats)})",
+        },
+    )
 
 
 def species(t: Tables) -> DataFrame:
-    rows = t.customer.withColumn("id", F.col("c_custkey")).withColumn("amount", _whole("c_acctbal"))
-    key, nation, balance = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
-    segment = F.lower("c_mktsegment")
-    english = F.struct(
-        F.concat(F.lit("The\n"), "c_name", F.lit("\f  of "), segment, F.lit(" \n")).alias("flavor_text"),
-        _named(F.lit("en")).alias("language"),
+    rows = t.customer.selectExpr(
+        "*",
+        "c_custkey AS id",
+        f"{_whole('c_acctbal')} AS amount",
+        "lower(c_mktsegment) AS segment",
     )
-    later = F.struct(F.lit("a later one").alias("flavor_text"), _named(F.lit("en")).alias("language"))
-    french = F.struct(F.lit("Le client").alias("flavor_text"), _named(F.lit("fr")).alias("language"))
-    groups = F.array(_named(segment), _named(F.concat(F.lit("group-"), nation)))
+
+    def text(words: str, language: str) -> str:
+        return f"struct({words} AS flavor_text, {_named(f"'{language}'")} AS language)"
+
+    french = text("'Le client'", "fr")
+    english = text(r"concat('The\n', c_name, '\u000C  of ', segment, ' \n')", "en")
+    later = text("'a later one'", "en")
+    groups = f"array({_named('segment')}, {_named("concat('group-', c_nationkey)")})"
     return _payload(
         rows,
         "species",
-        [
-            F.col("id"),
-            F.col("c_name").alias("name"),
-            key.alias("order"),
-            F.struct(_url("generation", nation).alias("url")).alias("generation"),
-            F.struct(_url("evolution-chain", F.floor(key / 3)).alias("url")).alias("evolution_chain"),
-            F.when(key % 3 != 0, _ref(F.lit("parent"), "species", key - 1)).alias("evolves_from_species"),
-            (balance > 9000).alias("is_legendary"),
-            (balance < -900).alias("is_mythical"),
-            (F.col("c_mktsegment") == "BUILDING").alias("is_baby"),
-            (nation * 10).alias("capture_rate"),
-            F.when(balance >= 0, F.col("amount")).alias("base_happiness"),
-            (nation % 9).alias("gender_rate"),
-            F.when(balance >= 1000, nation).alias("hatch_counter"),
-            (nation % 2 == 0).alias("has_gender_differences"),
-            (nation % 3 == 0).alias("forms_switchable"),
-            _named(segment).alias("growth_rate"),
-            _named(F.concat(F.lit("color-"), nation % 10)).alias("color"),
-            F.when(balance >= 2000, _named(F.concat(F.lit("shape-"), nation % 4))).alias("shape"),
-            F.when(balance >= 3000, _named(F.concat(F.lit("habitat-"), nation % 5))).alias("habitat"),
-            F.when(balance >= 0, groups).otherwise(F.slice(groups, 1, 0)).alias("egg_groups"),
-            F.when(balance >= 0, F.array(french, english, later)).otherwise(F.array(french)).alias("flavor_text_entries"),
-        ],
+        {
+            "id": "id",
+            "name": "c_name",
+            "order": "c_custkey",
+            "generation": _to("generation", "c_nationkey"),
+            "evolution_chain": _to("evolution-chain", "c_custkey div 3"),
+            "evolves_from_species": f"CASE WHEN c_custkey % 3 <> 0 THEN {_ref("'parent'", 'species', 'c_custkey - 1')} END",
+            "is_legendary": "c_acctbal > 9000",
+            "is_mythical": "c_acctbal < -900",
+            "is_baby": "c_mktsegment = 'BUILDING'",
+            "capture_rate": "c_nationkey * 10",
+            "base_happiness": "CASE WHEN c_acctbal >= 0 THEN amount END",
+            "gender_rate": "c_nationkey % 9",
+            "hatch_counter": "CASE WHEN c_acctbal >= 1000 THEN c_nationkey END",
+            "has_gender_differences": "c_nationkey % 2 = 0",
+            "forms_switchable": "c_nationkey % 3 = 0",
+            "growth_rate": _named("segment"),
+            "color": _named("concat('color-', c_nationkey % 10)"),
+            "shape": f"CASE WHEN c_acctbal >= 2000 THEN {_named("concat('shape-', c_nationkey % 4)")} END",
+            "habitat": f"CASE WHEN c_acctbal >= 3000 THEN {_named("concat('habitat-', c_nationkey % 5)")} END",
+            "egg_groups": f"CASE WHEN c_acctbal >= 0 THEN {groups} ELSE slice({groups}, 1, 0) END",
+            "flavor_text_entries": f"CASE WHEN c_acctbal >= 0 THEN array({french}, {english}, {later}) ELSE array({french}) END",
+        },
     )
 
 
 def pair_counts(t: Tables) -> DataFrame:
     """(a, b, n): lineitems from suppliers of nation a to customers of nation b."""
-    suppliers = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("a"))
-    buyers = t.orders.select("o_orderkey", "o_custkey").join(
-        t.customer.select("c_custkey", F.col("c_nationkey").alias("b")),
-        F.col("o_custkey") == F.col("c_custkey"),
-    )
+    suppliers = t.supplier.selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS a")
+    customers = t.customer.selectExpr("c_custkey AS o_custkey", "c_nationkey AS b")
+    buyers = t.orders.select("o_orderkey", "o_custkey").join(customers, "o_custkey")
     return (
-        t.lineitem.select("l_orderkey", "l_suppkey")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        t.lineitem.selectExpr("l_orderkey AS o_orderkey", "l_suppkey")
+        .join(suppliers, "l_suppkey")
+        .join(buyers, "o_orderkey")
         .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(*) AS n"))
     )
 
 
 def types(t: Tables) -> DataFrame:
-    nations = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    total = t.lineitem.agg(F.count(F.lit(1))).scalar()
-    pairs = (
-        nations.withColumn("other", F.explode(bounded_list(nations, ["id"], MAX_TYPES, "nation")))
-        .select(F.col("id").alias("a"), F.col("name").alias("a_name"),
-                F.col("other.id").alias("b"), F.col("other.name").alias("b_name"))
-        .join(pair_counts(t), ["a", "b"], "left")
-        .withColumn("total", total)
-    )
-    share = F.col("n") * (N_TYPES * N_TYPES * 100)
+    nations = t.nation.selectExpr("n_nationkey AS id", "n_name AS name")
+    everyone = bounded_list(nations, ["id"], MAX_TYPES, "nation")
+    share = f"n * {N_TYPES * N_TYPES * 100}"
     size = (
-        F.when(F.col("n").isNull() | (share <= 70 * F.col("total")), "no")
-        .when(share >= 115 * F.col("total"), "double")
-        .when(share <= 90 * F.col("total"), "half")
+        f"CASE WHEN n IS NULL OR {share} <= 70 * total THEN 'no' "
+        f"WHEN {share} >= 115 * total THEN 'double' WHEN {share} <= 90 * total THEN 'half' END"
     )
-    # each related pair goes into a list of either type
-    def entry(owner: str, side: str, other: str) -> Column:
-        return F.struct(
-            F.col(owner).alias("n_nationkey"),
-            F.concat("size", F.lit(f"_damage_{side}")).alias("list"),
-            F.struct(F.col(other).alias("id"), F.col(f"{other}_name").alias("name")).alias("ref"),
-        )
-
-    entries = (
-        pairs.withColumn("size", size)
-        .where(F.col("size").isNotNull())
-        .select(F.inline(F.array(entry("a", "to", "b"), entry("b", "from", "a"))))
+    pairs = (
+        nations.withColumn("other", F.explode(everyone))
+        .selectExpr("id AS a", "name AS a_name", "other.id AS b", "other.name AS b_name")
+        .join(pair_counts(t), ["a", "b"], "left")
+        .withColumn("total", t.lineitem.agg(F.expr("count(*)")).scalar())
+        .selectExpr("a", "a_name", "b", "b_name", f"{size} AS size")
+        .where("size IS NOT NULL")
     )
 
-    def refs(name: str) -> Column:
-        picked = F.sort_array(F.collect_list(F.when(F.col("list") == name, F.col("ref"))))
-        return F.transform(picked, lambda e: _ref(e["name"], "type", e["id"])).alias(name)
+    # each related pair goes into a list of either type
+    def entry(owner: str, side: str, other: str) -> str:
+        ref = f"struct({other} AS id, {other}_name AS name)"
+        return f"struct({owner} AS n_nationkey, concat(size, '_damage_{side}') AS list, {ref} AS ref)"
 
+    entries = pairs.selectExpr(f"inline(array({entry('a', 'to', 'b')}, {entry('b', 'from', 'a')}))")
     relations = [
         f"{kind}_damage_{side}" for kind in ("double", "half", "no") for side in ("to", "from")
     ]
-    lists = entries.groupBy("n_nationkey").agg(*[refs(r) for r in relations])
+
+    def refs(name: str) -> str:
+        picked = f"sort_array(collect_list(CASE WHEN list = '{name}' THEN ref END))"
+        return f"transform({picked}, e -> {_ref('e.name', 'type', 'e.id')}) AS {name}"
+
+    lists = entries.groupBy("n_nationkey").agg(*[F.expr(refs(r)) for r in relations])
     rows = t.nation.join(lists, "n_nationkey", "left").withColumn("id", F.col("n_nationkey"))
-    nothing = F.array().cast("array<struct<name:string,url:string>>")
-    region = F.col("n_regionkey")
-    damage_class = F.when(region == 1, "physical").otherwise(F.lit("special"))
+    damage_class = _named("CASE WHEN n_regionkey = 1 THEN 'physical' ELSE 'special' END")
+    filled = ", ".join(f"coalesce({r}, array()) AS {r}" for r in relations)
     return _payload(
         rows,
         "type",
-        [
-            F.col("id"),
-            F.col("n_name").alias("name"),
-            F.struct(_url("generation", region).alias("url")).alias("generation"),
-            F.when(region != 0, _named(damage_class)).alias("move_damage_class"),
-            F.struct(*[F.coalesce(r, nothing).alias(r) for r in relations]).alias("damage_relations"),
-        ],
+        {
+            "id": "id",
+            "name": "n_name",
+            "generation": _to("generation", "n_regionkey"),
+            "move_damage_class": f"CASE WHEN n_regionkey <> 0 THEN {damage_class} END",
+            "damage_relations": f"struct({filled})",
+        },
     )
 
 
 def moves(t: Tables) -> DataFrame:
-    key, kind, size = F.col("p_partkey"), F.col("p_type"), F.col("p_size")
     damage_class = (
-        F.when(kind == "SMALL", "status")
-        .when(kind.isin("PROMO", "LARGE"), "special")
-        .otherwise(F.lit("physical"))
+        "CASE WHEN p_type = 'SMALL' THEN 'status' "
+        "WHEN p_type IN ('PROMO', 'LARGE') THEN 'special' ELSE 'physical' END"
     )
     return _payload(
-        t.part.withColumn("id", key),
+        t.part.withColumn("id", F.col("p_partkey")),
         "move",
-        [
-            F.col("id"),
-            F.concat(F.lit("part-"), key).alias("name"),
-            F.when(kind != "SMALL", size).alias("power"),
-            F.when(key % 11 != 0, 100 - key % 4 * 25).alias("accuracy"),
-            F.when(size >= 10, size).alias("pp"),
-            (size % 3).alias("priority"),
-            F.when(size < 25, size * 2).alias("effect_chance"),
-            F.struct(_url("type", key % N_TYPES).alias("url")).alias("type"),
-            _named(damage_class).alias("damage_class"),
-            _named(F.lower("p_brand")).alias("target"),
-            F.struct(_url("generation", size % 5).alias("url")).alias("generation"),
-        ],
+        {
+            "id": "id",
+            "name": "concat('part-', p_partkey)",
+            "power": "CASE WHEN p_type <> 'SMALL' THEN p_size END",
+            "accuracy": "CASE WHEN p_partkey % 11 <> 0 THEN 100 - p_partkey % 4 * 25 END",
+            "pp": "CASE WHEN p_size >= 10 THEN p_size END",
+            "priority": "p_size % 3",
+            "effect_chance": "CASE WHEN p_size < 25 THEN p_size * 2 END",
+            "type": _to("type", f"p_partkey % {N_TYPES}"),
+            "damage_class": _named(damage_class),
+            "target": _named("lower(p_brand)"),
+            "generation": _to("generation", "p_size % 5"),
+        },
     )
 
 
