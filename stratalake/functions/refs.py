@@ -2,13 +2,12 @@
 
 # Fixed value: a resource url ends in /<entity>/<number> with an optional slash.
 # (?U) gives \w and \d their Unicode meaning, (?d) makes only \n a line end.
-KEY_PATTERN = r"(?dU)/([\w-]+)/(\d+)/?$"
+KEY_PATTERN = r"(?dU)/([\w-]+/\d+)/?$"
 
 
 def parse_key(url: str) -> str:
     """``.../species/6/`` -> ``species:6``; null where the url is no resource url."""
-    entity, number = (f"regexp_extract({url}, r'{KEY_PATTERN}', {i})" for i in (1, 2))
-    return f"CASE WHEN {entity} <> '' THEN concat({entity}, ':', {number}) END"
+    return f"nullif(replace(regexp_extract({url}, r'{KEY_PATTERN}', 1), '/', ':'), '')"
 
 
 def url_to_key(url: str) -> str:

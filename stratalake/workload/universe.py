@@ -95,7 +95,9 @@ def roots(t: Tables) -> DataFrame:
     nation = t.nation.select("n_nationkey", "n_name")
     rows = (
         t.supplier.withColumn("other", F.expr(f"s_suppkey * 7 % {N_TYPES}"))
-        .join(_lot_moves(parts, per_supplier), "s_suppkey", "left")
+        # merge: payloads are far larger than what they are joined from, so no broadcast, which
+        # would build all of them in the few tasks that scan the suppliers
+        .join(_lot_moves(parts, per_supplier).hint("merge"), "s_suppkey", "left")
         .join(per_supplier.withColumnRenamed("l_suppkey", "s_suppkey"), "s_suppkey", "left")
         .join(nation.toDF("s_nationkey", "type_1"), "s_nationkey")
         .join(nation.toDF("other", "type_2"), "other")
