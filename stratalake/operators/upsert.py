@@ -17,6 +17,17 @@ def latest(rows: DataFrame, key: list[str], seq: str) -> DataFrame:
     return picked.select(columns)
 
 
+def latest_wide(rows: DataFrame, key: list[str], seq: str) -> DataFrame:
+    """As :func:`latest`, for wide rows of which few are superseded.
+
+    Only the keys are shuffled to find those that occur twice; the rows of all other keys
+    stay where they are as long as the list of repeated keys is small enough to broadcast.
+    """
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    once = rows.join(repeated, key, "left_anti")
+    return once.unionByName(latest(rows.join(repeated, key, "left_semi"), key, seq))
+
+
 def merge_rows(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
     """Stored rows that the batch leaves alone."""
     return stored.join(batch.select(*key), key, "left_anti")

@@ -1,43 +1,50 @@
 """Payload files on shared storage, and the envelope they are captured in."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from stratalake.functions.refs import key_entity, key_id
 
-# <entity>/<id>.json, or the same two names as Spark's own partition folders
-PLAIN_TREE = r"/([\w-]+)/(\d+)\.json$"
-PARTITIONED_TREE = r"/entity_type=([\w-]+)/id=(\d+)/[^/]+$"
+# <entity>/<id>.json, and the folder of a bundle, plain or as Spark's partition folder
+FILE_OF_ONE = r"/([\w-]+)/(\d+)\.json$"
+FILE_OF_MANY = r"/(?:entity_type=)?([\w-]+)/[^/]+$"
 
+_PATH = "_metadata.file_path"
 
-def _keyed(files: DataFrame, pattern: str) -> DataFrame:
-    path = "_metadata.file_path"
-    entity, number = (f"regexp_extract({path}, r'{pattern}', {i})" for i in (1, 2))
-    bad_path = f"raise_error(concat('no entity and id in path: ', {path}))"
-    key = f"CASE WHEN {entity} <> '' THEN concat({entity}, ':', {number}) ELSE {bad_path} END"
-    return files.selectExpr(f"{key} AS key", "value AS payload")
 
+def _or_bad_path(found: str, key: str) -> str:
+    bad_path = f"raise_error(concat('no entity in path: ', {_PATH}))"
+    return f"CASE WHEN {found} <> '' THEN {key} ELSE {bad_path} END AS key"
 
-def landing_scan(spark: SparkSession, path: str, pattern: str = PLAIN_TREE) -> DataFrame:
-    """(key, payload) of a tree with one payload per file; the key comes from the path."""
-    return _keyed(spark.read.text(path, wholetext=True, recursiveFileLookup=True), pattern)
 
+def landing_scan(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    """(key, payload) of a tree with one payload per file; the key comes from the path.
 
-def landing_stream(spark: SparkSession, path: str, pattern: str = PLAIN_TREE) -> DataFrame:
-    """As :func:`landing_scan`, as a stream of the files not yet seen."""
-    stream = spark.readStream.text(path, wholetext=True, recursiveFileLookup=True)
-    return _keyed(stream, pattern)
+    ``reader`` is ``spark.read``, or ``spark.readStream`` for the files not yet seen.
+    """
+    entity, number = (f"regexp_extract({_PATH}, r'{FILE_OF_ONE}', {i})" for i in (1, 2))
+    files = reader.text(path, wholetext=True, recursiveFileLookup=True)
+    key = _or_bad_path(entity, f"concat({entity}, ':', {number})")
+    return files.selectExpr(key, "value AS payload")
+
+
+def landing_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    """(key, payload) of a tree of bundles, one payload per line.
+
+    The layout for many payloads, where a file each would be more files than a store can
+    list. The entity comes from the folder, the id from the payload.
+    """
+    entity = f"regexp_extract({_PATH}, r'{FILE_OF_MANY}', 1)"
+    lines = reader.text(path, recursiveFileLookup=True)
+    key = _or_bad_path(entity, f"concat({entity}, ':', get_json_object(value, '$.id'))")
+    return lines.selectExpr(key, "value AS payload")
 
 
 def write_landing(payloads: DataFrame, path: str) -> None:
-    """Lay payloads out one per file, in partition folders (see PARTITIONED_TREE)."""
-    (
-        payloads.selectExpr(
-            "payload AS value", f"{key_entity()} AS entity_type", f"{key_id()} AS id"
-        )
-        .write.partitionBy("entity_type", "id")
-        .text(path)
-    )
+    """Lay payloads out in bundles, one folder per entity."""
+    rows = payloads.selectExpr("payload AS value", f"{key_entity()} AS entity_type")
+    rows.write.partitionBy("entity_type").text(path)
 
 
 def encode_payload(document: str) -> str:

@@ -1,23 +1,22 @@
 """Capture as a stream: the checkpoint remembers which files were read."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stratalake.operators.upsert import latest
+from stratalake.operators.upsert import latest_wide
 from stratalake.plans.tables import TABLES
-from stratalake.sources.landing import PLAIN_TREE, envelope, landing_stream
+from stratalake.sources.landing import envelope
 
 _RAW = TABLES["raw.records"].schema
 
 
-def ingest_new_files(
-    spark: SparkSession, landing: str, raw: str, checkpoint: str, pattern: str = PLAIN_TREE
-) -> None:
-    """Append the envelopes of files not yet seen, then stop. Restart to pick up later files.
+def ingest_new_files(payloads: DataFrame, raw: str, checkpoint: str) -> None:
+    """Append the envelopes of a payload stream's new files, then stop.
 
-    The Parquet sink commits each batch once, so a lost executor or a rerun repeats nothing.
+    ``payloads`` is a landing function over ``spark.readStream``. Called again with the same
+    folders, it goes on where it stopped. The Parquet sink commits each batch once, so a lost
+    executor or a rerun repeats nothing.
     """
-    records = envelope(landing_stream(spark, landing, pattern))
+    records = envelope(payloads)
     query = (
         records.writeStream.format("parquet")
         .partitionBy("entity_type")
@@ -32,5 +31,4 @@ def ingest_new_files(
 def ingested(spark: SparkSession, raw: str) -> DataFrame:
     """Current raw records: the last capture of each key."""
     rows = spark.read.schema(_RAW).parquet(raw)
-    ordered = rows.withColumn("seq", F.col("fetched_at"))
-    return latest(ordered, ["key"], "seq").select(_RAW.names)
+    return latest_wide(rows, ["key"], "fetched_at").select(_RAW.names)

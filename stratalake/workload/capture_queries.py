@@ -7,11 +7,10 @@ from stratalake.functions.refs import key_entity, key_id, key_path, parse_key
 from stratalake.operators import discovery
 from stratalake.operators.upsert import latest
 from stratalake.sources.landing import (
-    PARTITIONED_TREE,
     encode_payload,
     existing_keys,
     fixed_keys,
-    landing_scan,
+    landing_lines,
     raw_by_entity,
     root_scope,
     write_landing,
@@ -63,34 +62,35 @@ def _existing(layers: Layers) -> DataFrame:
     return keys("move", moves).unionByName(keys("root", roots)).unionByName(keys("type", types))
 
 
-def _documents_on_disk(layers: Layers) -> str:
+def _bundles(layers: Layers) -> str:
     folder = fresh_folder(layers.spark, "landing")
-    t = layers.tables
-    write_landing(universe.roots(t).unionByName(universe.types(t)), folder)
+    write_landing(layers.raw.select("key", "payload"), folder)
     return folder
 
 
 @query(
     "landing_scan",
-    """SELECT key, split_part(key, ':', 1) AS entity, id FROM (
-        SELECT concat('root:', id) AS key, id FROM u_root
-        UNION ALL SELECT concat('type:', n_nationkey), n_nationkey FROM nation)""",
+    f"""SELECT key, split_part(key, ':', 1) AS entity,
+               CAST(split_part(key, ':', 2) AS BIGINT) AS id FROM ({_ALL_KEYS})""",
 )
 def q_landing_scan(layers: Layers) -> DataFrame:
-    files = landing_scan(layers.spark, _documents_on_disk(layers), PARTITIONED_TREE)
-    return files.select(
+    rows = landing_lines(layers.spark.read, _bundles(layers))
+    return rows.selectExpr(
         "key",
-        F.expr(key_entity()).alias("entity"),
-        F.get_json_object("payload", "$.id").cast("bigint").alias("id"),
+        f"{key_entity()} AS entity",
+        "CAST(get_json_object(payload, '$.id') AS BIGINT) AS id",
     )
 
 
-@query("stream_ingest", "SELECT key, split_part(key, ':', 1) AS entity_type FROM (SELECT concat('root:', id) AS key FROM u_root UNION ALL SELECT concat('type:', n_nationkey) FROM nation)")
+@query(
+    "stream_ingest",
+    f"SELECT key, split_part(key, ':', 1) AS entity_type FROM ({_ALL_KEYS})",
+)
 def q_stream_ingest(layers: Layers) -> DataFrame:
-    landing = _documents_on_disk(layers)
-    raw, checkpoint = fresh_folder(layers.spark, "stream"), fresh_folder(layers.spark, "progress")
-    ingest_new_files(layers.spark, landing, raw, checkpoint, PARTITIONED_TREE)
-    ingest_new_files(layers.spark, landing, raw, checkpoint, PARTITIONED_TREE)  # finds nothing new
+    landing = _bundles(layers)
+    raw, progress = fresh_folder(layers.spark, "stream"), fresh_folder(layers.spark, "progress")
+    for _ in range(2):  # the second time finds nothing new
+        ingest_new_files(landing_lines(layers.spark.readStream, landing), raw, progress)
     return ingested(layers.spark, raw).select("key", "entity_type")
 
 

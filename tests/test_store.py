@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.layers import build_star, capture, load, rebuild, run
 from stratalake.operators.lineage import run_state
-from stratalake.operators.upsert import latest, upsert_rows
+from stratalake.operators.upsert import latest, latest_wide, upsert_rows
 from stratalake.sources.landing import envelope, fixed_keys
 from stratalake.sources.store import Warehouse
 
@@ -95,8 +95,9 @@ def test_latest_ignores_row_order(spark, pairs, random):
     expected = {k: max(s for kk, s, _ in rows if kk == k) for k, _, _ in rows}
     random.shuffle(rows)
     frame = spark.createDataFrame(rows, "k int, seq int, v string")
-    got = {r["k"]: r["v"] for r in latest(frame, ["k"], "seq").collect()}
-    assert got == {k: f"v{k}-{s}" for k, s in expected.items()}
+    for find in (latest, latest_wide):
+        got = sorted(tuple(r) for r in find(frame, ["k"], "seq").collect())
+        assert got == sorted((k, s, f"v{k}-{s}") for k, s in expected.items())
 
 
 def test_upsert_rows(spark):
