@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.discovery import new_records
+from stratalake.operators.discovery import new_records, wanted_keys
 from stratalake.operators.lineage import FAILED, RUNNING, SUCCESS
 from stratalake.plans.entities import ENTITIES, accepted, checked, project, rejected
 from stratalake.plans.star import star
@@ -31,8 +31,8 @@ def capture(
 ) -> int:
     """Add what the source has and raw lacks; records already captured stay as they are."""
     existing = existing_keys(warehouse.table("raw.records"))
-    records = new_records(warehouse.spark, source, existing, limit=limit, fixed=fixed)
-    return warehouse.append("raw.records", records)
+    pending = wanted_keys(warehouse.spark, source, existing, limit=limit, fixed=fixed)
+    return warehouse.append("raw.records", new_records(source, pending))
 
 
 def load(warehouse: Warehouse, on_error: str = "fail") -> dict[str, int]:

@@ -66,13 +66,20 @@ def bridge_cardinality(staged: DataFrame, column: str, bridge: DataFrame, table:
     return _violations(bad, "bridge", table, F.lit(column), F.concat_ws("/", "have", "want"))
 
 
+def _differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows that one side has more often, with ``n`` > 0 where it is the left one.
+
+    One aggregate over both sides: equal rows meet in each task before the shuffle.
+    """
+    columns = left.columns
+    both = left.withColumn("n", F.lit(1)).unionByName(right.select(columns).withColumn("n", F.lit(-1)))
+    return both.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+
+
 def same_rows(left: DataFrame, right: DataFrame, table: str) -> DataFrame:
     """Rows that one side has more often than the other."""
-    columns = left.columns
-    lost = left.exceptAll(right.select(columns)).withColumn("side", F.lit("left only"))
-    extra = right.select(columns).exceptAll(left).withColumn("side", F.lit("right only"))
-    both = lost.unionByName(extra)
-    return _violations(both, "idempotent", table, F.col(columns[0]), F.col("side"))
+    side = F.when(F.col("n") > 0, "left only").otherwise(F.lit("right only"))
+    return _violations(_differences(left, right), "idempotent", table, F.col(left.columns[0]), side)
 
 
 def conservation(raw: DataFrame, staged: dict[str, DataFrame]) -> DataFrame:
@@ -96,11 +103,9 @@ def reciprocity(types: DataFrame, size: str) -> DataFrame:
     back = types.select(
         F.explode(F.array_distinct(f"{size}_damage_from")).alias("a"), F.col("name").alias("b")
     )
-    lost = to.exceptAll(back).withColumn("side", F.lit("to only"))
-    extra = back.exceptAll(to).withColumn("side", F.lit("from only"))
-    return _violations(
-        lost.unionByName(extra), "reciprocity", size, F.concat_ws(">", "a", "b"), F.col("side")
-    )
+    side = F.when(F.col("n") > 0, "to only").otherwise(F.lit("from only"))
+    pair = F.concat_ws(">", "a", "b")
+    return _violations(_differences(to, back), "reciprocity", size, pair, side)
 
 
 def star_checks(star: dict[str, DataFrame]) -> dict[str, DataFrame]:

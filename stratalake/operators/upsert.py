@@ -33,6 +33,15 @@ def merge_rows(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame
     return stored.join(batch.select(*key), key, "left_anti")
 
 
+def stay_by_key(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """As :func:`merge_rows`, for a batch that replaces most of what is stored.
+
+    The few keys that stay are found on keys alone; the wide rows then meet a short list
+    instead of the long one of the batch.
+    """
+    return stored.join(merge_rows(stored.select(*key), batch, key), key, "left_semi")
+
+
 def upsert_rows(stored: DataFrame, batch: DataFrame, key: list[str], seq: str | None = None) -> DataFrame:
     """Stored rows with the batch inserted or replaced, as one DataFrame."""
     if seq is not None:

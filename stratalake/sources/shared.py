@@ -3,19 +3,22 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch folder only on local master."""
+    """The cluster's ``spark.checkpoint.dir``; a scratch folder only on local master.
+
+    Checkpoints go there too.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="stratalake-")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratalake-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -29,14 +32,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """Rows stored in the shared folder, their lineage cut."""
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def tune(spark: SparkSession) -> None:
     """Runtime settings every plan here counts on.
 
     AQE with splitting of skewed joins, also where that costs a further shuffle. Shuffled
     partitions may be as small as 256 KB: payloads are built from and parsed out of few
-    bytes with much computing, so cores matter more than partition size.
+    bytes with much computing, so cores matter more than partition size. Lists are collected
+    in hash maps of up to 4,096 keys a task before it sorts (default 128): they hold no more
+    than the rows of the task, and a sort would serialize every list.
     """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.upsert import latest, merge_rows
+from stratalake.operators.upsert import latest, merge_rows, stay_by_key
 from stratalake.plans.tables import TABLES, conform
 from stratalake.sources.shared import path_exists
 
@@ -124,8 +124,9 @@ class Warehouse:
         folders = new.folders
         if self.is_written(name):
             # the batch is computed once; only the keys of its stored rows are read back
-            kept = merge_rows(self.table(name), self._read(name, new.folders), key)
-            old = self._stage(name, kept)
+            stored, keys = self.table(name), self._read(name, new.folders).select(*key)
+            few_stay = 2 * new.rows > stored.count()
+            old = self._stage(name, (stay_by_key if few_stay else merge_rows)(stored, keys, key))
             if old.rows:
                 folders = (*new.folders, *old.folders)
         self.commit(Staged(name, folders, new.rows))

@@ -77,8 +77,7 @@ def _lot_moves(parts: DataFrame, per_supplier: DataFrame) -> DataFrame:
         "l_suppkey", f"ceil(n_parts / {LOT_PARTS}) AS lots"
     )
     lot = F.expr("CAST(coalesce(l_partkey % lots, 0) AS BIGINT)")
-    twice = "collect_list(CASE WHEN copies > 1 THEN l_partkey END)"
-    listed = F.expr(f"sort_array(concat(collect_list(l_partkey), {twice}))")
+    listed = F.expr("sort_array(flatten(collect_list(array_repeat(l_partkey, CAST(least(copies, 2) AS INT)))))")
     return (
         parts.join(many, "l_suppkey", "left")
         .groupBy(F.col("l_suppkey").alias("s_suppkey"), lot.alias("lot"))
