@@ -35,8 +35,12 @@ def _best(layers: Layers) -> DataFrame:
     return scoring.best_move(_base(layers), _matrix(layers))
 
 
+def _n_types(layers: Layers) -> int:
+    return layers.star("dim_type").count()
+
+
 def _profile(layers: Layers) -> DataFrame:
-    return scoring.member_profile(_best(layers))
+    return scoring.member_profile(_base(layers), _matrix(layers), _n_types(layers))
 
 
 def _members(layers: Layers) -> DataFrame:
@@ -44,8 +48,7 @@ def _members(layers: Layers) -> DataFrame:
 
 
 def _objective(layers: Layers) -> DataFrame:
-    n_types = layers.star("dim_type").count()
-    return teams.team_objective(_members(layers), _profile(layers), n_types)
+    return teams.team_objective(_members(layers), _profile(layers), _n_types(layers))
 
 
 # --- scores ---------------------------------------------------------------------------

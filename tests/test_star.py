@@ -179,7 +179,7 @@ def objective_by_hand(best, team):
 
 def profile(world):
     frames = world[0]
-    return scoring.member_profile(scoring.best_move(base(frames), frames["matrix"]))
+    return scoring.member_profile(base(frames), frames["matrix"], N_TYPES)
 
 
 def test_team_objective(spark, world):
@@ -229,10 +229,10 @@ def test_counter_coverage(spark):
 
 def test_many_types_do_not_fit_one_word(spark):
     n = 70
-    cover = [(t, float(t)) for t in range(n)]
+    cover = [float(t) for t in range(n)]
     profiles = spark.createDataFrame(
-        [(r, cover, t, 1.0) for r, t in ((1, 0), (2, 63), (3, 69), (4, 63))],
-        "root_id long, cover array<struct<t:int,score:double>>, attack_type int, firepower double",
+        [(r, cover, t, t, 1.0) for r, t in ((1, 0), (2, 63), (3, 69), (4, 63))],
+        "root_id long, cover array<double>, attack_type int, place long, firepower double",
     )
     members = spark.createDataFrame([(1, r) for r in (1, 2, 3, 4)], "team_id int, root_id long")
     assert teams.team_objective(members, profiles, n).first()["duplicates"] == 1
