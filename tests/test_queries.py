@@ -5,6 +5,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
+from stratalake.workload.catalog import QUERIES, SQL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -25,7 +26,8 @@ def ordered(rows):
 
 
 def test_each_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -34,10 +36,10 @@ def test_entry(spark):
     assert rows
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    frame = entry.queries()[name](spark, SF)
-    cursor = db.execute(entry.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF)
+    cursor = db.execute(SQL[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(frame.columns)
     got = ordered(tuple(r[c] for c in columns) for r in frame.collect())
