@@ -69,3 +69,11 @@ def map_texts(docs: DataFrame, fn: Callable[[list, Iterator[str]], dict], schema
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
     return docs.select(*names).mapInArrow(run, schema)
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, or with underscores added until no column has it in any case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

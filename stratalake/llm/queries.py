@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import secrets
+from stratalake.llm import mixing, secrets, simhash
 from stratalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,48 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.expr(joined.format(base)), 256).alias("base_sha256"),
         F.expr(joined.format("spans")).alias("spans"),
     )
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: three-word shingles, at most two bits."""
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document for equal shares of all sources, with their random place."""
+    docs = table(spark, sf_dir, "documents")
+    mix = mixing.poisson_mix(docs.select("doc_id", "source", "text"), mixing.source_rates(docs))
+    return mix.select("doc_id", "source", "mix.*")
+
+
+SQL["op9_mixing"] = """
+WITH counts AS (SELECT source, count(*) AS n_rows FROM documents GROUP BY source),
+rates AS (
+  SELECT source, (SELECT sum(n_rows) FROM counts) * 1.0::DOUBLE / (SELECT count(*) FROM counts) / n_rows AS rate FROM counts
+),
+means AS (
+  SELECT source, rate, greatest(1, ceil(rate / 32)::INT) AS parts, rate / greatest(1, ceil(rate / 32)::INT) AS mean FROM rates
+),
+terms AS (
+  SELECT source, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
+  FROM (SELECT *, unnest(range(0, ceil(mean + 12 * sqrt(mean) + 30)::BIGINT + 1)) AS k FROM means)
+),
+cdf AS (
+  SELECT source, list(c ORDER BY k) AS c
+  FROM (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms) GROUP BY source
+),
+drawn AS (
+  SELECT doc_id, d.source, text, rate, (
+    SELECT sum(len(list_filter(c, lambda x: x <=
+      ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, text, '') || ':' || j), 1, 13))::BIGINT / 4503599627370496.0)))
+    FROM (SELECT unnest(range(1, parts + 1)) AS j)
+  )::BIGINT AS n_copies
+  FROM documents d JOIN means m ON d.source IS NOT DISTINCT FROM m.source JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source
+)
+SELECT doc_id, source, rate, n_copies, copy_no,
+  ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, text, '') || ':place:' || copy_no), 1, 15))::BIGINT AS place
+FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy_no FROM drawn)
+"""
