@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import mixing, secrets, simhash
+from stratalake.llm import langid, mixing, secrets, simhash, tokenstore, toxicity
 from stratalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.languages(docs, langid.fit(docs))
+
+
+@query
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    files = tokenstore.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenstore.read_tokens(files)
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: three-word shingles, at most two bits."""
@@ -75,3 +90,17 @@ SELECT doc_id, source, rate, n_copies, copy_no,
   ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, text, '') || ':place:' || copy_no), 1, 15))::BIGINT AS place
 FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy_no FROM drawn)
 """
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, and where its toxic sentences are."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.expr("array_join(transform(sentences, x -> concat_ws(':', x.start, x.end)), ',')").alias("sentences"),
+    )
