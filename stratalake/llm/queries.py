@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import langid, mixing, secrets, simhash, tokenstore, toxicity
+from stratalake.llm import exactdup, langid, mixing, secrets, simhash, tokenstore, toxicity
 from stratalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,26 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and the row of it that stays."""
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL["op5_exact_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents
+),
+ranked AS (
+  SELECT doc_id, norm,
+    first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size, row_number() OVER w = 1 AS kept
+  FROM texts WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM ranked
+"""
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document for equal shares of all sources, with their random place."""
