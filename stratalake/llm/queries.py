@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exactdup, langid, mixing, secrets, simhash, tokenstore, toxicity
+from stratalake.llm import decontam, exactdup, langid, mixing, secrets, simhash, tokenstore, toxicity
 from stratalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM ranke
 """
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with the best window of each."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document for equal shares of all sources, with their random place."""

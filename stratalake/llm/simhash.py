@@ -29,12 +29,13 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; a text without words, null too, has fingerprint zero."""
+    """(doc_id, text_hash, fp) of every row; a text without words, null too, has fingerprint zero."""
 
     def made(columns, texts) -> dict:
-        return {"doc_id": columns[0], "fp": [fingerprint(t, shingle) for t in texts]}
+        return {"doc_id": columns[0], "text_hash": columns[1], "fp": [fingerprint(t, shingle) for t in texts]}
 
-    return map_texts(docs, made, "doc_id long, fp long")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return map_texts(rows, made, "doc_id long, text_hash long, fp long", ("doc_id", "text_hash", "text"))
 
 
 def _masks(first: int, bits: int, radius: int) -> list[int]:
@@ -156,19 +157,42 @@ def _followed(of: DataFrame, by: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the least doc_id reachable by links.
+    """(doc_id, text_hash, fp, component_id, stays) of every row.
 
-    Documents link when their fingerprints differ in at most ``radius`` bits. Equal
-    fingerprints are one node. A row with a null doc_id is in its component but never names
-    it; a component of such rows alone has a null component_id.
+    Documents link when their fingerprints differ in at most ``radius`` bits, and
+    component_id is the least doc_id reachable by links. Equal fingerprints are one node. A
+    row with a null doc_id is in its component but never names it; a component of such rows
+    alone has a null component_id. ``stays`` marks the row that names the component (without
+    an id: the one of the least text_hash), and all rows equal to it.
     """
     rows = stored(fingerprints(docs, shingle), "fingerprints")
-    groups = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    groups = stored(rows.groupBy("fp").agg(first), "groups")
     linked = components(near_pairs(groups, radius))
     named = stored(
-        groups.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")),
+        groups.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
         "rooted",
     )
-    least = stored(named.groupBy(F.col("root").alias("r")).agg(F.min("least_id").alias("component_id")), "least")
-    of_fp = stored(named.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id"), "components")
-    return rows.join(of_fp, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+    least = stored(named.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("least")), "least")
+    of_fp = stored(named.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "least"), "components")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    return rows.join(of_fp, F.col("fp") == F.col("f")).select(
+        "doc_id", "text_hash", "fp", F.col("least.doc_id").alias("component_id"), stays.alias("stays")
+    )
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """One row of each component, with the columns of docs; of equal rows one stays."""
+    rows = stored(near_duplicates(docs, shingle, radius), "near")
+    gone = sized(stored(rows.where(~F.col("stays")).select("doc_id", "text_hash").distinct(), "gone"))
+    again = sized(stored(rows.where("stays").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash"), "again"))
+    text_hash = F.xxhash64("d.text")
+
+    def same(other: str):
+        return F.col("d.doc_id").eqNullSafe(F.col(f"{other}.doc_id")) & (text_hash == F.col(f"{other}.text_hash"))
+
+    kept = docs.alias("d").join(gone.alias("g"), same("g"), "left_anti")
+    if again.isEmpty():
+        return kept
+    once = kept.alias("d").join(again.alias("a"), same("a"), "left_anti")
+    return once.unionByName(kept.alias("d").join(again.alias("a"), same("a"), "left_semi").dropDuplicates(["doc_id", "text"]))
