@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exactdup, langid, mixing, secrets, simhash, tokenstore, toxicity
+from stratalake.llm import decontam, exactdup, langid, mixing, secrets, simhash, substrings, tokenstore, toxicity
 from stratalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document in strings of 100 bytes that start earlier too, and what is left."""
+    return substrings.repeated_substrings(table(spark, sf_dir, "documents"), length=100)
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document for equal shares of all sources, with their random place."""
