@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exactdup, langid, mixing, secrets, simhash, substrings, tokenstore, toxicity
+from stratalake.llm import decontam, exactdup, langid, mixing, secrets, simhash, substrings, tokencount, tokenstore, toxicity
 from stratalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,20 @@ SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM ranke
 """
 
 
+#: The edits of a text: a word is repeated at a quarter, a line is put in at the middle, the end goes.
+_EDITS = """array(
+  struct(length(text) div 4 as start, length(text) div 4 as end, split_part(text, ' ', 2) as text),
+  struct(length(text) div 2 as start, length(text) div 2 + 7 as end, concat('\\n  ', left(text, 20)) as text),
+  struct(length(text) - 9 as start, length(text) + 99 as end, '.' as text))"""
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, and after three edits counted without encoding it again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return tokencount.edited_counts(docs.withColumn("edits", F.expr(_EDITS)), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, with the best window of each."""
