@@ -29,11 +29,10 @@ _ALL_KEYS = """
     SELECT concat('move:', p_partkey) FROM part"""
 
 _REFS = """
-    SELECT concat('root:', id) AS key, concat('species:', supp) AS ref FROM u_root UNION ALL
-    SELECT concat('root:', root_id), concat('move:', move_id) FROM u_learn UNION ALL
-    SELECT concat('root:', root_id), concat('move:', move_id) FROM u_learn WHERE copies > 1"""
+    SELECT concat('root:', id) AS key, concat('species:', species) AS ref FROM u_root UNION ALL
+    SELECT concat('root:', l_orderkey), concat('move:', l_partkey) FROM lineitem"""
 
-_FIXED = "SELECT concat('type:', i) AS key FROM range(25) t(i)"
+_FIXED = "SELECT concat('type:', n_nationkey) AS key FROM nation"
 
 # captured before, as an earlier run that stopped half way would have left it: the special
 # moves, the roots in debt, the types of the first generation
@@ -101,7 +100,7 @@ def q_root_scope(layers: Layers) -> DataFrame:
 
 @query("fixed_keys", "SELECT concat('type:', n_nationkey) AS key, n_name AS name FROM nation")
 def q_fixed_keys(layers: Layers) -> DataFrame:
-    keys = fixed_keys(layers.spark, "type", universe.N_TYPES, first=0)
+    keys = fixed_keys(layers.spark, "type", layers.tables.nation.count(), first=0)
     named = layers.staging("type").select(
         F.concat_ws(":", F.lit("type"), F.col("id").cast("string")).alias("key"), "name"
     )

@@ -45,7 +45,7 @@ def _joined(names: str, alias: str) -> str:
 # --- functions ------------------------------------------------------------------------
 
 
-@query("ref_id", "SELECT id, supp AS species_id FROM u_root")
+@query("ref_id", "SELECT id, species AS species_id FROM u_root")
 def q_ref_id(layers: Layers) -> DataFrame:
     rows = _parsed(layers, "root", f"id bigint, species {_REF}")
     return rows.selectExpr("id", f"{ref_id('species.url')} AS species_id")
@@ -54,7 +54,7 @@ def q_ref_id(layers: Layers) -> DataFrame:
 @query(
     "slot_order",
     """SELECT id, (SELECT string_agg(name, ',' ORDER BY slot) FROM u_root_type t WHERE t.root_id = r.id) AS types,
-              concat('trait-', supp % 11, ',aura-', nation % 7) AS abilities FROM u_root r""",
+              concat('trait-', id % 11, ',aura-', nation % 7) AS abilities FROM u_root r""",
 )
 def q_slot_order(layers: Layers) -> DataFrame:
     ddl = f"id bigint, types array<struct<slot:int,type:{_REF}>>, abilities array<struct<slot:int,ability:{_REF}>>"
@@ -172,11 +172,11 @@ def _lists_joined(rows: DataFrame) -> DataFrame:
 @query(
     "stage_root",
     """SELECT r.id, r.name, height, weight, CASE WHEN balance >= 0 THEN weight END AS base_experience,
-              supp AS "order", balance >= 0 AS is_default, supp AS species_id,
+              id AS "order", balance >= 0 AS is_default, species AS species_id,
               (SELECT string_agg(t.name, ',' ORDER BY slot) FROM u_root_type t WHERE t.root_id = r.id) AS types,
-              concat('trait-', supp % 11, ',aura-', nation % 7) AS abilities, coalesce(l.moves, '') AS moves,
-              CASE WHEN balance >= 0 THEN concat('http://w/front/', supp, '/') END AS sprite_front_default,
-              CASE WHEN balance >= 5000 THEN concat('http://w/back/', supp, '/') END AS sprite_back_default,
+              concat('trait-', id % 11, ',aura-', nation % 7) AS abilities, coalesce(l.moves, '') AS moves,
+              CASE WHEN balance >= 0 THEN concat('http://w/front/', id, '/') END AS sprite_front_default,
+              CASE WHEN balance >= 5000 THEN concat('http://w/back/', id, '/') END AS sprite_back_default,
               hp, attack, defense, special_attack, special_defense, speed
        FROM u_root r LEFT JOIN (
            SELECT root_id, string_agg(slug, ',' ORDER BY slug) AS moves

@@ -9,7 +9,6 @@ from stratalake.workload.registry import query
 from stratalake.workload.shared import Layers
 
 TOP_TEAMS = 10
-POOL = 12
 
 
 def by_speed(speed: Column) -> Column:
@@ -161,13 +160,13 @@ def q_team_rank(layers: Layers) -> DataFrame:
 @query(
     "team_rank_by_status",
     """SELECT team_id, status, coverage, duplicates, firepower, CAST(rank AS INTEGER) AS rank FROM (
-           SELECT t.*, o_orderstatus AS status, row_number() OVER (PARTITION BY o_orderstatus
+           SELECT t.*, c_mktsegment AS status, row_number() OVER (PARTITION BY c_mktsegment
                ORDER BY coverage DESC, duplicates, firepower DESC, team_id) AS rank
-           FROM u_team t JOIN orders ON o_orderkey = team_id) WHERE rank <= 3""",
+           FROM u_team t JOIN customer ON c_custkey = team_id) WHERE rank <= 3""",
 )
 def q_team_rank_by_status(layers: Layers) -> DataFrame:
-    status = layers.tables.orders.select(
-        F.col("o_orderkey").alias("team_id"), F.col("o_orderstatus").alias("status")
+    status = layers.tables.customer.select(
+        F.col("c_custkey").alias("team_id"), F.col("c_mktsegment").alias("status")
     )
     objective = _objective(layers).drop("cover", "size").join(status, "team_id")
     return teams.team_rank(objective, 3, by=["status"])
@@ -185,19 +184,26 @@ def q_candidate_pool(layers: Layers) -> DataFrame:
     )
 
 
+# the customer of the dearest order
+_ADVERSARY = "(SELECT o_custkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1)"
+
+
+def _strongest(layers: Layers) -> DataFrame:
+    orders = layers.tables.orders.orderBy(F.desc("o_totalprice"), "o_orderkey")
+    return orders.limit(1).select(F.col("o_custkey").alias("team_id"))
+
+
 @query(
     "team_must_include",
-    """SELECT team_id FROM u_member m JOIN (
-           SELECT root_id FROM u_fact ORDER BY base_stat_total DESC, root_id LIMIT 2) s
-         ON s.root_id = m.root_id
-       GROUP BY team_id HAVING count(*) = 2""",
+    f"""WITH seeds AS (SELECT root_id FROM u_fact WHERE species_id = {_ADVERSARY}
+                      ORDER BY base_stat_total DESC, root_id LIMIT 2)
+        SELECT team_id FROM u_member m JOIN seeds s ON s.root_id = m.root_id
+        GROUP BY team_id HAVING count(*) = (SELECT count(*) FROM seeds)""",
 )
 def q_team_must_include(layers: Layers) -> DataFrame:
-    seeds = readers.top_roots(layers.star("fact_root"), 2)
-    return teams.must_include(_members(layers), seeds)
-
-
-_ADVERSARY = "(SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1)"
+    fact, strongest = layers.star("fact_root"), _strongest(layers)
+    of_team = fact.join(strongest.withColumnRenamed("team_id", "species_id"), "species_id", "left_semi")
+    return teams.must_include(_members(layers), readers.top_roots(of_team, 2))
 
 
 @query(
@@ -209,14 +215,9 @@ _ADVERSARY = "(SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_order
         GROUP BY team_id""",
 )
 def q_team_counter(layers: Layers) -> DataFrame:
-    strongest = (
-        layers.tables.orders.orderBy(F.desc("o_totalprice"), "o_orderkey")
-        .limit(1)
-        .select(F.col("o_orderkey").alias("team_id"))
-    )
     members = _members(layers)
     against = teams.types_of_team(
-        members.join(strongest, "team_id", "left_semi"), layers.star("bridge_root_type")
+        members.join(_strongest(layers), "team_id", "left_semi"), layers.star("bridge_root_type")
     )
     types = layers.star("dim_type").select("type_id")
     return teams.counter_coverage(_objective(layers), types, against).select("team_id", "coverage")
@@ -230,27 +231,6 @@ def q_team_size(layers: Layers) -> DataFrame:
     return teams.team_size(_members(layers))
 
 
-@query(
-    "team_beam",
-    f"""WITH pool AS (SELECT root_id, type_id, firepower FROM u_top
-                      ORDER BY firepower DESC, root_id LIMIT {POOL}),
-             trio AS (SELECT a.root_id AS a, b.root_id AS b, c.root_id AS c,
-                             a.firepower + b.firepower + c.firepower AS firepower,
-                             3 - len(list_distinct([a.type_id, b.type_id, c.type_id])) AS duplicates
-                      FROM pool a JOIN pool b ON a.root_id < b.root_id
-                                  JOIN pool c ON b.root_id < c.root_id),
-             cover AS (SELECT a, b, c, s.defending_type_id, max(s.score) AS score
-                       FROM trio JOIN u_best s ON s.root_id IN (a, b, c) GROUP BY ALL)
-        SELECT concat(t.a, '-', t.b, '-', t.c) AS team_id,
-               (SELECT min(score) FROM cover k WHERE k.a = t.a AND k.b = t.b AND k.c = t.c) AS coverage,
-               CAST(duplicates AS BIGINT) AS duplicates, firepower
-        FROM trio t""",
-)
-def q_team_beam(layers: Layers) -> DataFrame:
-    pool = _profile(layers).orderBy(F.desc("firepower"), "root_id").limit(POOL)
-    return teams.candidate_teams(pool, 3)
-
-
 # --- other readers --------------------------------------------------------------------
 
 

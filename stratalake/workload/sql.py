@@ -4,49 +4,37 @@ import re
 
 # view -> its SQL; a view may use the ones above it
 VIEWS: dict[str, str] = {
-    "u_part": """
-        SELECT l_suppkey AS supp, l_partkey AS part, count(*) AS copies,
-               count(*) FILTER (l_returnflag = 'A') AS n_a,
+    "u_types": """
+        SELECT count(*) AS n FROM nation""",
+    "u_learn": """
+        SELECT l_orderkey AS root_id, l_partkey AS move_id, count(*) AS copies FROM lineitem GROUP BY ALL""",
+    "u_item": """
+        SELECT l_orderkey AS id, count(*) FILTER (l_returnflag = 'A') AS n_a,
                count(*) FILTER (l_returnflag = 'N') AS n_n,
                count(*) FILTER (l_returnflag = 'R') AS n_r,
                count(*) FILTER (l_linestatus = 'O') AS n_o,
                count(*) FILTER (l_linestatus = 'F') AS n_f
         FROM lineitem GROUP BY ALL""",
-    "u_supp": """
-        SELECT supp, count(*) AS n_parts, sum(n_a) AS n_a, sum(n_n) AS n_n, sum(n_r) AS n_r,
-               sum(n_o) AS n_o, sum(n_f) AS n_f
-        FROM u_part GROUP BY supp""",
-    "u_lot": """
-        SELECT p.supp, p.part, p.copies,
-               CASE WHEN s.n_parts > 4096
-                    THEN p.part % CAST(ceil(s.n_parts / 4096.0) AS BIGINT) ELSE 0 END AS lot
-        FROM u_part p JOIN u_supp s USING (supp)""",
     "u_root": """
-        SELECT s.s_suppkey + l.lot * 1099511627776 AS id, s.s_suppkey AS supp, l.lot,
-               CASE WHEN l.lot = 0 THEN s.s_name ELSE concat(s.s_name, '#', l.lot) END AS name,
-               CAST(s.s_nationkey + 1 AS BIGINT) AS height,
-               CAST(floor(abs(s.s_acctbal)) AS BIGINT) AS weight, s.s_acctbal AS balance,
-               s.s_nationkey AS nation,
+        SELECT o.id, o.species, concat('order-', o.id) AS name, o.nation, o.balance,
+               CAST(o.nation + 1 AS BIGINT) AS height, o.weight,
                CAST(coalesce(u.n_a, 0) AS BIGINT) AS hp,
-               CAST(coalesce(u.n_n, 0) + floor(abs(s.s_acctbal)) AS BIGINT) AS attack,
+               CAST(coalesce(u.n_n, 0) + o.weight AS BIGINT) AS attack,
                CAST(coalesce(u.n_r, 0) AS BIGINT) AS defense,
-               CAST(coalesce(u.n_o, 0) + floor(abs(s.s_acctbal)) AS BIGINT) AS special_attack,
+               CAST(coalesce(u.n_o, 0) + o.weight AS BIGINT) AS special_attack,
                CAST(coalesce(u.n_f, 0) AS BIGINT) AS special_defense,
-               CAST(floor(abs(s.s_acctbal)) AS BIGINT) % 1000 AS speed
-        FROM supplier s
-        LEFT JOIN u_supp u ON u.supp = s.s_suppkey
-        JOIN (SELECT DISTINCT supp, lot FROM u_lot
-              UNION SELECT s_suppkey, 0 FROM supplier
-                    WHERE s_suppkey NOT IN (SELECT supp FROM u_part)) l
-          ON l.supp = s.s_suppkey""",
-    "u_learn": """
-        SELECT supp + lot * 1099511627776 AS root_id, part AS move_id, copies FROM u_lot""",
+               o.weight % 1000 AS speed
+        FROM (SELECT o_orderkey AS id, o_custkey AS species, o_orderkey % t.n AS nation,
+                     o_totalprice - 50000 AS balance,
+                     CAST(floor(abs(o_totalprice - 50000)) AS BIGINT) AS weight
+              FROM orders CROSS JOIN u_types t) o
+        LEFT JOIN u_item u ON u.id = o.id""",
     "u_root_type": """
         SELECT r.id AS root_id, n.n_nationkey AS type_id, n.n_name AS name, 1 AS slot
         FROM u_root r JOIN nation n ON n.n_nationkey = r.nation
         UNION ALL
         SELECT r.id, n.n_nationkey, n.n_name, 2
-        FROM u_root r JOIN nation n ON n.n_nationkey = (r.supp * 7) % 25
+        FROM u_root r CROSS JOIN u_types t JOIN nation n ON n.n_nationkey = (r.id * 7) % t.n
         WHERE n.n_nationkey <> r.nation""",
     "u_species": r"""
         SELECT c_custkey AS id, c_name AS name, c_custkey AS "order",
@@ -75,19 +63,19 @@ VIEWS: dict[str, str] = {
                CASE WHEN p_size >= 10 THEN CAST(p_size AS BIGINT) END AS pp,
                CAST(p_size % 3 AS BIGINT) AS priority,
                CASE WHEN p_size < 25 THEN CAST(p_size * 2 AS BIGINT) END AS effect_chance,
-               p_partkey % 25 AS type_id,
+               p_partkey % t.n AS type_id,
                CASE WHEN p_type = 'SMALL' THEN 'status'
                     WHEN p_type IN ('PROMO', 'LARGE') THEN 'special' ELSE 'physical' END AS damage_class,
                lower(p_brand) AS target, CAST(p_size % 5 AS BIGINT) AS generation_id
-        FROM part""",
+        FROM part CROSS JOIN u_types t""",
     "u_pair": """
         SELECT a.n_nationkey AS a, b.n_nationkey AS b, a.n_name AS a_name, b.n_name AS b_name,
-               CASE WHEN c.n IS NULL OR c.n * 62500 <= 70 * t.total THEN CAST(0 AS DOUBLE)
-                    WHEN c.n * 62500 >= 115 * t.total THEN CAST(2 AS DOUBLE)
-                    WHEN c.n * 62500 <= 90 * t.total THEN CAST(0.5 AS DOUBLE)
+               CASE WHEN c.n IS NULL OR c.n * k.n * k.n * 100 <= 70 * t.total THEN CAST(0 AS DOUBLE)
+                    WHEN c.n * k.n * k.n * 100 >= 115 * t.total THEN CAST(2 AS DOUBLE)
+                    WHEN c.n * k.n * k.n * 100 <= 90 * t.total THEN CAST(0.5 AS DOUBLE)
                     ELSE CAST(1 AS DOUBLE) END AS multiplier
         FROM nation a CROSS JOIN nation b
-        CROSS JOIN (SELECT count(*) AS total FROM lineitem) t
+        CROSS JOIN (SELECT count(*) AS total FROM lineitem) t CROSS JOIN u_types k
         LEFT JOIN (
             SELECT s.s_nationkey AS a, k.c_nationkey AS b, count(*) AS n
             FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
@@ -95,7 +83,7 @@ VIEWS: dict[str, str] = {
             JOIN customer k ON k.c_custkey = o.o_custkey
             GROUP BY ALL) c ON c.a = a.n_nationkey AND c.b = b.n_nationkey""",
     "u_fact": """
-        SELECT r.id AS root_id, r.supp AS species_id, r.name,
+        SELECT r.id AS root_id, r.species AS species_id, r.name,
                CAST(s.generation_id AS INTEGER) AS generation_id,
                CAST(r.hp AS INTEGER) AS hp, CAST(r.attack AS INTEGER) AS attack,
                CAST(r.defense AS INTEGER) AS defense, CAST(r.special_attack AS INTEGER) AS sp_atk,
@@ -103,7 +91,7 @@ VIEWS: dict[str, str] = {
                CAST(r.hp + r.attack + r.defense + r.special_attack + r.special_defense + r.speed
                     AS INTEGER) AS base_stat_total,
                CAST(r.height AS INTEGER) AS height, CAST(r.weight AS INTEGER) AS weight
-        FROM u_root r JOIN u_species s ON s.id = r.supp""",
+        FROM u_root r JOIN u_species s ON s.id = r.species""",
     "u_base": """
         SELECT l.root_id, l.move_id, CAST(m.type_id AS INTEGER) AS type_id,
                CAST(m.power AS DOUBLE)
@@ -130,7 +118,7 @@ VIEWS: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY root_id ORDER BY score DESC, move_id) AS rn
             FROM u_best) WHERE rn = 1""",
     "u_member": """
-        SELECT DISTINCT l_orderkey AS team_id, l_suppkey AS root_id FROM lineitem""",
+        SELECT DISTINCT o_custkey AS team_id, o_orderkey AS root_id FROM orders""",
     "u_cover": """
         SELECT m.team_id, b.defending_type_id, max(b.score) AS score
         FROM u_member m JOIN u_best b ON b.root_id = m.root_id GROUP BY ALL""",

@@ -409,7 +409,7 @@ def q_load_only(layers: Layers) -> DataFrame:
 @query(
     "full_refresh",
     """SELECT e AS entity_type, CAST(CASE e WHEN 'root' THEN (SELECT count(*) FROM u_root)
-                WHEN 'species' THEN (SELECT count(DISTINCT supp) FROM u_root)
+                WHEN 'species' THEN (SELECT count(DISTINCT species) FROM u_root)
                 WHEN 'move' THEN (SELECT count(DISTINCT move_id) FROM u_learn)
                 ELSE (SELECT count(*) FROM nation) END AS BIGINT) AS n, CAST(0 AS BIGINT) AS differing
        FROM (VALUES ('root'), ('species'), ('move'), ('type')) v(e)""",

@@ -1,22 +1,19 @@
 """Nested payloads derived from the given tables.
 
-supplier -> root, customer -> species, nation -> type, part -> move; lineitem gives the
-learnsets, the stats and the relations between types. Every row of every table counts.
+order -> root, customer -> species, nation -> type, part -> move; lineitem gives the
+learnsets, the stats and the relations between types. Every row of every table counts. An
+order has few lineitems, so a payload is short however large the tables are.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.bounded import bounded_list
 from stratalake.plans.star import MAX_TYPES
-from stratalake.sources.landing import encode_payload, fixed_keys
+from stratalake.sources.landing import encode_payload
 
-# A payload is one row, so its arrays must stay short however many lineitems a supplier has.
-# A supplier with more parts than this is told in several payloads ("lots"), none is cut.
-LOT_PARTS = 4096
-LOT_STEP = 1 << 40
-
-N_TYPES = 25  # the given nation table
+# taken off an order's price, so that some roots have a balance below 0
+DEBT = 50_000
 
 
 class Tables:
@@ -59,10 +56,15 @@ def _payload(rows: DataFrame, entity: str, document: dict[str, str]) -> DataFram
     )
 
 
-def supplier_parts(t: Tables) -> DataFrame:
-    """(l_suppkey, l_partkey, copies, counts by flag and status), reduced before the shuffle."""
-    return t.lineitem.groupBy("l_suppkey", "l_partkey").agg(
-        F.expr("count(*) AS copies"),
+def n_types(t: Tables) -> Column:
+    """How many nations there are; their keys run from 0."""
+    return t.nation.agg(F.expr("count(*)")).scalar()
+
+
+def order_items(t: Tables) -> DataFrame:
+    """(l_orderkey, parts, counts by flag and status): an order's part keys, repeats included."""
+    return t.lineitem.groupBy("l_orderkey").agg(
+        F.expr("sort_array(collect_list(l_partkey)) AS parts"),
         F.expr("count_if(l_returnflag = 'A') AS n_a"),
         F.expr("count_if(l_returnflag = 'N') AS n_n"),
         F.expr("count_if(l_returnflag = 'R') AS n_r"),
@@ -71,49 +73,26 @@ def supplier_parts(t: Tables) -> DataFrame:
     )
 
 
-def _lot_moves(parts: DataFrame, per_supplier: DataFrame) -> DataFrame:
-    """(s_suppkey, lot, parts): part keys, those sold more than once listed twice."""
-    many = per_supplier.where(f"n_parts > {LOT_PARTS}").selectExpr(
-        "l_suppkey", f"ceil(n_parts / {LOT_PARTS}) AS lots"
-    )
-    lot = F.expr("CAST(coalesce(l_partkey % lots, 0) AS BIGINT)")
-    listed = F.expr("sort_array(flatten(collect_list(array_repeat(l_partkey, CAST(least(copies, 2) AS INT)))))")
-    return (
-        parts.join(many, "l_suppkey", "left")
-        .groupBy(F.col("l_suppkey").alias("s_suppkey"), lot.alias("lot"))
-        .agg(listed.alias("parts"))
-    )
-
-
 def roots(t: Tables) -> DataFrame:
-    parts = supplier_parts(t)
-    per_supplier = parts.groupBy("l_suppkey").agg(
-        F.expr("count(*) AS n_parts"),
-        *[F.expr(f"sum({c}) AS {c}") for c in ("n_a", "n_n", "n_r", "n_o", "n_f")],
-    )
     nation = t.nation.select("n_nationkey", "n_name")
     rows = (
-        t.supplier.withColumn("other", F.expr(f"s_suppkey * 7 % {N_TYPES}"))
-        # merge: payloads are far larger than what they are joined from, so no broadcast, which
-        # would build all of them in the few tasks that scan the suppliers
-        .join(_lot_moves(parts, per_supplier).hint("merge"), "s_suppkey", "left")
-        .join(per_supplier.withColumnRenamed("l_suppkey", "s_suppkey"), "s_suppkey", "left")
-        .join(nation.toDF("s_nationkey", "type_1"), "s_nationkey")
+        t.orders.withColumn("n_types", n_types(t))
+        .withColumn("first", F.expr("o_orderkey % n_types"))
+        .withColumn("other", F.expr("o_orderkey * 7 % n_types"))
+        .join(order_items(t).withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+        .join(nation.toDF("first", "type_1"), "first")
         .join(nation.toDF("other", "type_2"), "other")
-        .selectExpr(
-            "*",
-            f"s_suppkey + coalesce(lot, 0) * {LOT_STEP} AS id",
-            f"{_whole('s_acctbal')} AS amount",
-        )
+        .selectExpr("*", f"o_totalprice - {DEBT} AS balance", "o_orderkey AS id")
+        .withColumn("amount", F.expr(_whole("balance")))
     )
 
     def stat(name: str, value: str) -> str:
         return f"struct(CAST({value} AS BIGINT) AS base_stat, {_named(f"'{name}'")} AS stat)"
 
-    first = f"struct(1 AS slot, {_ref('type_1', 'type', 's_nationkey')} AS type)"
+    first = f"struct(1 AS slot, {_ref('type_1', 'type', 'first')} AS type)"
     second = f"struct(2 AS slot, {_ref('type_2', 'type', 'other')} AS type)"
-    trait = f"struct(1 AS slot, {_named("concat('trait-', s_suppkey % 11)")} AS ability)"
-    aura = f"struct(3 AS slot, {_named("concat('aura-', s_nationkey % 7)")} AS ability)"
+    trait = f"struct(1 AS slot, {_named("concat('trait-', id % 11)")} AS ability)"
+    aura = f"struct(3 AS slot, {_named("concat('aura-', first % 7)")} AS ability)"
     move = _ref("concat('part-', p)", "move", "p")
     stats = [
         stat("speed", "-1"),  # a repeated name: the later entry counts
@@ -129,19 +108,19 @@ def roots(t: Tables) -> DataFrame:
         "root",
         {
             "id": "id",
-            "name": "CASE WHEN coalesce(lot, 0) = 0 THEN s_name ELSE concat(s_name, '#', lot) END",
-            "height": "s_nationkey + 1",
+            "name": "concat('order-', id)",
+            "height": "first + 1",
             "weight": "amount",
-            "base_experience": "CASE WHEN s_acctbal >= 0 THEN amount END",
-            "order": "s_suppkey",
-            "is_default": "s_acctbal >= 0",
-            "species": _ref("concat('species-', s_suppkey)", "species", "s_suppkey"),
-            "types": f"CASE WHEN s_nationkey = other THEN array({first}) ELSE array({second}, {first}) END",
+            "base_experience": "CASE WHEN balance >= 0 THEN amount END",
+            "order": "id",
+            "is_default": "balance >= 0",
+            "species": _ref("concat('species-', o_custkey)", "species", "o_custkey"),
+            "types": f"CASE WHEN first = other THEN array({first}) ELSE array({second}, {first}) END",
             "abilities": f"array({aura}, {trait})",
             "moves": f"transform(coalesce(parts, array()), p -> struct({move} AS move))",
             "sprites": (
-                f"struct(CASE WHEN s_acctbal >= 0 THEN {_url('front', 's_suppkey')} END AS front_default, "
-                f"CASE WHEN s_acctbal >= 5000 THEN {_url('back', 's_suppkey')} END AS back_default)"
+                f"struct(CASE WHEN balance >= 0 THEN {_url('front', 'id')} END AS front_default, "
+                f"CASE WHEN balance >= 5000 THEN {_url('back', 'id')} END AS back_default)"
             ),
             "stats": f"array({', '.join(stats)})",
         },
@@ -209,7 +188,7 @@ def pair_counts(t: Tables) -> DataFrame:
 def types(t: Tables) -> DataFrame:
     nations = t.nation.selectExpr("n_nationkey AS id", "n_name AS name")
     everyone = bounded_list(nations, ["id"], MAX_TYPES, "nation")
-    share = f"n * {N_TYPES * N_TYPES * 100}"
+    share = "n * n_types * n_types * 100"
     size = (
         f"CASE WHEN n IS NULL OR {share} <= 70 * total THEN 'no' "
         f"WHEN {share} >= 115 * total THEN 'double' WHEN {share} <= 90 * total THEN 'half' END"
@@ -219,6 +198,7 @@ def types(t: Tables) -> DataFrame:
         .selectExpr("id AS a", "name AS a_name", "other.id AS b", "other.name AS b_name")
         .join(pair_counts(t), ["a", "b"], "left")
         .withColumn("total", t.lineitem.agg(F.expr("count(*)")).scalar())
+        .withColumn("n_types", n_types(t))
         .selectExpr("a", "a_name", "b", "b_name", f"{size} AS size")
         .where("size IS NOT NULL")
     )
@@ -260,7 +240,7 @@ def moves(t: Tables) -> DataFrame:
         "WHEN p_type IN ('PROMO', 'LARGE') THEN 'special' ELSE 'physical' END"
     )
     return _payload(
-        t.part.withColumn("id", F.col("p_partkey")),
+        t.part.withColumn("id", F.col("p_partkey")).withColumn("n_types", n_types(t)),
         "move",
         {
             "id": "id",
@@ -270,7 +250,7 @@ def moves(t: Tables) -> DataFrame:
             "pp": "CASE WHEN p_size >= 10 THEN p_size END",
             "priority": "p_size % 3",
             "effect_chance": "CASE WHEN p_size < 25 THEN p_size * 2 END",
-            "type": _to("type", f"p_partkey % {N_TYPES}"),
+            "type": _to("type", "p_partkey % n_types"),
             "damage_class": _named(damage_class),
             "target": _named("lower(p_brand)"),
             "generation": _to("generation", "p_size % 5"),
@@ -285,11 +265,9 @@ def payloads(t: Tables) -> DataFrame:
 
 def all_types(t: Tables) -> DataFrame:
     """The fixed set of type keys."""
-    return fixed_keys(t.spark, "type", N_TYPES, first=0)
+    return t.nation.selectExpr("concat('type:', n_nationkey) AS key")
 
 
 def team_members(t: Tables) -> DataFrame:
-    """(team_id, root_id), distinct: a team is an order, its members the suppliers."""
-    return t.lineitem.select(
-        F.col("l_orderkey").alias("team_id"), F.col("l_suppkey").alias("root_id")
-    ).distinct()
+    """(team_id, root_id), distinct: a team is a customer, its members the customer's orders."""
+    return t.orders.select(F.col("o_custkey").alias("team_id"), F.col("o_orderkey").alias("root_id")).distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratalake.operators import quality
 from stratalake.operators.upsert import latest
 from stratalake.plans import star
-from stratalake.workload import universe
+from stratalake.workload.shared import Layers
 from stratalake.workload.universe import Tables
 
 
@@ -62,20 +62,23 @@ def test_checks_count_before_they_join(spark):
     assert [(r["key"], r["detail"]) for r in found.collect()] == [("slug-0", "100040")]
 
 
-def test_a_large_supplier_is_told_in_several_payloads(spark, monkeypatch):
-    t = Tables(spark, SF)
-    read = "from_json(payload, 'id bigint, moves array<struct<move:struct<url:string>>>')"
-
-    def edges():
-        docs = universe.roots(t).selectExpr(f"{read} AS d").selectExpr("d.id", "d.moves")
-        rows = docs.selectExpr("id", "size(moves) AS n", "explode(moves.move.url) AS url").collect()
-        return rows, {(r["id"] % universe.LOT_STEP, r["url"]) for r in rows}
-
-    _, whole = edges()
-    monkeypatch.setattr(universe, "LOT_PARTS", 50)
-    rows, split = edges()
-    assert split == whole  # nothing is dropped
-    assert max(r["n"] for r in rows) < 150 and len({r["id"] for r in rows}) > 30
+def test_a_supplier_with_a_third_of_all_lineitems(spark, tmp_path):
+    """Payloads stay short, and every lineitem is a move of its one root."""
+    folder = str(tmp_path)
+    for name in ("nation", "customer", "supplier", "part", "orders", "lineitem"):
+        rows = spark.read.parquet(f"{SF}/{name}.parquet")
+        if name == "lineitem":
+            rows = rows.withColumn("l_suppkey", F.expr("if(l_partkey % 3 = 0, 1L, l_suppkey)"))
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    layers = Layers(spark, folder)
+    fact, items = layers.star("fact_root"), Tables(spark, folder).lineitem
+    assert fact.count() == fact.select("root_id").distinct().count() == Tables(spark, folder).orders.count()
+    read = "from_json(payload, 'moves array<struct<move:struct<url:string>>>').moves"
+    sizes = layers.raw.where("entity_type = 'root'").selectExpr(f"size({read}) AS n").collect()
+    assert sum(r["n"] for r in sizes) == items.count() and max(r["n"] for r in sizes) < 30
+    learned = layers.star("bridge_root_move").selectExpr("root_id", "move_id")
+    want = items.selectExpr("l_orderkey AS root_id", "l_partkey AS move_id").distinct()
+    assert learned.exceptAll(want).count() == want.exceptAll(learned).count() == 0
 
 
 def test_dense_matrix_needs_no_join(spark):

@@ -192,18 +192,6 @@ def test_team_objective(spark, world):
     assert got[900] == (0.0, 0, 0.0)
 
 
-def test_candidate_teams_exact_and_beam(world):
-    best = world[2]
-    pool = profile(world)
-    ids = sorted({r for r, _ in best})
-    exact = {r["team_id"]: (r["coverage"], r["duplicates"], r["firepower"]) for r in teams.candidate_teams(pool, 3).collect()}
-    assert exact == {
-        "-".join(map(str, c)): objective_by_hand(best, c) for c in itertools.combinations(ids, 3)
-    }
-    few = {r["team_id"] for r in teams.candidate_teams(pool, 3, width=4).collect()}
-    assert len(few) == 4 and few <= set(exact)
-
-
 def test_ranking(spark):
     rows = [(1, 5.0, 1, 9.0, "x"), (2, 5.0, 0, 1.0, "x"), (3, 6.0, 9, 0.0, "y"), (4, 5.0, 0, 2.0, "y")]
     frame = spark.createDataFrame(rows, "team_id int, coverage double, duplicates int, firepower double, g string")
