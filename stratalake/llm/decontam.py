@@ -46,6 +46,13 @@ def simhash(of: str) -> str:
     return f"transform(array(array({sums})), s -> {bits})[0]"
 
 
+def _once(rows: DataFrame, **made: str) -> DataFrame:
+    """Columns computed once a row: an explode of one element keeps them out of the lambdas that use them."""
+    fields = ", ".join(f"'{name}', {value}" for name, value in made.items())
+    held = rows.select("*", F.explode(F.expr(f"array(named_struct({fields}))")).alias("_made"))
+    return held.select(*rows.columns, *(F.col(f"_made.{name}").alias(name) for name in made))
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """(item_id, item_words, item_hashes, n_shingles, item_fp) of items of SHINGLE words or more."""
     rows = benchmark.select("item_id", F.expr(words()).alias("item_words")).where(F.size("item_words") >= SHINGLE)
@@ -99,18 +106,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     r = r.select("r.doc_id", "r.text_hash", "r.text", "m.item_id", "m.places").distinct()
     full = r.join(sized(items.select(F.col("item_id").alias("id"), "n_shingles")), F.col("item_id") == F.col("id"))
-    full = full.select("doc_id", "text_hash", "item_id", "places", "n_shingles", F.expr(words()).alias("w"))
-    full = full.withColumns({"size": F.least(F.size("w") - SHINGLE + 1, "n_shingles"), "last": F.expr(f"greatest(size(w) - {SHINGLE} + 1 - n_shingles, 0)")})
-    need = F.lit(SIMILARITY) * (F.col("size") + F.col("n_shingles")) / (1 + SIMILARITY) - 1e-9
+    full = _once(full.select("doc_id", "text_hash", "item_id", "places", "n_shingles", "text"), w=words()).drop("text")
+    full = _once(full, size=f"least(size(w) - {SHINGLE} + 1, n_shingles)", last=f"greatest(size(w) - {SHINGLE} + 1 - n_shingles, 0)")
+    full = _once(full, need=f"{SIMILARITY}D * (size + n_shingles) / {1 + SIMILARITY}D - 1e-9D")
     starts = "array_distinct(flatten(transform(places, p -> sequence(least(greatest(p - n_shingles + 1, 0), last), least(p, last)))))"
     held = "filter({}, s -> size(filter(places, p -> p >= s and p < s + size)) >= need)"
     windows = (
-        full.withColumn("need", need)
-        .select("doc_id", "text_hash", "n_shingles", "size", "w", F.explode(F.expr(held.format(starts))).alias("start"))
+        full.select("doc_id", "text_hash", "n_shingles", "size", "w", F.explode(F.expr(held.format(starts))).alias("start"))
         .select("doc_id", "text_hash", "n_shingles", "start", F.expr(f"slice(w, start + 1, size + {SHINGLE} - 1)").alias("window"))
         .distinct()
-        .withColumn("fp", F.expr(f"transform(array({hashes('window')}), g -> {simhash('g')})[0]"))
     )
+    windows = _once(windows, fp=f"transform(array({hashes('window')}), g -> {simhash('g')})[0]")
     blocks = F.expr(
         f"transform(sequence(0, {BLOCKS - 1}), i -> struct(i as block, shiftrightunsigned(fp, {_WIDTH} * i) & {2**_WIDTH - 1}L as key))"
     )
@@ -124,9 +130,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         & F.expr(f"bit_count(fp ^ item_fp) <= {RADIUS} AND {first}"),
     )
     shingles = "transform(sequence(0, size({0}) - {1}), i -> array_join(slice({0}, i + 1, {1}), ' '))"
-    checked = pairs.withColumns({"a": F.expr(shingles.format("window", SHINGLE)), "c": F.expr(shingles.format("item_words", SHINGLE))})
+    checked = _once(pairs, a=shingles.format("window", SHINGLE), c=shingles.format("item_words", SHINGLE))
     shared = "aggregate(array_distinct(c), 0, (n, x) -> n + least(size(filter(a, y -> y = x)), size(filter(c, y -> y = x))))"
-    checked = checked.withColumn("shared", F.expr(shared)).withColumn("similarity", F.expr("shared / (size(a) + size(c) - shared)"))
+    checked = _once(checked, shared=shared).withColumn("similarity", F.expr("shared / (size(a) + size(c) - shared)"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), F.size("window").alias("n_words"))).alias("best")
     return checked.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "text_hash", "item_id").agg(best).select(
         "doc_id",
