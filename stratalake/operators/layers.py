@@ -4,15 +4,17 @@ import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.discovery import new_records, wanted_keys
+from stratalake.operators.discovery import absent, new_records, wanted_keys
 from stratalake.operators.lineage import FAILED, RUNNING, SUCCESS
-from stratalake.plans.entities import ENTITIES, accepted, checked, project, rejected
-from stratalake.plans.star import star
-from stratalake.sources.landing import existing_keys, raw_by_entity
+from stratalake.plans.entities import ENTITIES, accepted, all_accepted, checked, rejected
+from stratalake.plans.star import orphans, star
+from stratalake.sources.landing import existing_keys
+from stratalake.sources.shared import checkpointed, tuned
 from stratalake.sources.store import Warehouse
 
 LAYERS = ("raw", "staging", "analytics")
@@ -29,42 +31,72 @@ def capture(
     limit: int | None = None,
     fixed: DataFrame | None = None,
 ) -> int:
-    """Add what the source has and raw lacks; records already captured stay as they are."""
-    existing = existing_keys(warehouse.table("raw.records"))
-    pending = wanted_keys(warehouse.spark, source, existing, limit=limit, fixed=fixed)
-    return warehouse.append("raw.records", new_records(source, pending))
+    """Add what the source has and raw lacks; records already captured stay as they are.
+
+    A referenced or fixed key that the source doesn't have fails the capture before anything
+    is written. The keys of the source are read once, stored, and everything is decided on
+    them; payloads are read for the references of the roots and for what is new.
+    """
+    with tuned(warehouse.spark):
+        existing = existing_keys(warehouse.table("raw.records"))
+        pending = checkpointed(wanted_keys(warehouse.spark, source, existing, limit=limit, fixed=fixed))
+        lacking = absent(pending, source.select("key")).orderBy("key").limit(10).collect()
+        if lacking:
+            raise ValueError(f"the source lacks what is to be captured: {', '.join(r['key'] for r in lacking)}")
+        return warehouse.upsert("raw.records", new_records(source, pending), seq="seq")
 
 
 def load(warehouse: Warehouse, on_error: str = "fail") -> dict[str, int]:
     """Raw -> staging, entity by entity; returns the rows written.
 
+    Of payloads with the same id the one fetched last stays, then the one of the last key.
     ``fail``: an invalid payload fails the write of its entity, which then keeps its
-    previous content. ``quarantine``: invalid payloads go to ``staging.rejects``.
+    previous content. ``quarantine``: invalid payloads are in ``staging.rejects`` as long as
+    they are invalid; payloads are parsed once, and rows and rejects change in one commit.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error: {on_error}")
-    raw = warehouse.table("raw.records")
-    written = {}
-    for entity, spec in ENTITIES.items():
-        payloads = raw_by_entity(raw, entity)
-        if on_error == "fail":
-            rows = project(payloads, spec)
-        else:
-            both = checked(payloads, spec)
-            rows = accepted(both).drop("key")
-            bad = rejected(both).withColumn("entity_type", F.lit(entity))
-            warehouse.upsert("staging.rejects", bad)
-        written[entity] = warehouse.upsert(spec.table, rows)
-    return written
+    with tuned(warehouse.spark):
+        raw = warehouse.table("raw.records")
+        staged, rejects = [], []
+        written = {}
+        for entity, spec in ENTITIES.items():
+            payloads = raw.where(F.col("entity_type") == entity).select("key", "payload", "fetched_at")
+            both = checked(payloads, spec, "fetched_at")
+            if on_error == "fail":
+                rows = all_accepted(both)
+                written[entity] = warehouse.upsert(spec.table, _by_id(rows), seq="_seq")
+                continue
+            both = checkpointed(both)
+            staged.append(warehouse.stage_upsert(spec.table, _by_id(accepted(both)), seq="_seq"))
+            rejects.append(rejected(both).withColumn("entity_type", F.lit(entity)))
+            written[entity] = staged[-1].rows
+        if rejects:
+            bad = reduce(DataFrame.unionByName, rejects)
+            warehouse.commit(*(s for s in staged if s.rows), warehouse.stage_overwrite("staging.rejects", bad))
+        return written
+
+
+def _by_id(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_seq", F.struct("fetched_at", "key")).drop("fetched_at", "key")
 
 
 def build_star(warehouse: Warehouse) -> dict[str, int]:
-    """Staging -> analytics, every table anew; all of them change in one commit."""
-    frames = star(*(warehouse.table(ENTITIES[e].table) for e in ("root", "species", "type", "move")))
-    with ThreadPoolExecutor(len(frames)) as pool:  # independent jobs: small ones fill the gaps
-        staged = list(pool.map(warehouse.stage_overwrite, frames.keys(), frames.values()))
-    warehouse.commit(*staged)
-    return {s.table: s.rows for s in staged}
+    """Staging -> analytics, every table anew; all of them change in one commit.
+
+    A root whose species isn't staged, or a slug without an entry, fails the build:
+    :func:`stratalake.plans.star.orphans` lists them.
+    """
+    with tuned(warehouse.spark):
+        staging = [warehouse.table(ENTITIES[e].table) for e in ("root", "species", "type", "move")]
+        found = orphans(*staging).orderBy("relation", "name").limit(10).collect()
+        if found:
+            raise ValueError("not in staging: " + "; ".join(f"{r['relation']} {r['name']} ({r['n']})" for r in found))
+        frames = star(*staging)
+        with ThreadPoolExecutor(len(frames)) as pool:  # independent jobs: small ones fill the gaps
+            staged = list(pool.map(warehouse.stage_overwrite, frames.keys(), frames.values()))
+        warehouse.commit(*staged)
+        return {s.table: s.rows for s in staged}
 
 
 def rebuild(

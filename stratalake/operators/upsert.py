@@ -17,13 +17,18 @@ def latest(rows: DataFrame, key: list[str], seq: str) -> DataFrame:
     return picked.select(columns)
 
 
+def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that occur more than once."""
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+
+
 def latest_wide(rows: DataFrame, key: list[str], seq: str) -> DataFrame:
     """As :func:`latest`, for wide rows of which few are superseded.
 
     Only the keys are shuffled to find those that occur twice; the rows of all other keys
     stay where they are as long as the list of repeated keys is small enough to broadcast.
     """
-    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    repeated = repeated_keys(rows, key)
     once = rows.join(repeated, key, "left_anti")
     return once.unionByName(latest(rows.join(repeated, key, "left_semi"), key, seq))
 
@@ -33,15 +38,6 @@ def merge_rows(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame
     return stored.join(batch.select(*key), key, "left_anti")
 
 
-def stay_by_key(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """As :func:`merge_rows`, for a batch that replaces most of what is stored.
-
-    The few keys that stay are found on keys alone; the wide rows then meet a short list
-    instead of the long one of the batch.
-    """
-    return stored.join(merge_rows(stored.select(*key), batch, key), key, "left_semi")
-
-
 def upsert_rows(stored: DataFrame, batch: DataFrame, key: list[str], seq: str | None = None) -> DataFrame:
     """Stored rows with the batch inserted or replaced, as one DataFrame."""
     if seq is not None:

@@ -270,8 +270,8 @@ ENTITIES: dict[str, EntitySpec] = {s.entity: s for s in (ROOT, SPECIES, TYPE, MO
 # --- projection and gate --------------------------------------------------------------
 
 
-def checked(payloads: DataFrame, spec: EntitySpec) -> DataFrame:
-    """(key, payload) -> key, payload, the staging columns, and the list of ``problems``."""
+def checked(payloads: DataFrame, spec: EntitySpec, *kept: str) -> DataFrame:
+    """(key, payload) -> key, payload, further columns ``kept``, the staging columns, and the list of ``problems``."""
     corrupt = "_malformed"
     document = (
         f"from_json(payload, '{spec.payload}, {corrupt} string', "
@@ -279,12 +279,13 @@ def checked(payloads: DataFrame, spec: EntitySpec) -> DataFrame:
     )
     # explode of one element: without it the filter on the problems is pushed below this
     # select, and with it a copy of the parse for every field the filter looks at
-    parsed = payloads.selectExpr("key", "payload", f"explode(array({document})) AS d")
+    parsed = payloads.selectExpr("key", "payload", *kept, f"explode(array({document})) AS d")
     broken = f"CASE WHEN d IS NULL OR d.{corrupt} IS NOT NULL THEN 'payload: {MALFORMED}' END"
     found = [f"concat('{f.name}: ', {f.problem})" for f in spec.fields]
     return parsed.selectExpr(
         "key",
         "payload",
+        *kept,
         *[f"{f.value} AS `{f.name}`" for f in spec.fields],
         f"array_compact(array({', '.join([broken, *found])})) AS problems",
     )

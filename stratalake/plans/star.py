@@ -49,9 +49,9 @@ def row_total(columns: tuple[str, ...]) -> Column:
 
 
 def fact_root(roots: DataFrame, species: DataFrame) -> DataFrame:
-    """One row per root; the generation comes from its species."""
+    """One row per root; the generation comes from its species, and is null without one."""
     generations = species.select(F.col("id").alias("species_id"), "generation_id")
-    joined = roots.join(generations, "species_id")
+    joined = roots.join(generations, "species_id", "left")
     return joined.select(
         F.col("id").alias("root_id"),
         "species_id",
@@ -100,6 +100,18 @@ def unresolved(rows: DataFrame, dim: DataFrame) -> DataFrame:
     return counted.join(dim.select(F.col("name").alias("slug")), "slug", "left_anti")
 
 
+def orphans(roots: DataFrame, species: DataFrame, types: DataFrame, moves: DataFrame) -> DataFrame:
+    """(relation, name, n): what roots refer to and staging lacks; counted before the joins."""
+    of_species = roots.groupBy("species_id").agg(F.count(F.lit(1)).alias("n"))
+    known = species.select(F.col("id").alias("species_id"))
+    lacking = of_species.join(known, "species_id", "left_anti")
+    found = lacking.select(F.lit("species").alias("relation"), F.col("species_id").cast("string").alias("name"), "n")
+    for relation, slugs, dim in (("type", type_slugs(roots), types), ("move", move_slugs(roots), moves)):
+        rows = unresolved(slugs, dim).select(F.lit(relation).alias("relation"), F.col("slug").alias("name"), "n")
+        found = found.unionByName(rows)
+    return found
+
+
 def bridge_root_type(roots: DataFrame, types: DataFrame) -> DataFrame:
     return resolve(type_slugs(roots), types, "type_id").select("root_id", "type_id", "slot")
 

@@ -1,6 +1,7 @@
 """The declared tables of the four layers. Nothing is inferred from data."""
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,129 +10,120 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Columns in stored order, primary key and partition columns of one table."""
+    """Columns in stored order as DDL, primary key and partition columns of one table."""
 
-    schema: T.StructType
+    columns: str
     key: list[str]
     partition_by: tuple[str, ...] = ()
 
-
-_TYPES = {
-    "bigint": T.LongType(),
-    "int": T.IntegerType(),
-    "smallint": T.ShortType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-    "strings": T.ArrayType(T.StringType(), containsNull=False),
-}
-
-
-def _schema(columns: str) -> T.StructType:
-    """``"name type, ..."`` -> StructType; NOT NULL unless the type ends in ``?``."""
-    fields = []
-    for column in columns.split(","):
-        name, kind = column.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("?")], kind.endswith("?")))
-    return T.StructType(fields)
+    @cached_property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromDDL(self.columns)
 
 
-# Ids that grow with the data are BIGINT throughout; measures, type ids and generations of
-# the star are INTEGER.
+# Table and column names. Ids that grow with the data are BIGINT throughout;
+# measures, type ids and generations of the star are INTEGER.
 TABLES: dict[str, TableSpec] = {
     "raw.records": TableSpec(
-        _schema("key string, entity_type string, payload string, fetched_at timestamp"),
+        "key STRING NOT NULL, entity_type STRING NOT NULL, payload STRING NOT NULL, "
+        "fetched_at TIMESTAMP NOT NULL",
         ["key"],
         ("entity_type",),
     ),
     "staging.root": TableSpec(
-        _schema(
-            "id bigint, name string, height bigint, weight bigint, base_experience bigint?, "
-            "order bigint, is_default boolean, species_id bigint, types strings, "
-            "abilities strings, moves strings, sprite_front_default string?, "
-            "sprite_back_default string?, hp bigint, attack bigint, defense bigint, "
-            "special_attack bigint, special_defense bigint, speed bigint"
-        ),
+        "id BIGINT NOT NULL, name STRING NOT NULL, height BIGINT NOT NULL, "
+        "weight BIGINT NOT NULL, base_experience BIGINT, `order` BIGINT NOT NULL, "
+        "is_default BOOLEAN NOT NULL, species_id BIGINT NOT NULL, "
+        "types ARRAY<STRING> NOT NULL, abilities ARRAY<STRING> NOT NULL, "
+        "moves ARRAY<STRING> NOT NULL, sprite_front_default STRING, "
+        "sprite_back_default STRING, hp BIGINT NOT NULL, attack BIGINT NOT NULL, "
+        "defense BIGINT NOT NULL, special_attack BIGINT NOT NULL, "
+        "special_defense BIGINT NOT NULL, speed BIGINT NOT NULL",
         ["id"],
     ),
     "staging.species": TableSpec(
-        _schema(
-            "id bigint, name string, order bigint, generation_id bigint, "
-            "evolution_chain_id bigint, evolves_from_id bigint?, is_legendary boolean, "
-            "is_mythical boolean, is_baby boolean, capture_rate bigint, base_happiness bigint?, "
-            "gender_rate bigint, hatch_counter bigint?, has_gender_differences boolean, "
-            "forms_switchable boolean, growth_rate string, color string, shape string?, "
-            "habitat string?, egg_groups strings, flavor_text string?"
-        ),
+        "id BIGINT NOT NULL, name STRING NOT NULL, `order` BIGINT NOT NULL, "
+        "generation_id BIGINT NOT NULL, evolution_chain_id BIGINT NOT NULL, "
+        "evolves_from_id BIGINT, is_legendary BOOLEAN NOT NULL, "
+        "is_mythical BOOLEAN NOT NULL, is_baby BOOLEAN NOT NULL, "
+        "capture_rate BIGINT NOT NULL, base_happiness BIGINT, "
+        "gender_rate BIGINT NOT NULL, hatch_counter BIGINT, "
+        "has_gender_differences BOOLEAN NOT NULL, forms_switchable BOOLEAN NOT NULL, "
+        "growth_rate STRING NOT NULL, color STRING NOT NULL, shape STRING, "
+        "habitat STRING, egg_groups ARRAY<STRING> NOT NULL, flavor_text STRING",
         ["id"],
     ),
     "staging.type": TableSpec(
-        _schema(
-            "id bigint, name string, generation_id bigint, move_damage_class string?, "
-            "double_damage_to strings, double_damage_from strings, half_damage_to strings, "
-            "half_damage_from strings, no_damage_to strings, no_damage_from strings"
-        ),
+        "id BIGINT NOT NULL, name STRING NOT NULL, generation_id BIGINT NOT NULL, "
+        "move_damage_class STRING, double_damage_to ARRAY<STRING> NOT NULL, "
+        "double_damage_from ARRAY<STRING> NOT NULL, "
+        "half_damage_to ARRAY<STRING> NOT NULL, half_damage_from ARRAY<STRING> NOT NULL, "
+        "no_damage_to ARRAY<STRING> NOT NULL, no_damage_from ARRAY<STRING> NOT NULL",
         ["id"],
     ),
     "staging.move": TableSpec(
-        _schema(
-            "id bigint, name string, power bigint?, accuracy bigint?, pp bigint?, "
-            "priority bigint, effect_chance bigint?, type_id bigint, damage_class string, "
-            "target string, generation_id bigint"
-        ),
+        "id BIGINT NOT NULL, name STRING NOT NULL, power BIGINT, accuracy BIGINT, "
+        "pp BIGINT, priority BIGINT NOT NULL, effect_chance BIGINT, "
+        "type_id BIGINT NOT NULL, damage_class STRING NOT NULL, target STRING NOT NULL, "
+        "generation_id BIGINT NOT NULL",
         ["id"],
     ),
     "staging.rejects": TableSpec(
-        _schema("key string, entity_type string, payload string, problems strings"),
+        "key STRING NOT NULL, entity_type STRING NOT NULL, payload STRING NOT NULL, "
+        "problems ARRAY<STRING> NOT NULL",
         ["key"],
     ),
-    "analytics.dim_type": TableSpec(_schema("type_id int, name string"), ["type_id"]),
+    "analytics.dim_type": TableSpec("type_id INT NOT NULL, name STRING NOT NULL", ["type_id"]),
     "analytics.dim_species": TableSpec(
-        _schema(
-            "species_id bigint, name string, evolution_chain_id bigint, "
-            "evolves_from_species_id bigint?, is_legendary boolean, is_mythical boolean, "
-            "generation_id int"
-        ),
+        "species_id BIGINT NOT NULL, name STRING NOT NULL, "
+        "evolution_chain_id BIGINT NOT NULL, evolves_from_species_id BIGINT, "
+        "is_legendary BOOLEAN NOT NULL, is_mythical BOOLEAN NOT NULL, "
+        "generation_id INT NOT NULL",
         ["species_id"],
     ),
     "analytics.dim_move": TableSpec(
-        _schema(
-            "move_id bigint, name string, type_id int, power int?, accuracy int?, "
-            "damage_class string, pp int?"
-        ),
+        "move_id BIGINT NOT NULL, name STRING NOT NULL, type_id INT NOT NULL, power INT, "
+        "accuracy INT, damage_class STRING NOT NULL, pp INT",
         ["move_id"],
     ),
     "analytics.fact_root": TableSpec(
-        _schema(
-            "root_id bigint, species_id bigint, name string, generation_id int, hp int, "
-            "attack int, defense int, sp_atk int, sp_def int, speed int, base_stat_total int, "
-            "height int, weight int"
-        ),
+        "root_id BIGINT NOT NULL, species_id BIGINT NOT NULL, name STRING NOT NULL, "
+        "generation_id INT NOT NULL, hp INT NOT NULL, attack INT NOT NULL, "
+        "defense INT NOT NULL, sp_atk INT NOT NULL, sp_def INT NOT NULL, "
+        "speed INT NOT NULL, base_stat_total INT NOT NULL, height INT NOT NULL, "
+        "weight INT NOT NULL",
         ["root_id"],
     ),
     "analytics.bridge_root_type": TableSpec(
-        _schema("root_id bigint, type_id int, slot smallint"), ["root_id", "type_id"]
+        "root_id BIGINT NOT NULL, type_id INT NOT NULL, slot SMALLINT NOT NULL", ["root_id", "type_id"]
     ),
     "analytics.bridge_root_move": TableSpec(
-        _schema("root_id bigint, move_id bigint"), ["root_id", "move_id"]
+        "root_id BIGINT NOT NULL, move_id BIGINT NOT NULL", ["root_id", "move_id"]
     ),
     "analytics.bridge_type_effectiveness": TableSpec(
-        _schema("attacking_type_id int, defending_type_id int, multiplier double"),
+        "attacking_type_id INT NOT NULL, defending_type_id INT NOT NULL, "
+        "multiplier DOUBLE NOT NULL",
         ["attacking_type_id", "defending_type_id"],
     ),
     "meta.run_events": TableSpec(
-        _schema(
-            "run_id string, seq int, at timestamp, status string, scope_limit bigint?, "
-            "stages strings?, raw_written bigint?, staging_written bigint?, error string?"
-        ),
+        "run_id STRING NOT NULL, seq INT NOT NULL, `at` TIMESTAMP NOT NULL, "
+        "status STRING NOT NULL, scope_limit BIGINT, stages ARRAY<STRING>, "
+        "raw_written BIGINT, staging_written BIGINT, error STRING",
         ["run_id", "seq"],
     ),
 }
 
 
-def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in declared order and type; quoted, since ``order`` is one of them."""
-    return rows.select(
-        [F.col(f"`{f.name}`").cast(f.dataType.simpleString()).alias(f.name) for f in schema]
-    )
+def conform(rows: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
+    """The declared columns in declared order and type, then ``more``; quoted, since ``order`` is one of them.
+
+    A null in a column declared NOT NULL fails the job.
+    """
+
+    def value(f: T.StructField) -> F.Column:
+        column = F.col(f"`{f.name}`").cast(f.dataType.simpleString())
+        if not f.nullable:
+            column = F.coalesce(column, F.raise_error(F.lit(f"null in {f.name}")).cast(f.dataType.simpleString()))
+        return column.alias(f.name)
+
+    return rows.select([value(f) for f in schema] + [F.col(c) for c in more])

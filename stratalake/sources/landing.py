@@ -33,11 +33,13 @@ def landing_lines(reader: DataFrameReader | DataStreamReader, path: str) -> Data
     """(key, payload) of a tree of bundles, one payload per line.
 
     The layout for many payloads, where a file each would be more files than a store can
-    list. The entity comes from the folder, the id from the payload.
+    list. The entity comes from the folder, the id from the payload; a line without one fails.
     """
     entity = f"regexp_extract({_PATH}, r'{FILE_OF_MANY}', 1)"
     lines = reader.text(path, recursiveFileLookup=True)
-    key = _or_bad_path(entity, f"concat({entity}, ':', get_json_object(value, '$.id'))")
+    number = "get_json_object(value, '$.id')"
+    no_id = f"raise_error(concat('payload without id in: ', {_PATH}, ': ', left(value, 200)))"
+    key = _or_bad_path(entity, f"concat({entity}, ':', coalesce({number}, {no_id}))")
     return lines.selectExpr(key, "value AS payload")
 
 
@@ -52,10 +54,10 @@ def encode_payload(document: str) -> str:
     return f"to_json({document}, map('ignoreNullFields', 'false'))"
 
 
-def envelope(payloads: DataFrame) -> DataFrame:
-    """(key, payload) -> raw record."""
+def envelope(payloads: DataFrame, *more: str) -> DataFrame:
+    """(key, payload) -> raw record, with further columns ``more``."""
     return payloads.selectExpr(
-        "key", f"{key_entity()} AS entity_type", "payload", "current_timestamp() AS fetched_at"
+        "key", f"{key_entity()} AS entity_type", "payload", "current_timestamp() AS fetched_at", *more
     )
 
 

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,17 +40,34 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+#: Runtime settings every plan here counts on. AQE with splitting of skewed joins, also where
+#: that costs a further shuffle. Shuffled partitions may be as small as 256 KB: payloads are
+#: built from and parsed out of few bytes with much computing, so cores matter more than
+#: partition size. Lists are collected in hash maps of up to 4,096 keys a task before it sorts
+#: (default 128): they hold no more than the rows of the task, and a sort would serialize
+#: every list.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+}
+
+
 def tune(spark: SparkSession) -> None:
-    """Runtime settings every plan here counts on.
+    """Apply the settings to a session."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
 
-    AQE with splitting of skewed joins, also where that costs a further shuffle. Shuffled
-    partitions may be as small as 256 KB: payloads are built from and parsed out of few
-    bytes with much computing, so cores matter more than partition size. Lists are collected
-    in hash maps of up to 4,096 keys a task before it sorts (default 128): they hold no more
-    than the rows of the task, and a sort would serialize every list.
-    """
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
+
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[None]:
+    """The settings for the jobs inside; the session's own come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    tune(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

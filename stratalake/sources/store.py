@@ -9,18 +9,18 @@ import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.upsert import latest, merge_rows, stay_by_key
+from stratalake.operators.upsert import latest_wide, merge_rows, repeated_keys
 from stratalake.plans.tables import TABLES, conform
 from stratalake.sources.shared import path_exists
 
-_LOG = "seq bigint, table string, folders array<string>, rows bigint"
-_LOG_FIELDS = "seq:bigint,table:string,folders:array<string>,rows:bigint"
+_LOG = "seq bigint, table string, adds boolean, folders array<string>, rows bigint"
+_LOG_FIELDS = "seq:bigint,table:string,adds:boolean,folders:array<string>,rows:bigint"
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,7 @@ class Staged:
     table: str
     folders: tuple[str, ...]
     rows: int
+    adds: bool = False  # to the content, which it replaces otherwise
 
 
 class Warehouse:
@@ -44,12 +45,13 @@ class Warehouse:
         if not path_exists(self.spark, f"{self.path}/_log"):
             return {}, 0
         log = self.spark.read.schema(_LOG).json(f"{self.path}/_log")
-        # one line per table of the catalogue
-        current = log.groupBy("table").agg(F.max(F.struct("seq", "folders")).alias("c")).collect()
-        return (
-            {r["table"]: r["c"]["folders"] for r in current},
-            max((r["c"]["seq"] for r in current), default=0),
-        )
+        # a line names its own folders only: those since a table was last replaced are current
+        last = F.max(F.when(~F.col("adds"), F.col("seq"))).over(Window.partitionBy("table"))
+        lines = log.withColumn("last", last).where("last IS NULL OR seq >= last").orderBy("seq")
+        current: dict[str, list[str]] = {}
+        for line in lines.select("table", "folders").collect():  # a line per append since then
+            current.setdefault(line["table"], []).extend(line["folders"])
+        return current, log.agg(F.max("seq")).first()[0] or 0
 
     def table(self, name: str) -> DataFrame:
         """Current content, in the declared columns; empty if never written."""
@@ -64,24 +66,31 @@ class Warehouse:
     def is_written(self, name: str) -> bool:
         return bool(self._folders.get(name))
 
-    def _stage(self, name: str, rows: DataFrame) -> Staged:
+    def _stage(self, name: str, rows: DataFrame, seq: str | None = None) -> Staged:
+        """Written rows; ``seq`` stays as a column beside the declared ones, which no reader asks for."""
         spec = TABLES[name]
         folder = f"{self._base(name)}/part_of={uuid.uuid4().hex}"
         seen = Observation()
-        out = conform(rows, spec.schema).observe(seen, F.count(F.lit(1)).alias("rows"))
+        out = conform(rows, spec.schema, *([seq] if seq else [])).observe(seen, F.count(F.lit(1)).alias("rows"))
         out.write.partitionBy(*spec.partition_by).parquet(folder)
         return Staged(name, (folder,), seen.get["rows"])
 
-    def _read(self, name: str, folders: Iterable[str]) -> DataFrame:
+    def _read(self, name: str, folders: Iterable[str], *more: T.StructField) -> DataFrame:
         spec = TABLES[name]
-        read = self.spark.read.schema(spec.schema).option("basePath", self._base(name))
-        return read.parquet(*folders).select([F.col(f"`{c}`") for c in spec.schema.names])
+        schema = T.StructType([*spec.schema, *more])
+        read = self.spark.read.schema(schema).option("basePath", self._base(name))
+        return read.parquet(*folders).select([F.col(f"`{c}`") for c in schema.names])
 
     def commit(self, *staged: Staged) -> None:
-        """Make written folders current, all of them in one log append."""
+        """Make written folders current, all of them in one log append.
+
+        Fails if another writer has committed since this one read the log.
+        """
+        if self._read_log()[1] != self._seq:
+            raise RuntimeError(f"another writer has changed {self.path}; open the warehouse again")
         self._seq += 1
         lines = [
-            {"seq": self._seq, "table": s.table, "folders": s.folders, "rows": s.rows}
+            {"seq": self._seq, "table": s.table, "adds": s.adds, "folders": s.folders, "rows": s.rows}
             for s in staged
         ]
         log = self.spark.sql(
@@ -89,7 +98,9 @@ class Warehouse:
             args={"lines": json.dumps(lines)},
         )
         log.write.mode("append").json(f"{self.path}/_log")
-        self._folders.update({s.table: list(s.folders) for s in staged})
+        for s in staged:
+            old = self._folders.get(s.table, []) if s.adds else []
+            self._folders[s.table] = [*old, *s.folders]
 
     def stage_overwrite(self, name: str, rows: DataFrame) -> Staged:
         """Write new content for a table without showing it yet."""
@@ -105,32 +116,40 @@ class Warehouse:
         """Add rows whose keys are new; what is stored is not read or rewritten."""
         staged = self._stage(name, rows)
         if staged.rows:
-            folders = (*self._folders.get(name, []), *staged.folders)
-            self.commit(Staged(name, folders, staged.rows))
+            self.commit(replace(staged, adds=True))
         return staged.rows
 
     def upsert(self, name: str, batch: DataFrame, seq: str | None = None) -> int:
         """Insert or replace whole rows by key; returns rows written, updates included.
 
         With ``seq`` the last row per key of the batch wins; without it the keys of
-        the batch must be unique. An empty batch changes nothing.
+        the batch must be unique. An empty batch changes nothing. The batch is computed once:
+        what was written is read again only if its keys repeat.
+        """
+        staged = self.stage_upsert(name, batch, seq)
+        if staged.rows:
+            self.commit(staged)
+        return staged.rows
+
+    def stage_upsert(self, name: str, batch: DataFrame, seq: str | None = None) -> Staged:
+        """Write what :meth:`upsert` would show, without showing it yet.
+
+        A batch of new keys only is added to what is stored, which isn't rewritten.
         """
         key = TABLES[name].key
-        if seq is not None:
-            batch = latest(batch, key, seq).drop(seq)
-        new = self._stage(name, batch)
-        if not new.rows:
-            return 0
-        folders = new.folders
-        if self.is_written(name):
-            # the batch is computed once; only the keys of its stored rows are read back
-            stored, keys = self.table(name), self._read(name, new.folders).select(*key)
-            few_stay = 2 * new.rows > stored.count()
-            old = self._stage(name, (stay_by_key if few_stay else merge_rows)(stored, keys, key))
-            if old.rows:
-                folders = (*new.folders, *old.folders)
-        self.commit(Staged(name, folders, new.rows))
-        return new.rows
+        new = self._stage(name, batch, seq)
+        if seq is not None and new.rows:
+            written = self._read(name, new.folders, batch.schema[seq])
+            if not repeated_keys(written, key).isEmpty():
+                new = self._stage(name, latest_wide(written, key, seq))
+        if not new.rows or not self.is_written(name):
+            return new
+        # the batch is computed once; only the keys of its stored rows are read back
+        keys, stored = self._read(name, new.folders).select(*key), self.table(name)
+        if stored.select(*key).join(keys, key, "left_semi").isEmpty():
+            return replace(new, adds=True)
+        old = self._stage(name, merge_rows(stored, keys, key))
+        return replace(new, folders=(*new.folders, *old.folders) if old.rows else new.folders)
 
     def ensure(self) -> None:
         """Give every declared table a stored, empty version unless it has one."""

@@ -44,6 +44,13 @@ def test_written_landing_reads_back(spark):
     assert sorted(landing_lines(spark.read, folder).collect()) == sorted(rows.collect())
 
 
+def test_a_line_without_id_fails(spark, tmp_path):
+    (tmp_path / "root").mkdir()
+    (tmp_path / "root" / "a.json").write_text('{"id": 1}\n{"name": "x"}\n')
+    with pytest.raises(Exception, match="payload without id"):
+        landing_lines(spark.read, str(tmp_path)).collect()
+
+
 def ingest(spark, landing, raw, progress):
     ingest_new_files(landing_scan(spark.readStream, str(landing)), raw, progress)
 

@@ -130,6 +130,84 @@ def test_limit_bounds_the_roots_only(spark, warehouse):
     assert {"move:14", "move:15", "species:1"} <= keys
 
 
+def test_capture_fails_on_what_the_source_lacks(spark, warehouse):
+    with pytest.raises(ValueError, match="lacks what is to be captured: move:15"):
+        capture(warehouse, universe(spark).where("key <> 'move:15'"), fixed=types_of(spark))
+    with pytest.raises(ValueError, match="type:3"):
+        capture(warehouse, universe(spark), fixed=fixed_keys(spark, "type", 3))
+    assert not warehouse.is_written("raw.records")
+
+
+@pytest.mark.parametrize("others", [0, 300])
+def test_capture_keeps_one_record_of_a_key(spark, warehouse, others):
+    """The result doesn't depend on how much else the source holds."""
+    again = payload_rows(spark, move=[move(14, name="later")]).withColumn("seq", F.lit(1))
+    more = payload_rows(spark, move=[move(1000 + i) for i in range(others + 1)])
+    source = universe(spark).unionByName(more).withColumn("seq", F.lit(0)).unionByName(again)
+    assert capture(warehouse, source, fixed=types_of(spark)) == 6
+    raw = warehouse.table("raw.records")
+    assert raw.count() == 6 and "later" in raw.where("key = 'move:14'").first()["payload"]
+    assert raw.columns == ["key", "entity_type", "payload", "fetched_at"]
+    assert capture(warehouse, source, fixed=types_of(spark)) == 0
+    assert load(warehouse)["move"] == 2
+
+
+def test_load_keeps_one_row_of_an_id(spark, warehouse):
+    first = raw_rows(spark, move=[move(14, name="old")]).withColumn("fetched_at", F.lit("2020-01-01").cast("timestamp"))
+    later = raw_rows(spark, move=[move(14, name="new")]).withColumn("key", F.lit("move:014"))
+    warehouse.append("raw.records", first.unionByName(later))
+    assert load(warehouse)["move"] == 1
+    assert [r["name"] for r in warehouse.table("staging.move").collect()] == ["new"]
+
+
+def test_a_repaired_payload_leaves_the_rejects(spark, warehouse):
+    warehouse.append("raw.records", raw_rows(spark, species=[species(1), species(2, name=None)]))
+    load(warehouse, on_error="quarantine")
+    warehouse.upsert("raw.records", raw_rows(spark, species=[species(2)]))
+    load(warehouse, on_error="quarantine")
+    assert warehouse.table("staging.rejects").count() == 0
+    assert warehouse.table("staging.species").count() == 2
+
+
+def test_star_fails_on_what_staging_lacks(spark, warehouse):
+    capture(warehouse, universe(spark), fixed=types_of(spark))
+    load(warehouse)
+    warehouse.overwrite("staging.move", warehouse.table("staging.move").where("id <> 15"))
+    warehouse.overwrite("staging.species", warehouse.table("staging.species").where("false"))
+    with pytest.raises(ValueError, match=r"move cut \(1\); species 1 \(1\)"):
+        build_star(warehouse)
+    assert not warehouse.is_written("analytics.fact_root")
+
+
+def test_appends_name_their_own_folders_and_two_writers_are_told_apart(spark, warehouse):
+    for i in range(3):
+        warehouse.append("raw.records", raw_rows(spark, move=[move(i)]))
+    log = spark.read.json(f"{warehouse.path}/_log")
+    assert log.selectExpr("max(size(folders))").first()[0] == 1
+    other = Warehouse(spark, warehouse.path)
+    assert other.table("raw.records").count() == 3
+    other.overwrite("raw.records", raw_rows(spark, move=[move(9)]))
+    with pytest.raises(RuntimeError, match="another writer"):
+        warehouse.append("raw.records", raw_rows(spark, move=[move(4)]))
+    assert Warehouse(spark, warehouse.path).table("raw.records").count() == 1
+
+
+def test_settings_of_the_caller_come_back(spark, warehouse):
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        capture(warehouse, universe(spark), fixed=types_of(spark))
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_null_in_a_required_column_fails(spark, warehouse):
+    with pytest.raises(Exception, match="null in payload"):
+        warehouse.append("raw.records", raw_rows(spark, move=[move(1)]).withColumn("payload", F.lit(None).cast("string")))
+
+
 def test_load_is_idempotent(spark, warehouse):
     capture(warehouse, universe(spark), fixed=types_of(spark))
     assert load(warehouse) == {"root": 1, "species": 1, "type": 2, "move": 2}
@@ -192,7 +270,7 @@ def test_load_only_run(spark, warehouse):
 
 
 def test_run_records_failure_and_raises(spark, warehouse):
-    broken = payload_rows(spark, root=[root(height="tall")], type=[kind(1, "a"), kind(2, "b")])
+    broken = universe(spark).where("key <> 'root:1'").unionByName(payload_rows(spark, root=[root(height="tall")]))
     with pytest.raises(Exception, match="invalid payload root:1"):
         run(warehouse, broken, fixed=types_of(spark))
     (state,) = run_state(warehouse.table("meta.run_events")).collect()
