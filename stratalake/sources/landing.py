@@ -6,11 +6,13 @@ from pyspark.sql.streaming import DataStreamReader
 
 from stratalake.functions.refs import key_entity, key_id
 
-# <entity>/<id>.json, and the folder of a bundle, plain or as Spark's partition folder
-FILE_OF_ONE = r"/([\w-]+)/(\d+)\.json$"
+# <entity>/<id>.json, and the folder of a bundle; either plain or as Spark's partition folders
+FILE_OF_ONE = r"/(?:entity_type=)?([\w-]+)/(?:(\d+)\.json|id=(\d+)/[^/]+)$"
 FILE_OF_MANY = r"/(?:entity_type=)?([\w-]+)/[^/]+$"
 
 _PATH = "_metadata.file_path"
+# later files win; a bundle's lines are told apart by their payload
+_ARRIVAL = "struct(_metadata.file_modification_time, _metadata.file_path) AS seq"
 
 
 def _or_bad_path(found: str, key: str) -> str:
@@ -19,18 +21,19 @@ def _or_bad_path(found: str, key: str) -> str:
 
 
 def landing_scan(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
-    """(key, payload) of a tree with one payload per file; the key comes from the path.
+    """(key, payload, seq) of a tree with one payload per file; the key comes from the path.
 
-    ``reader`` is ``spark.read``, or ``spark.readStream`` for the files not yet seen.
+    ``reader`` is ``spark.read``, or ``spark.readStream`` for the files not yet seen. ``seq``
+    orders payloads by the time of their file.
     """
-    entity, number = (f"regexp_extract({_PATH}, r'{FILE_OF_ONE}', {i})" for i in (1, 2))
+    entity, plain, number = (f"regexp_extract({_PATH}, r'{FILE_OF_ONE}', {i})" for i in (1, 2, 3))
     files = reader.text(path, wholetext=True, recursiveFileLookup=True)
-    key = _or_bad_path(entity, f"concat({entity}, ':', {number})")
-    return files.selectExpr(key, "value AS payload")
+    key = _or_bad_path(entity, f"concat({entity}, ':', {plain}, {number})")
+    return files.selectExpr(key, "value AS payload", _ARRIVAL)
 
 
 def landing_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
-    """(key, payload) of a tree of bundles, one payload per line.
+    """(key, payload, seq) of a tree of bundles, one payload per line.
 
     The layout for many payloads, where a file each would be more files than a store can
     list. The entity comes from the folder, the id from the payload; a line without one fails.
@@ -40,7 +43,7 @@ def landing_lines(reader: DataFrameReader | DataStreamReader, path: str) -> Data
     number = "get_json_object(value, '$.id')"
     no_id = f"raise_error(concat('payload without id in: ', {_PATH}, ': ', left(value, 200)))"
     key = _or_bad_path(entity, f"concat({entity}, ':', coalesce({number}, {no_id}))")
-    return lines.selectExpr(key, "value AS payload")
+    return lines.selectExpr(key, "value AS payload", _ARRIVAL)
 
 
 def write_landing(payloads: DataFrame, path: str) -> None:
@@ -49,6 +52,12 @@ def write_landing(payloads: DataFrame, path: str) -> None:
     rows.write.partitionBy("entity_type").text(path)
 
 
+def write_files(payloads: DataFrame, path: str) -> None:
+    """Lay payloads out one per file, for what reads a file as one payload."""
+    rows = payloads.selectExpr("payload AS value", f"{key_entity()} AS entity_type", f"{key_id()} AS id")
+    rows.write.partitionBy("entity_type", "id").text(path)
+
+
 def encode_payload(document: str) -> str:
     """Document -> JSON text; null fields are kept, since a missing key means an error later."""
     return f"to_json({document}, map('ignoreNullFields', 'false'))"

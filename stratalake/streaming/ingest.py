@@ -1,34 +1,28 @@
 """Capture as a stream: the checkpoint remembers which files were read."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from stratalake.operators.upsert import latest_wide
-from stratalake.plans.tables import TABLES
 from stratalake.sources.landing import envelope
+from stratalake.sources.store import Warehouse
 
-_RAW = TABLES["raw.records"].schema
 
+def ingest_new_files(payloads: DataFrame, warehouse: Warehouse, checkpoint: str) -> None:
+    """Put the payloads of a stream's new files into ``raw.records``, then stop.
 
-def ingest_new_files(payloads: DataFrame, raw: str, checkpoint: str) -> None:
-    """Append the envelopes of a payload stream's new files, then stop.
-
-    ``payloads`` is a landing function over ``spark.readStream``. Called again with the same
-    folders, it goes on where it stopped. The Parquet sink commits each batch once, so a lost
-    executor or a rerun repeats nothing.
+    ``payloads`` is a landing function over ``spark.readStream``. Of a key that arrives again
+    the payload of the later file stays, within a batch too. Called again with the same
+    folders, it goes on where it stopped; a batch that is run again after a failure replaces
+    its own records.
     """
-    records = envelope(payloads)
+
+    def write(batch: DataFrame, _: int) -> None:
+        warehouse.upsert("raw.records", batch, seq="seq")
+
     query = (
-        records.writeStream.format("parquet")
-        .partitionBy("entity_type")
-        .option("path", raw)
+        envelope(payloads, "seq")
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-
-
-def ingested(spark: SparkSession, raw: str) -> DataFrame:
-    """Current raw records: the last capture of each key."""
-    rows = spark.read.schema(_RAW).parquet(raw)
-    return latest_wide(rows, ["key"], "fetched_at").select(_RAW.names)

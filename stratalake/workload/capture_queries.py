@@ -5,19 +5,22 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.refs import key_entity, key_id, key_path, parse_key
 from stratalake.operators import discovery
-from stratalake.operators.upsert import latest
+from stratalake.operators.layers import load
 from stratalake.sources.landing import (
     encode_payload,
+    envelope,
     existing_keys,
     fixed_keys,
     landing_lines,
+    landing_scan,
     raw_by_entity,
     root_scope,
+    write_files,
     write_landing,
 )
 from stratalake.sources.shared import fresh_folder
 from stratalake.sources.store import row_counts
-from stratalake.streaming.ingest import ingest_new_files, ingested
+from stratalake.streaming.ingest import ingest_new_files
 from stratalake.workload import universe
 from stratalake.workload.registry import query
 from stratalake.workload.shared import Layers
@@ -68,11 +71,11 @@ def _bundles(layers: Layers) -> str:
 
 
 @query(
-    "landing_scan",
+    "landing_lines",
     f"""SELECT key, split_part(key, ':', 1) AS entity,
                CAST(split_part(key, ':', 2) AS BIGINT) AS id FROM ({_ALL_KEYS})""",
 )
-def q_landing_scan(layers: Layers) -> DataFrame:
+def q_landing_lines(layers: Layers) -> DataFrame:
     rows = landing_lines(layers.spark.read, _bundles(layers))
     return rows.selectExpr(
         "key",
@@ -81,16 +84,35 @@ def q_landing_scan(layers: Layers) -> DataFrame:
     )
 
 
+@query(
+    "landing_scan",
+    "SELECT concat('type:', n_nationkey) AS key, CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation",
+)
+def q_landing_scan(layers: Layers) -> DataFrame:
+    """A file per payload, for the entity that has few."""
+    folder = fresh_folder(layers.spark, "files")
+    write_files(raw_by_entity(layers.raw, "type"), folder)
+    rows = landing_scan(layers.spark.read, folder)
+    return rows.selectExpr(
+        "key",
+        "CAST(get_json_object(payload, '$.id') AS BIGINT) AS id",
+        "get_json_object(payload, '$.name') AS name",
+    )
+
+
 @query(
     "stream_ingest",
-    f"SELECT key, split_part(key, ':', 1) AS entity_type FROM ({_ALL_KEYS})",
+    f"""SELECT key, split_part(key, ':', 1) AS entity_type,
+               (SELECT count(*) FROM u_root) AS staged_roots FROM ({_ALL_KEYS})""",
 )
 def q_stream_ingest(layers: Layers) -> DataFrame:
-    landing = _bundles(layers)
-    raw, progress = fresh_folder(layers.spark, "stream"), fresh_folder(layers.spark, "progress")
+    """Raw as a stream fills it, and staging loaded from there."""
+    landing, warehouse = _bundles(layers), layers.fresh_warehouse()
+    progress = fresh_folder(layers.spark, "progress")
     for _ in range(2):  # the second time finds nothing new
-        ingest_new_files(landing_lines(layers.spark.readStream, landing), raw, progress)
-    return ingested(layers.spark, raw).select("key", "entity_type")
+        ingest_new_files(landing_lines(layers.spark.readStream, landing), warehouse, progress)
+    roots = load(warehouse)["root"]
+    return warehouse.table("raw.records").select("key", "entity_type", F.lit(roots).cast("bigint").alias("staged_roots"))
 
 
 @query("root_scope", "SELECT concat('root:', id) AS key FROM u_root ORDER BY id LIMIT 50")
@@ -153,12 +175,21 @@ def q_existing_keys(layers: Layers) -> DataFrame:
        FROM events""",
 )
 def q_upsert_latest(layers: Layers) -> DataFrame:
-    events = layers.tables.events.select("event_id", "user_id", "event_type", "value")
-    first = events.withColumn("seq", F.lit(1))
-    again = events.where(F.col("event_type") == "purchase").select(
-        "event_id", "user_id", "event_type", (F.col("value") + 1).alias("value"), F.lit(2).alias("seq")
-    )
-    return latest(first.unionByName(again), ["event_id"], "seq").drop("seq")
+    """Events as raw records: all of them, then the purchases again, each key told twice in a batch."""
+    events = layers.tables.events
+    document = encode_payload("struct(event_id AS id, user_id, event_type, value)")
+
+    def records(rows: DataFrame, seq: int) -> DataFrame:
+        payloads = rows.selectExpr("concat('event:', event_id) AS key", f"{document} AS payload")
+        return envelope(payloads, f"{seq} AS seq")
+
+    warehouse = layers.fresh_warehouse()
+    changed = events.where(F.col("event_type") == "purchase")
+    warehouse.upsert("raw.records", records(events, 1), seq="seq")
+    more = records(changed.withColumn("value", F.col("value") + 1), 3).unionByName(records(changed, 2))
+    warehouse.upsert("raw.records", more, seq="seq")
+    read = "from_json(payload, 'id bigint, user_id bigint, event_type string, value double') AS e"
+    return warehouse.table("raw.records").selectExpr(read).selectExpr("e.id AS event_id", "e.user_id", "e.event_type", "e.value")
 
 
 @query(

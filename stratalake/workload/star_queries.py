@@ -1,10 +1,12 @@
 """The star, data checks, lineage and runs."""
 
-from pyspark.sql import DataFrame
+import contextlib
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import lineage, quality
-from stratalake.operators.layers import build_star, capture, load, rebuild
+from stratalake.operators.layers import build_star, capture, load, rebuild, run
 from stratalake.plans import star
 from stratalake.plans.entities import ENTITIES
 from stratalake.sources.landing import raw_by_entity
@@ -113,19 +115,18 @@ def q_pair_matrix(layers: Layers) -> DataFrame:
 
 @query(
     "star_rebuild",
-    """SELECT 'analytics.dim_type' AS table_name, count(*) AS n FROM nation
-       UNION ALL SELECT 'analytics.dim_species', count(*) FROM customer
-       UNION ALL SELECT 'analytics.dim_move', count(*) FROM part
-       UNION ALL SELECT 'analytics.fact_root', count(*) FROM u_root
-       UNION ALL SELECT 'analytics.bridge_root_type', count(*) FROM u_root_type
-       UNION ALL SELECT 'analytics.bridge_root_move', count(*) FROM u_learn
-       UNION ALL SELECT 'analytics.bridge_type_effectiveness', count(*) FROM u_pair""",
+    "SELECT *, (SELECT count(*) FROM u_learn) AS n_learned, (SELECT count(*) FROM u_pair) AS n_pairs FROM u_fact",
 )
 def q_star_rebuild(layers: Layers) -> DataFrame:
     warehouse = _with_staging(layers)
     build_star(warehouse)
-    build_star(warehouse)  # replaces, does not add
-    return row_counts(warehouse, [f"analytics.{n}" for n in _STAR])
+    counts = build_star(warehouse)  # replaces, does not add
+    return warehouse.table("analytics.fact_root").withColumns(
+        {
+            "n_learned": F.lit(counts["analytics.bridge_root_move"]).cast("bigint"),
+            "n_pairs": F.lit(counts["analytics.bridge_type_effectiveness"]).cast("bigint"),
+        }
+    )
 
 
 def _with_staging(layers: Layers) -> Warehouse:
@@ -285,6 +286,33 @@ def q_dq_star(layers: Layers) -> DataFrame:
     return quality.summary(quality.star_checks(_stored_star(layers)))
 
 
+@query(
+    "dq_star_violations",
+    """SELECT 'relationships:bridge_root_move:move_id' AS "check", count(DISTINCT move_id) AS violations
+       FROM u_learn WHERE move_id IN (SELECT id FROM u_move WHERE damage_class = 'status')
+       UNION ALL SELECT 'unique:fact_root', count(*) FROM u_fact WHERE height = 1
+       UNION ALL SELECT 'relationships:fact_root:species_id', count(DISTINCT species_id)
+       FROM u_fact WHERE species_id IN (SELECT id FROM u_species WHERE is_baby)
+       UNION ALL SELECT 'matrix:bridge_type_effectiveness', count(DISTINCT a) FROM u_pair WHERE a = 0""",
+)
+def q_dq_star_violations(layers: Layers) -> DataFrame:
+    """The same checks where status moves, young species and one type's pairs are gone and some roots are double."""
+    star = _stored_star(layers)
+    move, species, fact, pairs = (
+        star[f"analytics.{n}"] for n in ("dim_move", "dim_species", "fact_root", "bridge_type_effectiveness")
+    )
+    baby = layers.staging("species").where("is_baby").select(F.col("id").alias("species_id"))
+    broken = star | {
+        "analytics.dim_move": move.where("damage_class <> 'status'"),
+        "analytics.dim_species": species.join(baby, "species_id", "left_anti"),
+        "analytics.fact_root": fact.unionByName(fact.where("height = 1")),
+        "analytics.bridge_type_effectiveness": pairs.where("attacking_type_id <> 0"),
+    }
+    checks = quality.star_checks(broken)
+    names = ["relationships:bridge_root_move:move_id", "unique:fact_root", "relationships:fact_root:species_id", "matrix:bridge_type_effectiveness"]
+    return quality.summary({n: checks[n] for n in names})
+
+
 # --- lineage and runs -----------------------------------------------------------------
 
 
@@ -375,27 +403,21 @@ def q_run_fold(layers: Layers) -> DataFrame:
     return lineage.run_fold(status.join(stages, "l_orderkey", "left"), ["status"])
 
 
-@query(
-    "stage_subset",
-    """SELECT 'staging' AS layer, (SELECT count(*) FROM u_root) + (SELECT count(*) FROM customer)
-              + (SELECT count(*) FROM nation) + (SELECT count(*) FROM part) AS n""",
-)
+@query("stage_subset", "SELECT *, false AS star_written FROM u_species")
 def q_stage_subset(layers: Layers) -> DataFrame:
     """Only the named layer is built, whatever the order; unknown names count for nothing."""
     warehouse = layers.fresh_warehouse()
     warehouse.overwrite("raw.records", layers.raw)
-    done = rebuild(warehouse, ("serving", "staging"))
-    return layers.spark.createDataFrame(done, "layer string, n bigint")
+    rebuild(warehouse, ("serving", "staging"))
+    rows = warehouse.table("staging.species").withColumn("egg_groups", F.array_join("egg_groups", ","))
+    return rows.withColumn("star_written", F.lit(warehouse.is_written("analytics.fact_root")))
 
 
 @query(
     "load_only",
-    """SELECT 'raw.records' AS table_name, (SELECT count(*) FROM u_root) + (SELECT count(*) FROM customer)
-              + (SELECT count(*) FROM nation) + (SELECT count(*) FROM part) AS n
-       UNION ALL SELECT 'staging.root', count(*) FROM u_root
-       UNION ALL SELECT 'staging.species', count(*) FROM customer
-       UNION ALL SELECT 'staging.type', count(*) FROM nation
-       UNION ALL SELECT 'staging.move', count(*) FROM part""",
+    """SELECT m.*, (SELECT count(*) FROM u_root) + (SELECT count(*) FROM customer)
+              + (SELECT count(*) FROM nation) + (SELECT count(*) FROM part) AS n_raw
+       FROM u_move m""",
 )
 def q_load_only(layers: Layers) -> DataFrame:
     """Staging from the raw that is there, twice; raw stays as it is."""
@@ -403,7 +425,35 @@ def q_load_only(layers: Layers) -> DataFrame:
     warehouse.overwrite("raw.records", layers.raw)
     load(warehouse)
     load(warehouse)
-    return row_counts(warehouse, ["raw.records", *_STAGING])
+    n = row_counts(warehouse, ["raw.records"]).select("n").scalar()
+    return warehouse.table("staging.move").withColumn("n_raw", n)
+
+
+@query(
+    "run_recorded",
+    """SELECT i, CASE WHEN i = 2 THEN 'failed' ELSE 'success' END AS status,
+              CASE i WHEN 0 THEN 'raw,staging' WHEN 1 THEN 'staging' ELSE 'raw' END AS stages,
+              CASE i WHEN 0 THEN n.raw WHEN 1 THEN 0 END AS raw_written,
+              CASE WHEN i < 2 THEN n.raw END AS staging_written, i = 2 AS has_error
+       FROM range(3) t(i) CROSS JOIN (
+           SELECT (SELECT count(*) FROM u_root) + (SELECT count(DISTINCT species) FROM u_root)
+                  + (SELECT count(*) FROM nation) + (SELECT count(DISTINCT move_id) FROM u_learn) AS raw) n""",
+)
+def q_run_recorded(layers: Layers) -> DataFrame:
+    """The lineage of a full run, of a load alone, and of a capture from a source without types."""
+    warehouse, fixed = layers.fresh_warehouse(), universe.all_types(layers.tables)
+    source = layers.raw.select("key", "payload")
+    run(warehouse, source, fixed=fixed)
+    run(warehouse, layers=("staging",))
+    other = fixed.selectExpr("concat(key, '00') AS key")
+    with contextlib.suppress(ValueError):  # its failure is what is recorded
+        run(warehouse, source, layers=("raw",), fixed=other)
+    runs = lineage.run_state(warehouse.table("meta.run_events"))
+    ordered = runs.withColumn("i", F.row_number().over(Window.orderBy("started_at")).cast("bigint") - 1)  # three rows
+    return ordered.select(
+        "i", "status", F.array_join("stages", ",").alias("stages"), "raw_written", "staging_written",
+        F.col("error").isNotNull().alias("has_error"),
+    )
 
 
 @query(

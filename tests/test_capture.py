@@ -1,21 +1,24 @@
 """Landing files, discovery and the stream."""
 
 import json
+import os
 from pathlib import Path
 
 import pytest
 from conftest import kind, move, payload_rows, root, species
 
 from stratalake.operators import discovery
+from stratalake.operators.layers import load
 from stratalake.sources.landing import (
     fixed_keys,
     landing_lines,
     landing_scan,
     root_scope,
+    write_files,
     write_landing,
 )
 from stratalake.sources.shared import fresh_folder
-from stratalake.streaming.ingest import ingest_new_files, ingested
+from stratalake.streaming.ingest import ingest_new_files
 
 
 def write_tree(folder: Path, **entities):
@@ -41,7 +44,11 @@ def test_written_landing_reads_back(spark):
     rows = payload_rows(spark, root=[root(1)], move=[move(14), move(15)])
     folder = fresh_folder(spark, "landing")
     write_landing(rows, folder)
-    assert sorted(landing_lines(spark.read, folder).collect()) == sorted(rows.collect())
+    assert sorted(landing_lines(spark.read, folder).drop("seq").collect()) == sorted(rows.collect())
+    files = fresh_folder(spark, "files")
+    write_files(rows, files)
+    whole = landing_scan(spark.read, files).selectExpr("key", "rtrim('\n', payload) AS payload")
+    assert sorted(whole.collect()) == sorted(rows.collect())
 
 
 def test_a_line_without_id_fails(spark, tmp_path):
@@ -51,23 +58,33 @@ def test_a_line_without_id_fails(spark, tmp_path):
         landing_lines(spark.read, str(tmp_path)).collect()
 
 
-def ingest(spark, landing, raw, progress):
-    ingest_new_files(landing_scan(spark.readStream, str(landing)), raw, progress)
+def ingest(spark, landing, warehouse, progress):
+    ingest_new_files(landing_scan(spark.readStream, str(landing)), warehouse, progress)
 
 
-def test_stream_reads_each_file_once(spark, tmp_path):
-    landing = tmp_path / "landing"
-    raw, progress = str(tmp_path / "raw"), str(tmp_path / "progress")
+def test_stream_reads_each_file_once(spark, tmp_path, warehouse):
+    landing, progress = tmp_path / "landing", str(tmp_path / "progress")
     write_tree(landing, move=[move(1), move(2)])
-    ingest(spark, landing, raw, progress)
-    first = {r["key"]: r["fetched_at"] for r in ingested(spark, raw).collect()}
+    ingest(spark, landing, warehouse, progress)
+    raw = lambda: warehouse.table("raw.records").collect()
+    first = {r["key"]: r["fetched_at"] for r in raw()}
     assert set(first) == {"move:1", "move:2"}
     write_tree(landing, species=[species(9)])
-    ingest(spark, landing, raw, progress)
-    ingest(spark, landing, raw, progress)
-    rows = ingested(spark, raw).collect()
-    assert sorted(r["key"] for r in rows) == ["move:1", "move:2", "species:9"]
-    assert {r["key"]: r["fetched_at"] for r in rows if r["key"] in first} == first
+    ingest(spark, landing, warehouse, progress)
+    ingest(spark, landing, warehouse, progress)
+    assert sorted(r["key"] for r in raw()) == ["move:1", "move:2", "species:9"]
+    assert {r["key"]: r["fetched_at"] for r in raw() if r["key"] in first} == first
+
+
+def test_stream_keeps_the_later_file_and_loads(spark, tmp_path, warehouse):
+    """Two captures of a key in one batch, in the order of their files, not of their text."""
+    landing = tmp_path / "landing"
+    write_tree(landing / "b", move=[move(1, name="zz"), move(2)], type=[kind(1, "a")])
+    write_tree(landing / "a", move=[move(1, name="aa")])
+    os.utime(landing / "b" / "move" / "1.json", (1_600_000_000, 1_600_000_000))
+    ingest(spark, landing, warehouse, str(tmp_path / "progress"))
+    assert load(warehouse) == {"root": 0, "species": 0, "type": 1, "move": 2}
+    assert {r["name"] for r in warehouse.table("staging.move").collect()} == {"aa", "move-2"}
 
 
 def test_references_with_repeats(spark):
