@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.operators.scoring import bounded_matrix
+
 
 def catalogue(
     fact: DataFrame, species: DataFrame, bridge_root_type: DataFrame, types: DataFrame
@@ -37,11 +39,11 @@ def catalogue(
 def defence_profile(bridge_root_type: DataFrame, matrix: DataFrame) -> DataFrame:
     """(root_id, attacking_type_id, multiplier): product over the root's own types.
 
-    The matrix is bounded (see plans.star.MAX_TYPES), hence the broadcast.
+    The matrix is bounded, which is checked, hence the broadcast.
     """
     own = bridge_root_type.select("root_id", F.col("type_id").alias("defending_type_id"))
     return (
-        own.join(F.broadcast(matrix), "defending_type_id")
+        own.join(F.broadcast(bounded_matrix(matrix)), "defending_type_id")
         .groupBy("root_id", "attacking_type_id")
         .agg(F.product("multiplier").alias("multiplier"))
     )

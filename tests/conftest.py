@@ -43,24 +43,26 @@ def ref(entity, number, name=None):
 
 
 def root(number=1, **changes):
-    stats = ["hp", "attack", "defense", "special-attack", "special-defense", "speed"]
+    """Slots with gaps and out of order, a move known three times, an ability twice."""
+    names = ["speed", "hp", "special-defense", "defense", "special-attack", "attack"]
+    known = [(302, "winch"), (301, "anchor"), (302, "winch"), (302, "winch")]
     payload = {
         "id": number,
         "name": f"root-{number}",
-        "height": 7,
-        "weight": 69,
+        "height": 0,
+        "weight": 12_500,
         "base_experience": None,
-        "order": 1,
+        "order": -1,
         "is_default": True,
         "species": ref("species", 1),
         "types": [
-            {"slot": 2, "type": ref("type", 4, "poison")},
-            {"slot": 1, "type": ref("type", 12, "grass")},
+            {"slot": 9, "type": ref("type", 2, "tide")},
+            {"slot": 4, "type": ref("type", 1, "ore")},
         ],
-        "abilities": [{"slot": 1, "ability": ref("ability", 5)}],
-        "moves": [{"move": ref("move", n, m)} for n, m in ((14, "swords"), (15, "cut"), (14, "swords"))],
-        "sprites": {"front_default": None, "back_default": "b.png"},
-        "stats": [{"base_stat": 40 + i, "stat": {"name": s}} for i, s in enumerate(stats)],
+        "abilities": [{"slot": n, "ability": ref("ability", n, "drift")} for n in (8, 3)],
+        "moves": [{"move": ref("move", n, m), "level": 1} for n, m in known],
+        "sprites": {"front_default": None, "back_default": "s3://pics/back 1.png"},
+        "stats": [{"base_stat": 10 * i, "stat": {"name": s}} for i, s in enumerate(names)],
         "unread": {"deep": [1, 2, 3]},
     }
     return {**payload, **changes}
@@ -77,20 +79,20 @@ def species(number=1, **changes):
         "is_legendary": False,
         "is_mythical": False,
         "is_baby": False,
-        "capture_rate": 45,
+        "capture_rate": 0,
         "base_happiness": None,
         "gender_rate": 1,
         "hatch_counter": 20,
         "has_gender_differences": False,
         "forms_switchable": False,
         "growth_rate": ref("growth-rate", 4, "medium"),
-        "color": ref("color", 5, "green"),
+        "color": ref("color", 5, "grey"),
         "shape": None,
-        "habitat": ref("habitat", 3, "forest"),
-        "egg_groups": [ref("egg-group", 1, "monster"), ref("egg-group", 7, "plant")],
+        "habitat": ref("habitat", 3, "coast"),
+        "egg_groups": [ref("egg-group", 11, "metal"), ref("egg-group", 4, "foam"), ref("egg-group", 11, "metal")],
         "flavor_text_entries": [
-            {"flavor_text": "Une graine", "language": {"name": "fr"}},
-            {"flavor_text": "A strange\nseed\f was   planted ", "language": {"name": "en"}},
+            {"flavor_text": "Une lampe", "language": {"name": "fr"}},
+            {"flavor_text": " Lamps\n\n by the\f harbour \n wall", "language": {"name": "en"}},
             {"flavor_text": "later", "language": {"name": "en"}},
         ],
     }
@@ -114,8 +116,8 @@ def move(number=1, **changes):
         "id": number,
         "name": f"move-{number}",
         "power": 50,
-        "accuracy": 95,
-        "pp": 30,
+        "accuracy": 40,
+        "pp": 1,
         "priority": 0,
         "effect_chance": None,
         "type": ref("type", 1),

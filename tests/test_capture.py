@@ -41,7 +41,7 @@ def test_other_files_are_refused(spark, tmp_path):
 
 
 def test_written_landing_reads_back(spark):
-    rows = payload_rows(spark, root=[root(1)], move=[move(14), move(15)])
+    rows = payload_rows(spark, root=[root(1)], move=[move(302), move(301)])
     folder = fresh_folder(spark, "landing")
     write_landing(rows, folder)
     assert sorted(landing_lines(spark.read, folder).drop("seq").collect()) == sorted(rows.collect())
@@ -89,8 +89,8 @@ def test_stream_keeps_the_later_file_and_loads(spark, tmp_path, warehouse):
 
 def test_references_with_repeats(spark):
     refs = discovery.extract_refs(payload_rows(spark, root=[root()]))
-    assert sorted(r["ref"] for r in refs.collect()) == ["move:14", "move:14", "move:15", "species:1"]
-    assert sorted(r["key"] for r in discovery.distinct_refs(refs).collect()) == ["move:14", "move:15", "species:1"]
+    assert sorted(r["ref"] for r in refs.collect()) == ["move:301", "move:302", "move:302", "move:302", "species:1"]
+    assert sorted(r["key"] for r in discovery.distinct_refs(refs).collect()) == ["move:301", "move:302", "species:1"]
 
 
 def test_bad_reference_fails(spark):
@@ -101,9 +101,9 @@ def test_bad_reference_fails(spark):
 
 def test_pending_is_sorted_and_new(spark):
     refs = discovery.extract_refs(payload_rows(spark, root=[root()]))
-    known = spark.createDataFrame([("move:14",), ("type:2",)], "key string")
+    known = spark.createDataFrame([("move:302",), ("type:2",)], "key string")
     pending = discovery.pending_keys(refs, fixed_keys(spark, "type", 3), known)
-    assert [r["key"] for r in pending.collect()] == ["move:15", "species:1", "type:1", "type:3"]
+    assert [r["key"] for r in pending.collect()] == ["move:301", "species:1", "type:1", "type:3"]
 
 
 def test_scope(spark):

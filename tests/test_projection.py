@@ -25,14 +25,22 @@ def problems(spark, entity, payload):
 
 def test_root_values(spark):
     row = staged(spark, "root", root())
-    assert row["types"] == ["grass", "poison"]
-    assert row["moves"] == ["cut", "swords"]
-    assert row["species_id"] == 1
-    assert (row["special_attack"], row["speed"]) == (43, 45)
-    assert row["base_experience"] is None and row["sprite_back_default"] == "b.png"
+    assert row["types"] == ["ore", "tide"]  # by slot, whatever the gaps
+    assert row["abilities"] == ["drift", "drift"]  # repeats stay where order counts
+    assert row["moves"] == ["anchor", "winch"]
+    assert row["species_id"] == 1 and row["weight"] == 12_500 and row["order"] == -1
+    stats = ("hp", "attack", "defense", "special_attack", "special_defense", "speed")
+    assert [row[s] for s in stats] == [10, 50, 30, 40, 20, 0]
+    assert row["base_experience"] is None and row["sprite_front_default"] is None
+    assert row["sprite_back_default"] == "s3://pics/back 1.png"
     assert list(row) == ENTITIES["root"].schema.names
 
 
+def test_root_without_lists(spark):
+    row = staged(spark, "root", root(types=[], abilities=[], moves=[]))
+    assert (row["types"], row["abilities"], row["moves"]) == ([], [], [])
+
+
 def test_last_of_equal_stats_counts(spark):
     extra = [*root()["stats"], {"base_stat": 99, "stat": {"name": "hp"}}]
     assert staged(spark, "root", root(stats=extra))["hp"] == 99
@@ -40,10 +48,10 @@ def test_last_of_equal_stats_counts(spark):
 
 def test_species_values(spark):
     row = staged(spark, "species", species())
-    assert row["flavor_text"] == "A strange seed was planted"
-    assert (row["shape"], row["habitat"], row["evolves_from_id"]) == (None, "forest", None)
+    assert row["flavor_text"] == "Lamps by the harbour wall"
+    assert (row["shape"], row["habitat"], row["evolves_from_id"]) == (None, "coast", None)
     assert (row["generation_id"], row["evolution_chain_id"]) == (1, 9)
-    assert row["egg_groups"] == ["monster", "plant"]
+    assert row["egg_groups"] == ["metal", "foam", "metal"]
 
 
 def test_species_without_english_text(spark):
@@ -55,17 +63,23 @@ def test_parent_is_read(spark):
     assert staged(spark, "species", species(evolves_from_species=parent))["evolves_from_id"] == 12
 
 
-def test_type_lists_and_null_class(spark):
-    row = staged(spark, "type", kind(1, "normal", no_damage_to=["ghost"]))
-    assert row["no_damage_to"] == ["ghost"] and row["double_damage_to"] == []
-    assert row["move_damage_class"] == "physical"
-    nothing = {**kind(1, "normal"), "move_damage_class": None}
-    assert staged(spark, "type", nothing)["move_damage_class"] is None
+def test_relation_lists(spark):
+    lists = {"double_damage_to": ["tide", "ember", "tide"], "half_damage_from": ["ore"], "no_damage_from": ["ore"]}
+    row = staged(spark, "type", kind(3, "ember", **lists))
+    assert row["double_damage_to"] == ["tide", "ember", "tide"]
+    assert row["half_damage_from"] == row["no_damage_from"] == ["ore"]
+    assert row["no_damage_to"] == row["half_damage_to"] == row["double_damage_from"] == []
+
+
+@pytest.mark.parametrize("given", [None, {"name": "special"}])
+def test_class_of_a_type_is_optional(spark, given):
+    row = staged(spark, "type", {**kind(3, "ember"), "move_damage_class": given})
+    assert row["move_damage_class"] == (given or {}).get("name")
 
 
 def test_null_power_stays_null(spark):
     row = staged(spark, "move", move(power=None))
-    assert row["power"] is None and row["accuracy"] == 95
+    assert row["power"] is None and row["accuracy"] == 40
 
 
 @pytest.mark.parametrize(
@@ -82,7 +96,7 @@ def test_null_power_stays_null(spark):
         ("root", root(moves=[{"move": {"name": 3}}]), ["moves: wrong type"]),
         ("root", root(moves=[{"move": {"name": None}}]), ["moves: wrong type"]),
         ("root", root(types=[{"type": {"name": "x"}}]), ["types: wrong type"]),
-        ("root", root(stats=root()["stats"][1:]), ["hp: missing"]),
+        ("root", root(stats=root()["stats"][1:]), ["speed: missing"]),
         ("root", root(species={"name": "s", "url": "http://w/species/x/"}), ["species_id: wrong type"]),
         ("move", move(name=None), ["name: null"]),
         ("move", move(power=None), []),
@@ -137,12 +151,16 @@ def one(spark, expression, value):
 @pytest.mark.parametrize(
     ("url", "key"),
     [
-        ("http://w/egg-group/6/", "egg-group:6"),
-        ("http://w/move/14", "move:14"),
-        ("/type/3/", "type:3"),
-        ("http://w/move/", None),
-        ("http://w/move/14/x", None),
-        ("", None),
+        ("s3a://b/v2/color_set/0", "color_set:0"),
+        ("/x/0012345678901234567890/", "x:0012345678901234567890"),  # longer than a long, zeros kept
+        ("/größe/٣٤/", "größe:٣٤"),  # letters and digits of any script
+        ("/a/1/b/2", "b:2"),
+        ("a//7/", None),
+        ("/a/7//", None),
+        ("/a/7?x=1", None),
+        ("/a/-7", None),
+        ("/a b/7", None),
+        ("7/", None),
     ],
 )
 def test_keys(spark, url, key):

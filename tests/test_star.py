@@ -55,19 +55,19 @@ def test_too_many_types_fail_instead_of_being_cut(spark, monkeypatch):
 
 def test_bridges_resolve_and_report(spark):
     roots = staged(spark, "root", [root(1), root(2, types=[], moves=[])])
-    dim = star.dim_type(types(spark, kind(12, "grass"), kind(4, "poison")))
+    dim = star.dim_type(types(spark, kind(12, "ore"), kind(4, "tide")))
     assert {tuple(r) for r in star.bridge_root_type(roots, dim).collect()} == {(1, 12, 1), (1, 4, 2)}
-    moves = star.dim_move(staged(spark, "move", [move(15, name="cut")]))
-    assert [tuple(r) for r in star.bridge_root_move(roots, moves).collect()] == [(1, 15)]
+    moves = star.dim_move(staged(spark, "move", [move(301, name="anchor")]))
+    assert [tuple(r) for r in star.bridge_root_move(roots, moves).collect()] == [(1, 301)]
     missing = star.unresolved(star.move_slugs(roots), moves).collect()
-    assert [tuple(r) for r in missing] == [("swords", 1)]
+    assert [tuple(r) for r in missing] == [("winch", 1)]
 
 
 def test_fact(spark):
     facts = star.fact_root(
         staged(spark, "root", [root()]), staged(spark, "species", [species()])
     ).collect()
-    assert [(r["generation_id"], r["base_stat_total"], r["sp_atk"]) for r in facts] == [(1, 255, 43)]
+    assert [(r["generation_id"], r["base_stat_total"], r["sp_atk"]) for r in facts] == [(1, 150, 40)]
 
 
 # --- a small random star, scored by hand ------------------------------------------------
@@ -265,3 +265,9 @@ def test_incomplete_matrix(spark):
     rows = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (2, 1, 1.0)]
     matrix = spark.createDataFrame(rows, "attacking_type_id int, defending_type_id int, multiplier double")
     assert [r["key"] for r in quality.matrix_complete(matrix, dim).collect()] == ["2"]
+
+
+def test_a_large_matrix_is_refused(spark):
+    pairs = spark.range(600).selectExpr("cast(id as int) AS attacking_type_id", "cast(id as int) AS defending_type_id", "1D AS multiplier")
+    with pytest.raises(Exception, match="more than 512 types"):
+        scoring.effect_rows(pairs).collect()

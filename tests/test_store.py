@@ -23,8 +23,8 @@ def universe(spark):
         spark,
         root=[root()],
         species=[species()],
-        move=[move(14, name="swords"), move(15, name="cut")],
-        type=[kind(1, "grass", double_damage_to=["poison"]), kind(2, "poison")],
+        move=[move(302, name="winch"), move(301, name="anchor")],
+        type=[kind(1, "ore", double_damage_to=["tide"]), kind(2, "tide")],
     )
 
 
@@ -127,12 +127,12 @@ def test_limit_bounds_the_roots_only(spark, warehouse):
     capture(warehouse, source, limit=2, fixed=types_of(spark))
     keys = {r["key"] for r in warehouse.table("raw.records").collect()}
     assert {k for k in keys if k.startswith("root")} == {"root:1", "root:2"}
-    assert {"move:14", "move:15", "species:1"} <= keys
+    assert {"move:302", "move:301", "species:1"} <= keys
 
 
 def test_capture_fails_on_what_the_source_lacks(spark, warehouse):
-    with pytest.raises(ValueError, match="lacks what is to be captured: move:15"):
-        capture(warehouse, universe(spark).where("key <> 'move:15'"), fixed=types_of(spark))
+    with pytest.raises(ValueError, match="lacks what is to be captured: move:301"):
+        capture(warehouse, universe(spark).where("key <> 'move:301'"), fixed=types_of(spark))
     with pytest.raises(ValueError, match="type:3"):
         capture(warehouse, universe(spark), fixed=fixed_keys(spark, "type", 3))
     assert not warehouse.is_written("raw.records")
@@ -141,20 +141,20 @@ def test_capture_fails_on_what_the_source_lacks(spark, warehouse):
 @pytest.mark.parametrize("others", [0, 300])
 def test_capture_keeps_one_record_of_a_key(spark, warehouse, others):
     """The result doesn't depend on how much else the source holds."""
-    again = payload_rows(spark, move=[move(14, name="later")]).withColumn("seq", F.lit(1))
+    again = payload_rows(spark, move=[move(302, name="later")]).withColumn("seq", F.lit(1))
     more = payload_rows(spark, move=[move(1000 + i) for i in range(others + 1)])
     source = universe(spark).unionByName(more).withColumn("seq", F.lit(0)).unionByName(again)
     assert capture(warehouse, source, fixed=types_of(spark)) == 6
     raw = warehouse.table("raw.records")
-    assert raw.count() == 6 and "later" in raw.where("key = 'move:14'").first()["payload"]
+    assert raw.count() == 6 and "later" in raw.where("key = 'move:302'").first()["payload"]
     assert raw.columns == ["key", "entity_type", "payload", "fetched_at"]
     assert capture(warehouse, source, fixed=types_of(spark)) == 0
     assert load(warehouse)["move"] == 2
 
 
 def test_load_keeps_one_row_of_an_id(spark, warehouse):
-    first = raw_rows(spark, move=[move(14, name="old")]).withColumn("fetched_at", F.lit("2020-01-01").cast("timestamp"))
-    later = raw_rows(spark, move=[move(14, name="new")]).withColumn("key", F.lit("move:014"))
+    first = raw_rows(spark, move=[move(302, name="old")]).withColumn("fetched_at", F.lit("2020-01-01").cast("timestamp"))
+    later = raw_rows(spark, move=[move(302, name="new")]).withColumn("key", F.lit("move:0302"))
     warehouse.append("raw.records", first.unionByName(later))
     assert load(warehouse)["move"] == 1
     assert [r["name"] for r in warehouse.table("staging.move").collect()] == ["new"]
@@ -172,9 +172,9 @@ def test_a_repaired_payload_leaves_the_rejects(spark, warehouse):
 def test_star_fails_on_what_staging_lacks(spark, warehouse):
     capture(warehouse, universe(spark), fixed=types_of(spark))
     load(warehouse)
-    warehouse.overwrite("staging.move", warehouse.table("staging.move").where("id <> 15"))
+    warehouse.overwrite("staging.move", warehouse.table("staging.move").where("id <> 301"))
     warehouse.overwrite("staging.species", warehouse.table("staging.species").where("false"))
-    with pytest.raises(ValueError, match=r"move cut \(1\); species 1 \(1\)"):
+    with pytest.raises(ValueError, match=r"move anchor \(1\); species 1 \(1\)"):
         build_star(warehouse)
     assert not warehouse.is_written("analytics.fact_root")
 
@@ -239,7 +239,7 @@ def test_star_is_rebuilt_whole(spark, warehouse):
     load(warehouse)
     assert build_star(warehouse) == build_star(warehouse)
     assert warehouse.table("analytics.bridge_type_effectiveness").count() == 4
-    assert warehouse.table("analytics.fact_root").first()["base_stat_total"] == 255
+    assert warehouse.table("analytics.fact_root").first()["base_stat_total"] == 150
 
 
 def test_layers_are_built_in_order(spark, warehouse):
