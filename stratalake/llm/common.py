@@ -1,6 +1,8 @@
 """What several operators need: stored steps, joins by size, texts in Arrow batches."""
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,20 @@ SMALL_ROWS = 200_000
 HELD_OUT = 2
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package wherever the session was started.
+
+    On a cluster the package is installed or sent along (``--py-files``), as for any job.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
