@@ -9,7 +9,6 @@ from stratalake.operators import lineage, quality
 from stratalake.operators.layers import build_star, capture, load, rebuild, run
 from stratalake.plans import star
 from stratalake.plans.entities import ENTITIES
-from stratalake.sources.landing import raw_by_entity
 from stratalake.sources.store import Warehouse, row_counts
 from stratalake.workload import universe
 from stratalake.workload.registry import query
