@@ -60,13 +60,7 @@ def _objective(layers: Layers) -> DataFrame:
        FROM u_score GROUP BY ALL""",
 )
 def q_move_score(layers: Layers) -> DataFrame:
-    scores = scoring.move_score(_base(layers), _matrix(layers))
-    return scores.groupBy("root_id", "defending_type_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("score").alias("worst"),
-        F.max("score").alias("best"),
-        F.sum("score").alias("total"),
-    )
+    return scoring.score_summary(_base(layers), _matrix(layers))
 
 
 @query(

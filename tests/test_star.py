@@ -147,6 +147,14 @@ def base(frames):
     )
 
 
+def test_summary_equals_the_scores(world):
+    frames = world[0]
+    single = scoring.move_score(base(frames), frames["matrix"]).groupBy("root_id", "defending_type_id")
+    want = single.agg(F.count("score").alias("n"), F.min("score"), F.max("score"), F.sum("score")).collect()
+    got = scoring.score_summary(base(frames), frames["matrix"]).collect()
+    assert [pytest.approx(tuple(r)) for r in sorted(want)] == [tuple(r) for r in sorted(got)]
+
+
 def test_scores(world):
     frames, score, _, roots, _ = world
     got = {(r[0], r[1], r[3]): r[4] for r in scoring.move_score(base(frames), frames["matrix"]).collect()}
