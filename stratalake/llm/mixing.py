@@ -73,8 +73,12 @@ def poisson_mix(docs: DataFrame, rates: DataFrame, seed: str = SEED) -> DataFram
     return drawn.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(copies).alias(mix))
 
 
-def mixed(docs: DataFrame, rates: DataFrame, seed: str = SEED) -> DataFrame:
-    """The copies in random order over all partitions, with the columns of docs."""
+def mixed(docs: DataFrame, rates: DataFrame, seed: str = SEED, numbered: bool = False) -> DataFrame:
+    """The copies in random order over all partitions, with the columns of docs.
+
+    ``numbered`` keeps the struct column of ``poisson_mix`` as the last one.
+    """
     out = poisson_mix(docs, rates, seed)
     mix = out.columns[-1]
-    return out.orderBy(F.col(f"`{mix}`.place")).drop(mix)
+    rows = out.orderBy(F.col(f"`{mix}`.place"))
+    return rows if numbered else rows.drop(mix)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import decontam, exactdup, langid, mixing, secrets, simhash, substrings, tokencount, tokenstore, toxicity
-from stratalake.llm.common import table
+from stratalake.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,10 +102,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies of every document for equal shares of all sources, with their random place."""
+    """Copies of every document for equal shares of all sources, in their random order, read back from the mixture.
+
+    The mixture is a stored table of whole rows, sorted by place.
+    """
     docs = table(spark, sf_dir, "documents")
-    mix = mixing.poisson_mix(docs.select("doc_id", "source", "text"), mixing.source_rates(docs))
-    return mix.select("doc_id", "source", "mix.*")
+    mixture = stored(mixing.mixed(docs, mixing.source_rates(docs), numbered=True), "mixture")
+    return mixture.select("doc_id", "source", f"`{mixture.columns[-1]}`.*").orderBy("place")
 
 
 SQL["op9_mixing"] = """

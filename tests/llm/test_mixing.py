@@ -46,3 +46,17 @@ def test_odd_rows(spark, clash):
     assert mixed(docs, source_rates(docs, epochs=0.0)).count() == 0
     empty = documents(spark, [])
     assert mixed(empty, source_rates(empty)).count() == 0
+
+
+def test_query_stores_whole_rows_in_order(spark, folder, clash):
+    rows = [(i, f"text {i}", "en", "rare" if i % 40 == 0 else "rest") for i in range(800)]
+    docs = clash(documents(spark, rows))
+    out = op9_mixing(spark, folder(documents=docs))
+    got = out.collect()
+    places = [r.place for r in got]
+    assert places == sorted(places) and [r.doc_id for r in got] != sorted(r.doc_id for r in got)
+    files = sorted(out.inputFiles())
+    kept = [r for f in files for r in spark.read.parquet(f).collect()]
+    assert list(kept[0].asDict())[:-1] == docs.columns
+    assert [(r.doc_id, r[-1].copy_no, r[-1].place) for r in kept] == [(r.doc_id, r.copy_no, r.place) for r in got]
+    assert all(r.text == f"text {r.doc_id}" for r in kept)
