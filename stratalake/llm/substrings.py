@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ LENGTH = 100
 GRAM = 32
 #: Bytes of a text anchored at once.
 BLOCK = 1 << 20
-#: A gram with more contexts is dealt out by window instead of by gram.
+#: A gram with more anchors is judged context by context, and one with more contexts is dealt out by window.
 MANY = 4096
+#: Windows that a task remembers, to keep repeats of them from the shuffle.
+SEEN = 1 << 17
 #: Windows that a task sorts at once.
 SORTED = 1 << 19
 _PLACE = np.uint64((1 << 24) - 1)
@@ -117,27 +120,40 @@ def _contexts(texts: DataFrame, open_: DataFrame, length: int) -> DataFrame:
     """The bytes of the open contexts: (key, ord, tie, place, first, bytes), key dealing them to tasks.
 
     The key is the gram, or for a gram of many contexts a hash of each window, which is then
-    a context of its own.
+    a context of its own. A window that the task has sent from an earlier place is not sent
+    again: its interval rides along without bytes, from ``place`` to ``first``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple[int, int, int]] = {}  # the earliest place sent
         for batch in batches:
-            for i in range(batch.num_rows):
+            for i in np.lexsort([np.asarray(batch.column(k)) for k in (1, 0)]).tolist():  # the first of a batch is sent first
                 rows, data = batch.column(2)[i].as_py(), batch.column(3)[i].as_py().encode("utf-8", "surrogatepass")
-                out = []
+                out, covered = [], []
+                o, t = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for r in rows:
                     if not r["many"]:
                         out.append((r["gram"], r["place"], r["first"], data[r["first"] : r["last"] + length]))
                         continue
                     for s in range(r["first"], r["last"] + 1):
                         window = data[s : s + length]
+                        sent = seen.get(window)
+                        if sent is not None and sent < (o, t, s):
+                            covered.append(s)
+                            continue
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen[window] = (o, t, s)
                         key = xxhash.xxh3_64_intdigest(window, (r["gram"] ^ (r["place"] - s)) & (1 << 64) - 1)
                         out.append((key - (1 << 64) if key >> 63 else key, r["place"], s, window))
+                low = np.array(covered, np.int64)
+                _, low, high = _merged(np.zeros(len(low), np.int64), low, low + length)
+                out += [(o ^ t, a, b, b"") for a, b in zip(low.tolist(), high.tolist())]
                 for k in range(0, len(out), 1 << 14):
                     keys, places, firsts, datas = zip(*out[k : k + (1 << 14)])
                     n = len(keys)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64()), pa.array([batch.column(0)[i].as_py()] * n, pa.int64()), pa.array([batch.column(1)[i].as_py()] * n, pa.int64()),
+                        [pa.array(keys, pa.int64()), pa.array([o] * n, pa.int64()), pa.array([t] * n, pa.int64()),
                          pa.array(places, pa.int64()), pa.array(firsts, pa.int64()), pa.array(datas, pa.binary())],
                         names=["key", "ord", "tie", "place", "first", "bytes"],
                     )
@@ -149,56 +165,121 @@ def _contexts(texts: DataFrame, open_: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(run, "key long, ord long, tie long, place long, first long, bytes binary")
 
 
+_MARK = ["ord", "tie", "low", "high"]
+
+
+def _repeats(t: pa.Table, length: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Intervals of windows that occur earlier under their key, and the rows that have a window for the first time."""
+    key, ords, ties, place, first = (np.asarray(t[c]) for c in ("key", "ord", "tie", "place", "first"))
+    cells = t["bytes"].combine_chunks().cast(pa.large_binary())
+    if isinstance(cells, pa.ChunkedArray):
+        cells = cells.chunk(0)
+    _, offsets_buffer, data_buffer = cells.buffers()
+    offsets = np.frombuffer(offsets_buffer, np.int64)[cells.offset : cells.offset + len(cells) + 1]
+    data = np.frombuffer(data_buffer, np.uint8)[offsets[0] : offsets[-1]]
+    starts = offsets[:-1] - offsets[0]
+    n = np.diff(offsets) - length + 1  # windows of each context
+    row = np.repeat(np.arange(len(n)), n)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    offset = place[row] - first[row] - inside  # of the anchor in the window
+    # Rows come by key, document and place: a stable sort by key and offset keeps that order.
+    number = np.cumsum(np.append(False, key[1:] != key[:-1]))
+    group = number[row] * length + offset
+    order = np.argsort(group, kind="stable")
+    ranked, equal = Suffixes(data, length).sort((starts[row] + inside)[order], group[order])
+    hit = order[ranked[equal]]
+    where, low = row[hit], first[row[hit]] + inside[hit]
+    doc, low, high = _merged(where, low, low + length)
+    marks = pa.RecordBatch.from_arrays([pa.array(x) for x in (ords[doc], ties[doc], low, high)], names=_MARK)
+    return marks, np.unique(row[order[ranked[~equal]]])
+
+
+def _swept(batches: Iterator[pa.RecordBatch], length: int, at_once: int) -> Iterator[pa.RecordBatch]:
+    """Marks of sorted contexts, of as many whole keys at a time as fit.
+
+    Of a key that alone outgrows ``at_once`` only the contexts with a window for the first time are held.
+    """
+    held: list[pa.RecordBatch] = []
+    size, limit = 0, at_once
+
+    def windows(t: pa.Table | pa.RecordBatch) -> int:
+        return (pc.sum(pc.binary_length(t["bytes"] if isinstance(t, pa.Table) else t.column(5))).as_py() or 0) - t.num_rows * (length - 1)
+
+    for batch in batches:
+        full = pc.greater(pc.binary_length(batch.column(5)), 0)
+        if not pc.all(full).as_py():
+            done = batch.filter(pc.invert(full))  # intervals that are covered already
+            yield pa.RecordBatch.from_arrays([done.column(i) for i in (1, 2, 3, 4)], names=_MARK)
+            batch = batch.filter(full)
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += windows(batch)
+        if size >= limit:
+            t = pa.Table.from_batches(held).combine_chunks()
+            keys = np.asarray(t["key"])
+            cut = int(np.argmax(keys == keys[-1]))  # rows of the last key may go on
+            if cut:
+                yield _repeats(t.slice(0, cut), length)[0]
+                rest = t.slice(cut)
+            else:
+                marks, fresh = _repeats(t, length)
+                yield marks
+                rest = t.take(pa.array(fresh))
+            held, size = rest.to_batches(), windows(rest)
+            limit = max(at_once, 2 * size)
+    if size:
+        yield _repeats(pa.Table.from_batches(held).combine_chunks(), length)[0]
+
+
 def _sorted(contexts: DataFrame, length: int, at_once: int) -> DataFrame:
-    """(ord, tie, low, high): intervals of windows that occur earlier in another context of their key.
+    """(ord, tie, low, high): intervals of windows that occur earlier in another context of their key, and those that ride along.
 
     Tasks get whole keys in order, and sort the windows of as many keys at a time as fit.
     """
 
-    def repeats(t: pa.Table) -> pa.RecordBatch:
-        key, ords, ties, place, first = (np.asarray(t[c]) for c in ("key", "ord", "tie", "place", "first"))
-        cells = t["bytes"].combine_chunks().cast(pa.large_binary())
-        if isinstance(cells, pa.ChunkedArray):
-            cells = cells.chunk(0)
-        _, offsets_buffer, data_buffer = cells.buffers()
-        offsets = np.frombuffer(offsets_buffer, np.int64)[cells.offset : cells.offset + len(cells) + 1]
-        data = np.frombuffer(data_buffer, np.uint8)[offsets[0] : offsets[-1]]
-        starts = offsets[:-1] - offsets[0]
-        n = np.diff(offsets) - length + 1  # windows of each context
-        row = np.repeat(np.arange(len(n)), n)
-        inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        offset = place[row] - first[row] - inside  # of the anchor in the window
-        # Rows come by key, document and place: a stable sort by key and offset keeps that order.
-        number = np.cumsum(np.append(False, key[1:] != key[:-1]))
-        group = number[row] * length + offset
-        order = np.argsort(group, kind="stable")
-        ranked, equal = Suffixes(data, length).sort((starts[row] + inside)[order], group[order])
-        hit = order[ranked[equal]]
-        where, low = row[hit], first[row[hit]] + inside[hit]
-        doc, low, high = _merged(where, low, low + length)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (ords[doc], ties[doc], low, high)], names=["ord", "tie", "low", "high"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.column(5).nbytes - batch.num_rows * (length - 1)
-            if size >= at_once:
-                t = pa.Table.from_batches(held).combine_chunks()
-                keys = np.asarray(t["key"])
-                cut = int(np.argmax(keys == keys[-1]))  # rows of the last key may go on
-                if cut:
-                    yield repeats(t.slice(0, cut))
-                rest = t.slice(cut)
-                held, size = rest.to_batches(), rest["bytes"].nbytes - rest.num_rows * (length - 1)
-        if size:
-            yield repeats(pa.Table.from_batches(held).combine_chunks())
+        return _swept(batches, length, at_once)
 
     dealt = contexts.repartition("key").sortWithinPartitions("key", "ord", "tie", "place", "first")
     return dealt.mapInArrow(run, "ord long, tie long, low long, high long")
 
 
+def _judged(found: DataFrame, many: int) -> DataFrame:
+    """(gram, ord, tie, place, first, last, kind) of anchors that count: 0 covered whole, 1 open, 2 open under a gram of over ``many`` contexts.
+
+    A gram of over ``many`` anchors doesn't go through a window of its own rows: the firsts of
+    its contexts and their number are aggregates that combine in each task.
+    """
+    kept = ["gram", "ord", "tie", "place", "first", "last", "kind"]
+    covered = found.where("covered").withColumn("kind", F.lit(0)).select(kept)
+    anchors_ = found.where("NOT covered")
+    hot = sized(stored(anchors_.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many).select("gram"), "hot"))
+    some = not hot.isEmpty()
+    by_gram = Window.partitionBy("gram")
+    in_context = by_gram.orderBy("context", "ord", "tie", "place")
+    before = F.lag("context").over(in_context)
+    new = (before.isNull() | (before != F.col("context"))).cast("int")
+    cold = (
+        (anchors_.join(hot, "gram", "left_anti") if some else anchors_)
+        .withColumn("new", new)
+        .withColumn("contexts", F.sum("new").over(by_gram))
+        .where((F.col("new") == 0) | (F.col("contexts") > 1))
+        .withColumn("kind", F.col("new"))
+        .select(kept)
+    )
+    out = covered.unionByName(cold)
+    if not some:
+        return out
+    rows = anchors_.join(hot, "gram", "left_semi")
+    at = F.struct("ord", "tie", "place", "first")
+    firsts = stored(rows.groupBy("gram", "context").agg(F.min(at).alias("least")), "hot-contexts")
+    counts = sized(stored(firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")), "hot-counts"))
+    judged = rows.join(firsts, ["gram", "context"]).join(counts, "gram").withColumn("is_new", at == F.col("least"))
+    kind = F.when(~F.col("is_new"), F.lit(0)).when(F.col("contexts") > many, F.lit(2)).otherwise(F.lit(1))
+    return out.unionByName(judged.where("NOT is_new OR contexts > 1").withColumn("kind", kind).select(kept))
+
+
 def _outcome(texts: DataFrame, marks: DataFrame) -> DataFrame:
     """(o, t, n_removed, n_spans, kept_sha256) of every document with marked bytes."""
     import hashlib
@@ -251,19 +332,7 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         once = texts.join(again, ["ord", "tie"], "left_anti")
         texts = once.unionByName(texts.join(again, ["ord", "tie"], "left_semi").dropDuplicates(["ord", "tie"]))
 
-    by_gram = Window.partitionBy("gram", "covered")
-    in_context = by_gram.orderBy("context", "ord", "tie", "place")
-    nth = F.row_number().over(in_context)
-    before = F.lag("context").over(in_context)
-    new = (F.col("covered") | before.isNull() | (before != F.col("context"))).cast("int")
-    ranked = (
-        _found(texts, length, gram)
-        .withColumns({"nth": nth, "new": new})
-        .withColumn("contexts", F.sum("new").over(by_gram))
-        .where(F.col("covered") | (F.col("new") == 0) | (F.col("contexts") > 1))
-    )
-    kind = F.when(F.col("covered") | (F.col("new") == 0), F.lit(0)).when(F.col("contexts") > many, F.lit(2)).otherwise(F.lit(1))
-    judged = stored(ranked.select("gram", "ord", "tie", "place", "first", "last", kind.alias("kind")), "judged")
+    judged = stored(_judged(stored(_found(texts, length, gram), "found"), many), "judged")
     whole = judged.where("kind = 0").select("ord", "tie", F.col("first").alias("low"), (F.col("last") + length).alias("high"))
     open_ = judged.where("kind > 0").select("gram", "ord", "tie", "place", "first", "last", (F.col("kind") == 2).alias("many"))
     touched = sized(stored(judged.select("ord", "tie").distinct(), "touched"))

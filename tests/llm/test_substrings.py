@@ -2,10 +2,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import documents
 
-from stratalake.llm import suffix
+from stratalake.llm import substrings, suffix
 from stratalake.llm.queries import op8_suffix_dedup
 from stratalake.llm.substrings import anchors, repeated_substrings
 from stratalake.llm.suffix import Suffixes
@@ -114,3 +115,35 @@ def test_query(spark, folder, clash):
 def test_powers():
     assert [int(x) for x in suffix.powers(7, 5)] == [1, 7, 49, 343, 2401]
     assert (suffix.BASE * suffix.INVERSE) % (1 << 64) == 1
+
+
+def test_hot_passage_is_reduced_before_the_shuffle(spark, monkeypatch):
+    rng = random.Random(5)
+    line = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    passage = line(130)
+    rows = [(i, line(150) + (passage if i % 3 else "") + line(150)) for i in range(300)]
+    dealt, plain = [], substrings._sorted
+    monkeypatch.setattr(substrings, "_sorted", lambda contexts, *a: dealt.append(contexts) or plain(contexts, *a))
+    got = repeated_substrings(documents(spark, rows).repartition(5), many=20).collect()
+    same(got, brute(rows, 100))
+    contexts = dealt[0].where("length(bytes) > 0")
+    assert contexts.groupBy("key").count().agg({"count": "max"}).first()[0] < 20
+
+
+def test_one_key_beyond_what_is_sorted_at_once():
+    window = bytes(range(100))
+    names = ["key", "ord", "tie", "place", "first", "bytes"]
+    taken = []
+
+    def batches():
+        for k in range(40):
+            taken.append(k)
+            n = 50
+            cells = [[7] * n, [k * n + i for i in range(n)], [0] * n, [10] * n, [5] * n, [window] * n]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cells[:5]), pa.array(cells[5], pa.binary())], names=names)
+
+    marks = substrings._swept(batches(), 100, 200)
+    got = next(marks).to_pylist()
+    assert len(taken) < 10
+    got += [r for m in marks for r in m.to_pylist()]
+    assert [(r["ord"], r["low"], r["high"]) for r in got] == [(i, 5, 105) for i in range(1, 2000)]
