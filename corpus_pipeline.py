@@ -28,8 +28,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Files of ids, and where each document is in them."""
-    return tokenstore.read_tokens(tokenstore.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json")))
+    """Files of ids in the order of the stored mixture, and where each document is in them."""
+    files = tokenstore.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), order=tokenstore.stored_order())
+    return tokenstore.read_tokens(files)
 
 
 STAGES = [

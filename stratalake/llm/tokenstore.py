@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import stored
@@ -195,14 +195,20 @@ class TokenFile:
             start = end
 
 
-def write_tokens(docs: DataFrame, vocabulary: str, name: str = "tokens") -> DataFrame:
-    """Files of all documents' ids, each ended by END, in ascending doc_id order.
+def stored_order() -> list[Column]:
+    """The order of rows read from Parquet as they were written: by part of the write, file and row."""
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, "^part-([0-9]+)", 1).cast("int"), name, F.col("_metadata.row_index")]
+
+
+def write_tokens(docs: DataFrame, vocabulary: str, name: str = "tokens", order: list[Column] | None = None) -> DataFrame:
+    """Files of all documents' ids, each ended by END, in ascending doc_id order or that of ``order``.
 
     One row per file: part, file_no, n_docs, n_tokens, start (tokens before it) and data, the
     file's bytes. The rows are a stored table, so that files are committed by Spark wherever
-    the shared folder is. A null or empty text is END alone; null ids come first, rows of one
-    id in the order of their text's hash. Only texts are shuffled, once, by ranges of doc_id;
-    starts are sums over parts, then over the files of a part.
+    the shared folder is. A null or empty text is END alone; without ``order`` null ids come
+    first, rows of one id in the order of their text's hash. Only texts are shuffled, once, by
+    ranges of the order; starts are sums over parts, then over the files of a part.
     """
     conf = docs.sparkSession.conf
     parts = int(conf.get("spark.sql.shuffle.partitions"))
@@ -226,8 +232,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, name: str = "tokens") -> Data
         if ids:
             yield made()
 
-    rows = docs.select("doc_id", "text")
-    rows = rows.repartitionByRange(parts, F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = docs.select("doc_id", "text", *(c.alias(f"order_{i}") for i, c in enumerate(order or [])))
+    keys = [F.col(c) for c in rows.columns[2:]] if order else [F.col("doc_id"), F.xxhash64("text")]
+    rows = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
     made = rows.mapInArrow(files, "n_docs long, n_tokens long, data binary")
     # An id is its task's number and its place in the task, so it keeps the order of files.
     numbered = made.withColumn("file_no", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id())

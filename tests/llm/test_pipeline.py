@@ -76,3 +76,14 @@ def test_empty_tables(spark, folder):
     )
     assert corpus_pipeline.run(spark, path).count() == 0
     assert toxicity.THRESHOLD == 0.3
+
+
+def test_tokens_keep_the_order_of_the_mixture(spark, folder):
+    rows = [(i, f"text {i}", None, "rare" if i % 50 == 0 else "rest") for i in range(400)]
+    path = folder(documents=documents(spark, rows))
+    mixture = stored(corpus_pipeline.mix(spark, spark.read.parquet(f"{path}/documents.parquet"), path).repartition(3), "mixture")
+    files = sorted(mixture.inputFiles())
+    assert len(files) > 1
+    want = [r.doc_id for f in files for r in spark.read.parquet(f).collect()]
+    got = sorted(corpus_pipeline.token_ids(spark, mixture, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == want != sorted(want)
