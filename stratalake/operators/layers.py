@@ -4,6 +4,7 @@ import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from stratalake.plans.entities import ENTITIES, accepted, all_accepted, checked,
 from stratalake.plans.star import orphans, star
 from stratalake.sources.landing import existing_keys
 from stratalake.sources.shared import checkpointed, tuned
-from stratalake.sources.store import Warehouse
+from stratalake.sources.store import Staged, Warehouse
 
 LAYERS = ("raw", "staging", "analytics")
 
@@ -46,37 +47,56 @@ def capture(
         return warehouse.upsert("raw.records", new_records(source, pending), seq="seq")
 
 
-def load(warehouse: Warehouse, on_error: str = "fail") -> dict[str, int]:
+def load(warehouse: Warehouse, on_error: str = "fail", only_changes: bool = False) -> dict[str, int]:
     """Raw -> staging, entity by entity; returns the rows written.
 
     Of payloads with the same id the one fetched last stays, then the one of the last key.
     ``fail``: an invalid payload fails the write of its entity, which then keeps its
     previous content. ``quarantine``: invalid payloads are in ``staging.rejects`` as long as
     they are invalid; payloads are parsed once, and rows and rejects change in one commit.
+
+    ``only_changes`` parses what came to raw since the last load of the entity, and what was
+    rejected; the commit that shows the rows says how far they go, so the result is that of a whole load.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error: {on_error}")
     with tuned(warehouse.spark):
+        upto = warehouse.number
         raw = warehouse.table("raw.records")
-        staged, rejects = [], []
-        written = {}
+        old_rejects = warehouse.table("staging.rejects")
+        staged, rejects, written = [], [], {}
         for entity, spec in ENTITIES.items():
-            payloads = raw.where(F.col("entity_type") == entity).select("key", "payload", "fetched_at")
-            both = checked(payloads, spec, "fetched_at")
+            payloads = raw.where(F.col("entity_type") == entity)
+            if only_changes:
+                new = warehouse.changes("raw.records", warehouse.loaded(spec.table))
+                new = new.where(F.col("entity_type") == entity)
+                bad = old_rejects.where(F.col("entity_type") == entity).join(new.select("key"), "key", "left_anti")
+                again = payloads.join(bad.select("key"), "key", "left_semi")
+                payloads = new if bad.isEmpty() else new.unionByName(again)
+            both = checked(payloads.select("key", "payload", "fetched_at"), spec, "fetched_at")
+            if on_error == "fail":
+                rows = _by_id(all_accepted(both))
+            else:
+                both = checkpointed(both)
+                rows = _by_id(accepted(both))
+                rejects.append(rejected(both).withColumn("entity_type", F.lit(entity)))
+            one = _loaded(warehouse.stage_upsert(spec.table, rows, seq="_seq", newer=only_changes), upto)
+            written[entity] = one.rows
             if on_error == "fail":
-                rows = all_accepted(both)
-                written[entity] = warehouse.upsert(spec.table, _by_id(rows), seq="_seq")
-                continue
-            both = checkpointed(both)
-            staged.append(warehouse.stage_upsert(spec.table, _by_id(accepted(both)), seq="_seq"))
-            rejects.append(rejected(both).withColumn("entity_type", F.lit(entity)))
-            written[entity] = staged[-1].rows
+                warehouse.commit(one)
+            else:
+                staged.append(one)
         if rejects:
+            # what was rejected before has been parsed again
             bad = reduce(DataFrame.unionByName, rejects)
-            warehouse.commit(*(s for s in staged if s.rows), warehouse.stage_overwrite("staging.rejects", bad))
+            warehouse.commit(*staged, warehouse.stage_overwrite("staging.rejects", bad))
         return written
 
 
+def _loaded(staged: Staged, upto: int) -> Staged:
+    return replace(staged, content=replace(staged.content, loaded=upto))
+
+
 def _by_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_seq", F.struct("fetched_at", "key")).drop("fetched_at", "key")
 

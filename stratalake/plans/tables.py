@@ -3,18 +3,23 @@
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Columns in stored order as DDL, primary key and partition columns of one table."""
+    """Columns in stored order as DDL, primary key and partition columns of one table.
+
+    A bucketed table takes upserts by key; a log only takes further rows; any other is written anew.
+    """
 
     columns: str
     key: list[str]
     partition_by: tuple[str, ...] = ()
+    bucketed: bool = False
+    log: bool = False
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -29,6 +34,7 @@ TABLES: dict[str, TableSpec] = {
         "fetched_at TIMESTAMP NOT NULL",
         ["key"],
         ("entity_type",),
+        bucketed=True,
     ),
     "staging.root": TableSpec(
         "id BIGINT NOT NULL, name STRING NOT NULL, height BIGINT NOT NULL, "
@@ -40,6 +46,7 @@ TABLES: dict[str, TableSpec] = {
         "defense BIGINT NOT NULL, special_attack BIGINT NOT NULL, "
         "special_defense BIGINT NOT NULL, speed BIGINT NOT NULL",
         ["id"],
+        bucketed=True,
     ),
     "staging.species": TableSpec(
         "id BIGINT NOT NULL, name STRING NOT NULL, `order` BIGINT NOT NULL, "
@@ -52,6 +59,7 @@ TABLES: dict[str, TableSpec] = {
         "growth_rate STRING NOT NULL, color STRING NOT NULL, shape STRING, "
         "habitat STRING, egg_groups ARRAY<STRING> NOT NULL, flavor_text STRING",
         ["id"],
+        bucketed=True,
     ),
     "staging.type": TableSpec(
         "id BIGINT NOT NULL, name STRING NOT NULL, generation_id BIGINT NOT NULL, "
@@ -60,6 +68,7 @@ TABLES: dict[str, TableSpec] = {
         "half_damage_to ARRAY<STRING> NOT NULL, half_damage_from ARRAY<STRING> NOT NULL, "
         "no_damage_to ARRAY<STRING> NOT NULL, no_damage_from ARRAY<STRING> NOT NULL",
         ["id"],
+        bucketed=True,
     ),
     "staging.move": TableSpec(
         "id BIGINT NOT NULL, name STRING NOT NULL, power BIGINT, accuracy BIGINT, "
@@ -67,6 +76,7 @@ TABLES: dict[str, TableSpec] = {
         "type_id BIGINT NOT NULL, damage_class STRING NOT NULL, target STRING NOT NULL, "
         "generation_id BIGINT NOT NULL",
         ["id"],
+        bucketed=True,
     ),
     "staging.rejects": TableSpec(
         "key STRING NOT NULL, entity_type STRING NOT NULL, payload STRING NOT NULL, "
@@ -110,20 +120,21 @@ TABLES: dict[str, TableSpec] = {
         "status STRING NOT NULL, scope_limit BIGINT, stages ARRAY<STRING>, "
         "raw_written BIGINT, staging_written BIGINT, error STRING",
         ["run_id", "seq"],
+        log=True,
     ),
 }
 
 
-def conform(rows: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
+def conform(rows: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
     """The declared columns in declared order and type, then ``more``; quoted, since ``order`` is one of them.
 
     A null in a column declared NOT NULL fails the job.
     """
 
-    def value(f: T.StructField) -> F.Column:
+    def value(f: T.StructField) -> Column:
         column = F.col(f"`{f.name}`").cast(f.dataType.simpleString())
         if not f.nullable:
             column = F.coalesce(column, F.raise_error(F.lit(f"null in {f.name}")).cast(f.dataType.simpleString()))
         return column.alias(f.name)
 
-    return rows.select([value(f) for f in schema] + [F.col(c) for c in more])
+    return rows.select([value(f) for f in schema] + list(more))

@@ -12,6 +12,7 @@ FILE_OF_MANY = r"/(?:entity_type=)?([\w-]+)/[^/]+$"
 
 _PATH = "_metadata.file_path"
 # later files win; a bundle's lines are told apart by their payload
+ARRIVAL = "struct<file_modification_time:timestamp,file_path:string>"
 _ARRIVAL = "struct(_metadata.file_modification_time, _metadata.file_path) AS seq"
 
 

@@ -5,6 +5,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,10 +29,59 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, on whatever file system it is."""
+def _path(spark: SparkSession, path: str):
+    """(its file system, the path), on whatever file system it is."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists."""
+    fs, hadoop = _path(spark, path)
+    return fs.exists(hadoop)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    fs, hadoop = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, hadoop = _path(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place, whole, unless there is one: then False."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _path(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    # a rename that doesn't replace: it is what decides between two writers
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.toUri(), fs.getConf())
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(fs.makeQualified(part), fs.makeQualified(target), plain)
+    except Py4JJavaError as error:
+        fs.delete(part, False)
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder with what it holds; whether there was one."""
+    fs, hadoop = _path(spark, path)
+    return fs.delete(hadoop, True)
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:

@@ -1,162 +1,285 @@
-"""Stored layers: Parquet tables whose current content is named by a commit log.
+"""Stored layers: Parquet written by Spark, and one pointer that names what is current.
 
-Every write goes to a new folder. A table changes only when the line naming its
-folders is appended to the log, so a failed or lost job leaves it as it was, a plan
-may read the table it replaces, and several tables can change at once.
+Every write goes to a new folder. Rows of a keyed table lie in hash buckets of their key, so
+that an upsert rewrites only the buckets in which it changes something. The pointer is one small
+file with the whole state; the next one is put in place only if its number is still free.
+So a failed or lost job leaves every table as it was, a plan may read the table it replaces, several
+tables change at once, and of two writers that started from the same state one fails.
 """
 
 import json
 import uuid
-from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.upsert import latest_wide, merge_rows, repeated_keys
+from stratalake.operators.upsert import latest_wide, repeated_keys
 from stratalake.plans.tables import TABLES, conform
-from stratalake.sources.shared import path_exists
+from stratalake.sources.shared import create_once, delete_path, names_in, path_exists, read_file
 
-_LOG = "seq bigint, table string, adds boolean, folders array<string>, rows bigint"
-_LOG_FIELDS = "seq:bigint,table:string,adds:boolean,folders:array<string>,rows:bigint"
+#: Columns of keyed tables beside the declared ones: what orders the versions of a key, and the
+#: number of the write that brought the row.
+SEQ, WRITE = "_seq", "_write"
+
+
+@dataclass(frozen=True)
+class Content:
+    """What a table consists of: folder -> its current buckets, or None for all that it has."""
+
+    folders: dict[str, list[int] | None] = field(default_factory=dict)
+    buckets: int = 0
+    seq: str | None = None  # type of SEQ
+    loaded: int = 0  # the last write of its source that it has taken in
+
+    def only(self, buckets: list[int], held: dict[str, list[int]], rest: bool = False) -> dict[str, list[int] | None]:
+        """The folders in some buckets, or in the rest of them; ``held`` has the buckets of each folder."""
+        wanted = set(buckets)
+        found = {}
+        for folder, current in self.folders.items():
+            now = held[folder] if current is None else current
+            left = [b for b in now if (b in wanted) != rest]
+            if left:
+                found[folder] = current if len(left) == len(now) else left
+        return found
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A written folder that no reader sees yet."""
+    """Written content that no reader sees yet."""
 
     table: str
-    folders: tuple[str, ...]
+    content: Content
     rows: int
-    adds: bool = False  # to the content, which it replaces otherwise
 
 
 class Warehouse:
-    """The tables of ``plans.tables`` under one folder; one writer at a time."""
+    """The tables of ``plans.tables`` under one folder.
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    ``buckets`` is how many a keyed table gets when it is first written, or written anew:
+    by default as many as the session has shuffle partitions.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
-        self._folders, self._seq = self._read_log()
-
-    def _read_log(self) -> tuple[dict[str, list[str]], int]:
-        if not path_exists(self.spark, f"{self.path}/_log"):
-            return {}, 0
-        log = self.spark.read.schema(_LOG).json(f"{self.path}/_log")
-        # a line names its own folders only: those since a table was last replaced are current
-        last = F.max(F.when(~F.col("adds"), F.col("seq"))).over(Window.partitionBy("table"))
-        lines = log.withColumn("last", last).where("last IS NULL OR seq >= last").orderBy("seq")
-        current: dict[str, list[str]] = {}
-        for line in lines.select("table", "folders").collect():  # a line per append since then
-            current.setdefault(line["table"], []).extend(line["folders"])
-        return current, log.agg(F.max("seq")).first()[0] or 0
+        self.buckets = buckets
+        self.number, self._tables, self._streams = self._read_pointer()
 
-    def table(self, name: str) -> DataFrame:
-        """Current content, in the declared columns; empty if never written."""
-        folders = self._folders.get(name)
-        if not folders:
-            return self.spark.createDataFrame([], TABLES[name].schema)
-        return self._read(name, folders)
+    # ---- the pointer ----------------------------------------------------------------------
+
+    def _read_pointer(self) -> tuple[int, dict[str, Content], dict[str, int]]:
+        numbers = [int(n) for n in names_in(self.spark, f"{self.path}/_current") if n.isdigit()]
+        if not numbers:
+            return 0, {}, {}
+        state = json.loads(read_file(self.spark, f"{self.path}/_current/{max(numbers)}"))
+        return max(numbers), {n: Content(**c) for n, c in state["tables"].items()}, state["streams"]
+
+    def commit(self, *staged: Staged, stream: tuple[str, int] | None = None) -> None:
+        """Make written content current, all of it at once, and remember how far a stream has come.
+
+        Fails if another writer has committed since this one read the pointer.
+        """
+        tables = self._tables | {s.table: s.content for s in staged}
+        streams = self._streams | ({stream[0]: stream[1]} if stream else {})
+        state = {"tables": {n: vars(c) for n, c in tables.items()}, "streams": streams}
+        number = self.number + 1
+        if not create_once(self.spark, f"{self.path}/_current/{number}", json.dumps(state)):
+            raise RuntimeError(f"another writer has changed {self.path}; open the warehouse again")
+        # the pointer before stays for who is about to read it
+        delete_path(self.spark, f"{self.path}/_current/{number - 2}")
+        self.number, self._tables, self._streams = number, tables, streams
+
+    def vacuum(self) -> int:
+        """Delete what the pointer doesn't name; returns the folders deleted. No reader or writer may be busy."""
+        gone = 0
+        for name in TABLES:
+            current = self._tables.get(name, Content()).folders
+            for folder in names_in(self.spark, self._base(name)):
+                if not folder.startswith("write="):
+                    continue
+                if folder not in current:
+                    gone += delete_path(self.spark, f"{self._base(name)}/{folder}")
+                elif current[folder] is not None:
+                    for b in set(self._held(name, folder)) - set(current[folder]):
+                        gone += delete_path(self.spark, f"{self._base(name)}/{folder}/bucket={b}")
+        return gone
+
+    # ---- reading --------------------------------------------------------------------------
 
     def _base(self, name: str) -> str:
         return f"{self.path}/{name.replace('.', '/')}"
 
     def is_written(self, name: str) -> bool:
-        return bool(self._folders.get(name))
+        return path_exists(self.spark, self._base(name)) if TABLES[name].log else name in self._tables
 
-    def _stage(self, name: str, rows: DataFrame, seq: str | None = None) -> Staged:
-        """Written rows; ``seq`` stays as a column beside the declared ones, which no reader asks for."""
-        spec = TABLES[name]
-        folder = f"{self._base(name)}/part_of={uuid.uuid4().hex}"
-        seen = Observation()
-        out = conform(rows, spec.schema, *([seq] if seq else [])).observe(seen, F.count(F.lit(1)).alias("rows"))
-        out.write.partitionBy(*spec.partition_by).parquet(folder)
-        return Staged(name, (folder,), seen.get["rows"])
+    def table(self, name: str) -> DataFrame:
+        """Current content, in the declared columns; empty if never written."""
+        if not TABLES[name].log:
+            return self._read(name, self._tables.get(name, Content()))
+        if not self.is_written(name):
+            return self.spark.createDataFrame([], TABLES[name].schema)
+        return self.spark.read.schema(TABLES[name].schema).parquet(self._base(name))
 
-    def _read(self, name: str, folders: Iterable[str], *more: T.StructField) -> DataFrame:
-        spec = TABLES[name]
-        schema = T.StructType([*spec.schema, *more])
+    def changes(self, name: str, since: int) -> DataFrame:
+        """Rows of a keyed table that a write after number ``since`` brought; older folders aren't opened."""
+        content = self._tables.get(name, Content())
+        newer = {f: b for f, b in content.folders.items() if int(f.split("=")[1].split("-")[0]) > since}
+        rows = self._read(name, replace(content, folders=newer), WRITE)
+        return rows.where(F.col(WRITE) > since).drop(WRITE)
+
+    def loaded(self, name: str) -> int:
+        """The last write of its source that a table has taken in; 0 for none."""
+        return self._tables.get(name, Content()).loaded
+
+    def _read(self, name: str, content: Content, *more: str) -> DataFrame:
+        hidden = {SEQ: content.seq or "string", WRITE: "bigint", "bucket": "int"}
+        fields = [*TABLES[name].schema, *(T.StructField(c, T.DataType.fromDDL(hidden[c])) for c in more)]
+        schema = T.StructType(fields)
+        paths = []
+        for folder, buckets in content.folders.items():
+            path = f"{self._base(name)}/{folder}"
+            paths += [path] if buckets is None else [f"{path}/bucket={b}" for b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
         read = self.spark.read.schema(schema).option("basePath", self._base(name))
-        return read.parquet(*folders).select([F.col(f"`{c}`") for c in schema.names])
+        return read.parquet(*paths).select([F.col(f"`{c}`") for c in schema.names])
+
+    def _held(self, name: str, folder: str) -> list[int]:
+        found = names_in(self.spark, f"{self._base(name)}/{folder}")
+        return sorted(int(n.split("=")[1]) for n in found if n.startswith("bucket="))
+
+    # ---- writing --------------------------------------------------------------------------
 
-    def commit(self, *staged: Staged) -> None:
-        """Make written folders current, all of them in one log append.
+    def _write(self, name: str, rows: DataFrame, content: Content, seq: str | None = None) -> tuple[str, int]:
+        """(new folder, rows written), in the buckets of ``content``.
 
-        Fails if another writer has committed since this one read the log.
+        ``seq`` is kept as SEQ, and WRITE if the rows have it.
         """
-        if self._read_log()[1] != self._seq:
-            raise RuntimeError(f"another writer has changed {self.path}; open the warehouse again")
-        self._seq += 1
-        lines = [
-            {"seq": self._seq, "table": s.table, "adds": s.adds, "folders": s.folders, "rows": s.rows}
-            for s in staged
-        ]
-        log = self.spark.sql(
-            f"SELECT inline(from_json(:lines, 'array<struct<{_LOG_FIELDS}>>'))",
-            args={"lines": json.dumps(lines)},
-        )
-        log.write.mode("append").json(f"{self.path}/_log")
-        for s in staged:
-            old = self._folders.get(s.table, []) if s.adds else []
-            self._folders[s.table] = [*old, *s.folders]
+        spec = TABLES[name]
+        folder = f"write={self.number + 1}-{uuid.uuid4().hex[:12]}"
+        more = [F.col(seq).cast(content.seq).alias(SEQ)] if seq else []
+        if spec.bucketed:
+            more.append(F.col(WRITE) if WRITE in rows.columns else F.lit(self.number + 1).cast("bigint").alias(WRITE))
+        out = conform(rows, spec.schema, *more)
+        layout = spec.partition_by
+        if spec.bucketed:
+            key = [F.col(f"`{c}`") for c in spec.key]
+            layout = ("bucket", *layout)
+            # a task of its own for each bucket, more for a large one, small ones together
+            out = out.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(content.buckets)).cast("int"))
+            out = out.hint("rebalance", *layout)
+        seen = Observation()
+        out.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(*layout).parquet(f"{self._base(name)}/{folder}")
+        return folder, seen.get["rows"]
+
+    def _new(self, name: str) -> Content:
+        n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return Content(buckets=n if TABLES[name].bucketed else 0)
 
     def stage_overwrite(self, name: str, rows: DataFrame) -> Staged:
         """Write new content for a table without showing it yet."""
-        return self._stage(name, rows)
+        content = self._new(name)
+        folder, n = self._write(name, rows, content)
+        return Staged(name, replace(content, folders={folder: None}), n)
 
     def overwrite(self, name: str, rows: DataFrame) -> int:
         """Replace a table; returns the rows written."""
-        staged = self._stage(name, rows)
+        staged = self.stage_overwrite(name, rows)
         self.commit(staged)
         return staged.rows
 
     def append(self, name: str, rows: DataFrame) -> int:
         """Add rows whose keys are new; what is stored is not read or rewritten."""
-        staged = self._stage(name, rows)
-        if staged.rows:
-            self.commit(replace(staged, adds=True))
-        return staged.rows
+        if TABLES[name].log:
+            seen = Observation()
+            out = conform(rows, TABLES[name].schema).observe(seen, F.count(F.lit(1)).alias("rows"))
+            out.write.mode("append").parquet(self._base(name))
+            return seen.get["rows"]
+        content = self._tables.get(name) or self._new(name)
+        folder, n = self._write(name, rows, content)
+        if n:
+            self.commit(Staged(name, replace(content, folders=content.folders | {folder: None}), n))
+        return n
 
-    def upsert(self, name: str, batch: DataFrame, seq: str | None = None) -> int:
+    def upsert(
+        self,
+        name: str,
+        batch: DataFrame,
+        seq: str | None = None,
+        newer: bool = False,
+        stream: tuple[str, int] | None = None,
+    ) -> int:
         """Insert or replace whole rows by key; returns rows written, updates included.
 
-        With ``seq`` the last row per key of the batch wins; without it the keys of
-        the batch must be unique. An empty batch changes nothing. The batch is computed once:
-        what was written is read again only if its keys repeat.
+        With ``seq`` the last row per key of the batch wins, and it is stored as the version of the key; without
+        it the keys of the batch must be unique. With ``newer`` a stored row of a greater version stays, so that batches
+        may come in any order. An empty batch changes nothing. ``stream`` (its id, number of
+        the batch) makes a batch count once. The batch is computed once.
         """
-        staged = self.stage_upsert(name, batch, seq)
-        if staged.rows:
-            self.commit(staged)
+        if stream and self._streams.get(stream[0], -1) >= stream[1]:
+            return 0
+        staged = self.stage_upsert(name, batch, seq, newer)
+        if staged.rows or stream:
+            self.commit(*([staged] if staged.rows else []), stream=stream)
         return staged.rows
 
-    def stage_upsert(self, name: str, batch: DataFrame, seq: str | None = None) -> Staged:
+    def stage_upsert(self, name: str, batch: DataFrame, seq: str | None = None, newer: bool = False) -> Staged:
         """Write what :meth:`upsert` would show, without showing it yet.
 
-        A batch of new keys only is added to what is stored, which isn't rewritten.
+        Keys decide, in the buckets of the batch only. A bucket that has none of them gets a
+        further file; one that has some is written anew.
         """
         key = TABLES[name].key
-        new = self._stage(name, batch, seq)
-        if seq is not None and new.rows:
-            written = self._read(name, new.folders, batch.schema[seq])
-            if not repeated_keys(written, key).isEmpty():
-                new = self._stage(name, latest_wide(written, key, seq))
-        if not new.rows or not self.is_written(name):
-            return new
-        # the batch is computed once; only the keys of its stored rows are read back
-        keys, stored = self._read(name, new.folders).select(*key), self.table(name)
-        if stored.select(*key).join(keys, key, "left_semi").isEmpty():
-            return replace(new, adds=True)
-        old = self._stage(name, merge_rows(stored, keys, key))
-        return replace(new, folders=(*new.folders, *old.folders) if old.rows else new.folders)
+        content = self._tables.get(name) or self._new(name)
+        if seq is not None:
+            kind = batch.schema[seq].dataType.simpleString()
+            if content.seq not in (None, kind):
+                raise ValueError(f"{name}: versions are {content.seq}, not {kind}")
+            content = replace(content, seq=kind)
+        hidden = (SEQ, WRITE) if content.seq else (WRITE,)
+
+        def own(folder: str, *more: str) -> DataFrame:
+            return self._read(name, replace(content, folders={folder: None}), *more)
+
+        folder, n = self._write(name, batch, content, seq)
+        if seq is not None and n and not repeated_keys(own(folder), key).isEmpty():
+            folder, n = self._write(name, latest_wide(own(folder, SEQ), key, SEQ), content, SEQ)
+        added = replace(content, folders=content.folders | {folder: None})
+        if not n or not content.folders:
+            return Staged(name, added, n)
+        touched = self._held(name, folder)
+        held = {f: self._held(name, f) for f in content.folders}
+        near = self._read(name, replace(content, folders=content.only(touched, held)), *hidden, "bucket")
+        mine = own(folder, *hidden, "bucket")
+        version = [F.col(SEQ).alias("_version")] if newer and content.seq else []
+        keys = mine.select(*key, *version)
+        found = near.select(*key, "bucket", *([SEQ] if version else [])).join(keys, key, "left_semi" if not version else "inner")
+        hit = sorted(r["bucket"] for r in found.select("bucket").distinct().collect())  # at most the buckets of a table
+        if not hit:
+            return Staged(name, added, n)
+        stale = found.where(F.col(SEQ) > F.col("_version")).select(*key) if version else None
+        if stale is not None:
+            n -= (lost := stale.count())
+            mine = mine.join(stale, key, "left_anti") if lost else mine
+        old = near.where(F.col("bucket").isin(hit)).join(mine.select(*key), key, "left_anti")
+        merged = old.unionByName(mine.where(F.col("bucket").isin(hit))).drop("bucket")
+        anew, _ = self._write(name, merged, content, SEQ if content.seq else None)
+        held[folder] = touched
+        return Staged(name, replace(content, folders=added.only(hit, held, rest=True) | {anew: None}), n)
 
     def ensure(self) -> None:
         """Give every declared table a stored, empty version unless it has one."""
         missing = [n for n in TABLES if not self.is_written(n)]
+        for n in missing:
+            if TABLES[n].log:
+                self.append(n, self.table(n))
+        missing = [n for n in missing if not TABLES[n].log]
         if missing:
             with ThreadPoolExecutor(len(missing)) as pool:
-                self.commit(*pool.map(lambda n: self._stage(n, self.table(n)), missing))
+                self.commit(*pool.map(lambda n: self.stage_overwrite(n, self.table(n)), missing))
 
 
 def row_counts(warehouse: Warehouse, names: list[str]) -> DataFrame:

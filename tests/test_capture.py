@@ -87,6 +87,20 @@ def test_stream_keeps_the_later_file_and_loads(spark, tmp_path, warehouse):
     assert {r["name"] for r in warehouse.table("staging.move").collect()} == {"aa", "move-2"}
 
 
+@pytest.mark.parametrize("runs", [1, 2, 3])
+def test_stream_gives_the_batch_result_in_any_order(spark, tmp_path, warehouse, runs):
+    """Files delivered the newest first, over several runs."""
+    landing, progress = tmp_path / "landing", str(tmp_path / "progress")
+    for i in range(3):  # the first to come is the latest
+        for key in (1, 2 + i):
+            write_tree(landing / str(i), move=[move(key, name=f"of-{i}")])
+            os.utime(landing / str(i) / "move" / f"{key}.json", (1_600_000_000 - i,) * 2)
+        if runs > 2 - i:
+            ingest(spark, landing, warehouse, progress)
+    names = warehouse.table("raw.records").selectExpr("key", "get_json_object(payload, '$.name')")
+    assert dict(names.collect()) == {"move:1": "of-0", "move:2": "of-0", "move:3": "of-1", "move:4": "of-2"}
+
+
 def test_references_with_repeats(spark):
     refs = discovery.extract_refs(payload_rows(spark, root=[root()]))
     assert sorted(r["ref"] for r in refs.collect()) == ["move:301", "move:302", "move:302", "move:302", "species:1"]

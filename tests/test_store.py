@@ -1,5 +1,7 @@
 """Layers at rest: upsert, commits, runs."""
 
+from functools import reduce
+
 import pytest
 from conftest import kind, move, payload_rows, root, species
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +12,7 @@ from stratalake.operators.layers import build_star, capture, load, rebuild, run
 from stratalake.operators.lineage import run_state
 from stratalake.operators.upsert import latest, latest_wide, upsert_rows
 from stratalake.sources.landing import envelope, fixed_keys
+from stratalake.sources.shared import fresh_folder
 from stratalake.sources.store import Warehouse
 
 
@@ -179,17 +182,128 @@ def test_star_fails_on_what_staging_lacks(spark, warehouse):
     assert not warehouse.is_written("analytics.fact_root")
 
 
-def test_appends_name_their_own_folders_and_two_writers_are_told_apart(spark, warehouse):
+def test_two_writers_are_told_apart(spark, warehouse):
     for i in range(3):
         warehouse.append("raw.records", raw_rows(spark, move=[move(i)]))
-    log = spark.read.json(f"{warehouse.path}/_log")
-    assert log.selectExpr("max(size(folders))").first()[0] == 1
-    other = Warehouse(spark, warehouse.path)
+    other, third = Warehouse(spark, warehouse.path), Warehouse(spark, warehouse.path)
     assert other.table("raw.records").count() == 3
-    other.overwrite("raw.records", raw_rows(spark, move=[move(9)]))
+    # both have written and are about to show it: one comes first
+    mine = warehouse.stage_upsert("raw.records", raw_rows(spark, move=[move(4)]))
+    theirs = other.stage_overwrite("raw.records", raw_rows(spark, move=[move(9)]))
+    other.commit(theirs)
+    with pytest.raises(RuntimeError, match="another writer"):
+        warehouse.commit(mine)
     with pytest.raises(RuntimeError, match="another writer"):
-        warehouse.append("raw.records", raw_rows(spark, move=[move(4)]))
-    assert Warehouse(spark, warehouse.path).table("raw.records").count() == 1
+        third.append("raw.records", raw_rows(spark, move=[move(4)]))
+    again = Warehouse(spark, warehouse.path)
+    assert again.table("raw.records").count() == 1
+    assert again.upsert("raw.records", raw_rows(spark, move=[move(4)])) == 1
+    assert Warehouse(spark, warehouse.path).table("raw.records").count() == 2
+
+
+def files_of(warehouse, name):
+    return set(warehouse.table(name).inputFiles())
+
+
+def test_an_upsert_rewrites_the_buckets_it_changes(spark):
+    warehouse = Warehouse(spark, fresh_folder(spark, "buckets"), buckets=100)
+    rows = payload_rows(spark, move=[move(i) for i in range(3000)])
+    warehouse.append("raw.records", envelope(rows))
+    before = files_of(warehouse, "raw.records")
+    assert 95 <= len(before) <= 110
+    one = F.expr("pmod(xxhash64(key), 100) = 7")
+    batch = envelope(rows.where(one).withColumn("payload", F.lit('{"id": 0}')))
+    n = batch.count()
+    assert 10 < n < 60 and warehouse.upsert("raw.records", batch) == n
+    after = files_of(warehouse, "raw.records")
+    assert len(before - after) == len(after - before) == 1
+    table = warehouse.table("raw.records")
+    assert table.count() == 3000 and table.where("payload = '{\"id\": 0}'").count() == n
+    # of keys that are new only, no bucket is written anew
+    assert warehouse.upsert("raw.records", raw_rows(spark, move=[move(9000)])) == 1
+    assert after < files_of(warehouse, "raw.records")
+    # some new, some not, in other buckets
+    mixed = envelope(payload_rows(spark, move=[move(9001), move(9002), move(5, name="five")]))
+    assert warehouse.upsert("raw.records", mixed) == 3
+    assert len(after - files_of(warehouse, "raw.records")) == 1
+    assert warehouse.table("raw.records").count() == 3003
+
+
+def test_vacuum_keeps_what_is_current(spark, warehouse):
+    for name in ("a", "b"):
+        warehouse.upsert("raw.records", raw_rows(spark, move=[move(i, name=name) for i in range(20)]))
+    warehouse.overwrite("staging.type", warehouse.table("staging.type"))
+    warehouse.overwrite("staging.type", warehouse.table("staging.type"))
+    assert warehouse.vacuum() > 0 and warehouse.vacuum() == 0
+    assert warehouse.table("raw.records").where("payload like '%\"b\"%'").count() == 20
+    assert Warehouse(spark, warehouse.path).table("staging.type").count() == 0
+
+
+def versions(spark, *pairs):
+    rows = [payload_rows(spark, move=[move(i, name=name)]).withColumn("seq", F.lit(seq)) for i, name, seq in pairs]
+    return envelope(reduce(lambda a, b: a.unionByName(b), rows), "seq")
+
+
+def names(warehouse):
+    return dict(warehouse.table("raw.records").selectExpr("key", "get_json_object(payload, '$.name')").collect())
+
+
+def test_the_newer_version_stays_whenever_it_comes(spark, warehouse):
+    assert warehouse.upsert("raw.records", versions(spark, (1, "b", 2), (2, "b", 2), (1, "a", 1)), "seq", newer=True) == 2
+    assert warehouse.upsert("raw.records", versions(spark, (1, "a", 1), (2, "c", 3), (3, "c", 3)), "seq", newer=True) == 2
+    assert warehouse.upsert("raw.records", versions(spark, (1, "a", 1), (2, "b", 2)), "seq", newer=True) == 0
+    assert names(warehouse) == {"move:1": "b", "move:2": "c", "move:3": "c"}
+    # without ``newer`` the batch replaces what is stored
+    assert warehouse.upsert("raw.records", versions(spark, (1, "z", 0)), "seq") == 1
+    assert warehouse.upsert("raw.records", versions(spark, (1, "y", 1)), "seq", newer=True) == 1
+    # a row stored without a version is older than any
+    assert warehouse.upsert("raw.records", raw_rows(spark, move=[move(3, name="plain")])) == 1
+    assert warehouse.upsert("raw.records", versions(spark, (3, "d", 0)), "seq", newer=True) == 1
+    assert names(warehouse) == {"move:1": "y", "move:2": "c", "move:3": "d"}
+    with pytest.raises(ValueError, match="versions are int, not string"):
+        warehouse.upsert("raw.records", versions(spark, (1, "z", "0")), "seq")
+
+
+def test_a_batch_of_a_stream_counts_once(spark, warehouse):
+    one, two = versions(spark, (1, "a", 1)), versions(spark, (1, "b", 2))
+    assert warehouse.upsert("raw.records", one, "seq", stream=("s", 0)) == 1
+    assert warehouse.upsert("raw.records", two, "seq", stream=("s", 1)) == 1
+    again = Warehouse(spark, warehouse.path)
+    assert again.upsert("raw.records", one, "seq", stream=("s", 0)) == 0
+    assert again.upsert("raw.records", one.where("false"), "seq", stream=("s", 2)) == 0
+    assert again.upsert("raw.records", one, "seq", stream=("t", 0)) == 1
+    assert names(again) == {"move:1": "a"}
+
+
+def test_load_of_changes_only(spark):
+    warehouse, whole = (Warehouse(spark, fresh_folder(spark, "changes"), buckets=4) for _ in range(2))
+    first = raw_rows(spark, move=[move(i) for i in range(400)], species=[species(1), species(2, name=None)], root=[root()])
+    old = F.lit("2020-01-01").cast("timestamp")
+    more = raw_rows(spark, move=[move(400), move(7, name="new"), move(8, name="late")]).withColumn(
+        # another key of the same id, fetched before it
+        "key", F.expr("if(key = 'move:8', 'move:0008', key)")
+    ).withColumn("fetched_at", F.when(F.col("key") == "move:0008", old).otherwise(F.col("fetched_at")))
+    for w in (warehouse, whole):
+        w.append("raw.records", first)
+    load(warehouse, on_error="quarantine", only_changes=True)
+    assert warehouse.table("staging.move").count() == 400
+    mark = warehouse.loaded("staging.move")
+    for w in (warehouse, whole):
+        w.upsert("raw.records", more)
+    changes = warehouse.changes("raw.records", mark)
+    assert changes.count() == 3
+    assert len(changes.inputFiles()) <= 4  # folders of earlier writes aren't opened
+    assert load(warehouse, on_error="quarantine", only_changes=True) == {"root": 0, "species": 0, "type": 0, "move": 2}
+    load(whole, on_error="quarantine")
+    for name in ("root", "species", "type", "move", "rejects"):
+        a, b = (w.table(f"staging.{name}").collect() for w in (warehouse, whole))
+        assert sorted(map(str, a)) == sorted(map(str, b)), name
+    assert load(warehouse, on_error="quarantine", only_changes=True)["move"] == 0
+    with pytest.raises(Exception, match="species:2"):
+        load(warehouse, only_changes=True)  # what was rejected is parsed again
+    warehouse.upsert("raw.records", raw_rows(spark, species=[species(2)]))
+    assert load(warehouse, only_changes=True)["species"] == 1
+    assert warehouse.table("staging.species").count() == 2
 
 
 def test_settings_of_the_caller_come_back(spark, warehouse):
