@@ -106,9 +106,9 @@ class Table:
         """
         back = stop < at
         state, found, step, accepts = 1, 0, self.rows, self.accepts
-        part = data[stop:at][::-1] if back else data[at:stop]
-        for n, byte in enumerate(part, 1):
-            state = step[state][byte]
+        # by index: a slice would copy what the walk never reaches
+        for n, place in enumerate(range(at - 1, stop - 1, -1) if back else range(at, stop), 1):
+            state = step[state][data[place]]
             if not state:
                 break
             if accepts[state]:
