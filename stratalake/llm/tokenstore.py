@@ -1,5 +1,6 @@
 """Token ids in files of directly addressable codes: any token without decoding a block."""
 
+import json
 import re
 import struct
 import zlib
@@ -25,11 +26,25 @@ _CACHE = 700_000
 _BLOCK = 1 << 16
 _SPACE = re.compile("[\\t-\\r\\x20]")
 #: Texts of characters whose normal form, lower case and class need no look-up beyond these.
-_PLAIN = re.compile("[\t-\r\x20-\x7eÀ-ÖØ-öø-ɏ]*")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^\t-\r\x20a-zß-öø-ɏ0-9]+")
-
-
-_MARKS = re.compile("[^\t-\r\x20a-zß-öø-ɏ0-9]+")
+_PLAIN = re.compile("[\t-\r\x20-\x7eÀ-ÖØ-öø-ſ]*")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\t-\r\x20a-zß-öø-ſ0-9]+")
+_MARKS = re.compile("[^\t-\r\x20a-zß-öø-ſ0-9]+")
+#: Normal form and pre-tokens that the short path stands for: the settings of a vocabulary that may take it.
+_SHORT = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pre_tokenizer": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _takes_short_path(settings: dict) -> bool:
+    """Whether a tokenizer's settings are those the short path stands for; its added tokens all hold ``<|``."""
+    normal, pre = settings["normalizer"] or {}, settings["pre_tokenizer"] or {}
+    same = normal.get("normalizers") == _SHORT["normalizer"] and pre.get("pretokenizers") == _SHORT["pre_tokenizer"]
+    return same and settings["model"]["type"] == "BPE" and all("<|" in t["content"] for t in settings["added_tokens"])
 
 
 def _pieces(low: str) -> list[str]:
@@ -67,15 +82,19 @@ class Encoder:
     A plain text is cut into pre-tokens here, as the vocabulary's own pattern does, and the
     library's model merges each distinct one once. Any other text is cut at ASCII white
     space, which is exact as no pre-token holds any, and goes through the whole tokenizer.
+    With a vocabulary of other settings every text goes through it uncut.
     """
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        self.short = _takes_short_path(json.loads(self.tokenizer.to_str()))
         self.pieces = Pieces(self.tokenizer.model)
 
     def ids(self, text: str) -> bytes:
+        if not self.short:
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         out, at = [], 0
         while at < len(text):
             part = _line_end(text, at)

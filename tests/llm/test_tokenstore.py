@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -24,6 +25,26 @@ def test_encoder_against_tokenizer():
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text[:80])
 
 
+def test_every_letter_of_the_short_path():
+    enc, plain = Encoder(FILE), Tokenizer.from_file(FILE)
+    assert enc.short
+    letters = [chr(c) for c in [*range(0x20, 0x7F), *range(0xA0, 0x250)]]
+    for c in letters:
+        for text in (c, f"{c}X", f"ab{c}cd", f"{c}{c.upper()}", f"a {c} b1", f"It's{c}'s"):
+            assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_vocabularies_take_the_whole_tokenizer(tmp_path):
+    settings = json.loads(Tokenizer.from_file(FILE).to_str())
+    settings["normalizer"]["normalizers"].pop()  # no lower case
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(settings))
+    enc, plain = Encoder(str(other)), Tokenizer.from_file(str(other))
+    assert not enc.short
+    for text in ("The Cat's  hat", "ÀB 12"):
+        assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_file_round_trip_and_access():
     rng = np.random.default_rng(1)
     for top in (200, 70_000, 1 << 31):
