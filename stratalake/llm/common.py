@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import fresh_folder
 
-#: Rows of 8 to 40 bytes that a broadcast may hold; a larger side is shuffled.
+#: Rows, and bytes of their values, that a broadcast may hold; a larger side is shuffled.
 SMALL_ROWS = 200_000
+SMALL_BYTES = 64 << 20
 #: The rows of crc32(doc_id) mod 4 that no model learns from.
 HELD_OUT = 2
 
@@ -43,9 +44,12 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
-def sized(rows: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """A stored table, marked for broadcast if it has at most ``limit`` rows; else as it is."""
-    return F.broadcast(rows) if rows.count() <= limit else rows
+def sized(rows: DataFrame, limit: int = SMALL_ROWS, most: int = SMALL_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast if it has at most ``limit`` rows of ``most`` bytes; else as it is."""
+    texts = [F.octet_length(F.col(f"`{c}`").cast("string")) for c, kind in rows.dtypes if kind[:5] in ("strin", "array", "struc", "map<s")]
+    long = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(8 * len(rows.columns)))
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(long).alias("bytes")).first()
+    return F.broadcast(rows) if found["n"] <= limit and (found["bytes"] or 0) <= most else rows
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

@@ -5,7 +5,8 @@ from collections import Counter
 import pytest
 from llm_rows import documents
 
-from stratalake.llm.decontam import _RADII, BLOCKS, RADIUS, contaminated, hashes, simhash, without_contaminated, words
+from stratalake.llm import decontam
+from stratalake.llm.decontam import _RADII, BLOCKS, RADIUS, contaminated, fingerprint, hashes, simhash, without_contaminated, words
 from stratalake.llm.queries import op7_decontamination
 
 
@@ -17,14 +18,22 @@ def grams(w):
     return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
 
 
-def brute(docs, items):
+def parts(v, most):
+    """An item's words as equal parts of at most that many shingles."""
+    n = len(v) - 4
+    if n < 1:
+        return []
+    c = -(-n // most)
+    return [v[b * n // c : (b + 1) * n // c + 4] for b in range(c)]
+
+
+def brute(docs, items, most=decontam.PART):
     """Best similarity of every document and item over all windows."""
     found = {}
     for doc_id, text in docs:
         w = plain_words(text)
-        for item_id, item in items:
-            v = plain_words(item)
-            if len(v) < 5 or len(w) < 5:
+        for item_id, v in [(i, v) for i, item in items for v in parts(plain_words(item), most)]:
+            if len(w) < 5:
                 continue
             a = grams(v)
             for s in range(max(1, len(w) - len(v) + 1)):
@@ -87,11 +96,72 @@ def test_fingerprint_and_blocks(spark):
     assert len(r.h) == 296
     want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in r.h) > 296)
     assert r.fp % (1 << 64) == want
+    numbered = Counter()
+    for h in r.h:
+        numbered[h] += 1
+    assert max(numbered.values()) > 1
+    w = spark.createDataFrame([(text,)], "text string").selectExpr(f"{words()} as w")
+    two = w.selectExpr(f"{fingerprint('w')} as a", f"{fingerprint('reverse(reverse(w))')} as b").first()
+    assert two.a == two.b != r.fp
     for _ in range(2000):  # the guarantee of the blocks
         x = sum(1 << b for b in rng.sample(range(64), RADIUS))
         assert any((x >> 8 * i & 255).bit_count() <= _RADII[i] for i in range(BLOCKS))
 
 
+def similar_with_repeats(rng, i):
+    """A window at 0.8 or a little more to its item, the difference being mostly one shingle told many times."""
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(5))
+    body, run = [word() for _ in range(130 + i)], [word()] * rng.randrange(14, 18)
+    return body + run, body + [word() for _ in run]
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_recall_where_a_repeated_shingle_differs(spark, seed):
+    rng = random.Random(seed)
+    pairs = [similar_with_repeats(rng, i) for i in range(60)]
+    items = [(i, " ".join(item)) for i, (item, _) in enumerate(pairs)]
+    docs = [(i, " ".join(text)) for i, (_, text) in enumerate(pairs)]
+    want = {k: v for i in range(60) for k, v in brute(docs[i : i + 1], items[i : i + 1]).items()}
+    assert len(want) >= 50
+    got = contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): pytest.approx(r.similarity) for r in got} == want
+
+
+def test_items_without_or_with_the_same_id(spark):
+    rng = random.Random(3)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    short, long = text(12), text(60)
+    items = [(None, text(20)), (5, short), (5, short + " " + long), (None, None)]
+    docs = [(1, "x y " + items[0][1]), (2, short), (3, text(9) + " " + items[2][1]), (4, text(50))]
+    got = contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): pytest.approx(r.similarity) for r in got} == brute(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, None), (2, 5), (3, 5)}
+
+
+def test_long_items_by_parts(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    monkeypatch.setattr(decontam, "PART", 16)
+    items = [(1, " ".join(text(90))), (2, " ".join(text(20))), (3, " ".join(text(21)))]
+    one = items[0][1].split()
+    docs = [(1, " ".join(text(30) + one[32:60] + text(5))), (2, " ".join(one)), (3, items[1][1]), (4, " ".join(one[:9]))]
+    got = contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute(docs, items, 16)
+    assert {(r.doc_id, r.item_id): pytest.approx(r.similarity) for r in got} == want
+    assert {k for k in want} == {(1, 1), (2, 1), (3, 2)}
+
+
+def test_an_item_of_100_000_shingles(spark):
+    rng = random.Random(6)
+    item = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(100_004)]
+    leak = list(item)
+    for at in range(0, len(leak), 97):
+        leak[at] = "changed"
+    docs = [(1, " ".join(leak)), (2, " ".join(item[5000:8000])), (3, " ".join(item[:200])), (4, "a b c d e f g h")]
+    got = contaminated(documents(spark, docs), spark.createDataFrame([(9, " ".join(item))], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 9), (2, 9)}
+
+
 def test_empty(spark):
     bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
     docs = documents(spark, [(1, "one two three four five six")])
