@@ -1,5 +1,6 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams."""
 
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -7,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import held_out, map_texts, sample_of
-from stratalake.llm.letters import blocks, letters, ngrams
+from stratalake.llm.letters import text_ngrams
 
 ORDERS = (2, 3)
 BUCKETS = 1 << 16
@@ -15,26 +16,24 @@ BUCKETS = 1 << 16
 SAMPLE = 20_000
 #: Languages the matrix of BUCKETS float32 columns may hold; more is an error.
 MAX_LANGS = 256
+#: Entries of the weights that one product gathers, about.
+PRODUCT = 1 << 20
 UNKNOWN = "und"
 
 
 class Model(NamedTuple):
     langs: list[str]
-    weights: np.ndarray  # float32 [language, bucket]: log probability of a bucket
+    columns: np.ndarray  # float32 [bucket, language]: log probability of a bucket
     prior: np.ndarray
 
 
-def grams(text: str):
-    """Bucket numbers of all n-grams of the lower-cased letters, block by block.
+def grams(text: str) -> Iterator[np.ndarray]:
+    """Bucket numbers of all n-grams of the lower-cased letters, a part of the text at a time.
 
     What isn't a letter is one separator: digits, punctuation and line ends tell nothing here.
     """
-    for _, codes in blocks(text):
-        low, _ = letters(codes)
-        for n in ORDERS:
-            found = ngrams(low, n, BUCKETS)
-            if len(found):
-                yield found
+    for _, found, _ in text_ngrams(text, ORDERS, BUCKETS):
+        yield from (part for part in found if len(part))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -68,23 +67,55 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     at = np.array([place[x] for x in table["lang"].to_pylist()], np.int64)
     counts[at, table["bucket"].to_numpy()] = table["n"].to_numpy()
     smooth = counts + 0.5
-    weights = np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
+    columns = np.ascontiguousarray(np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32).T)
     prior = np.log(np.array([r["count"] for r in per_lang], float) / max(1, sum(r["count"] for r in per_lang)))
-    return Model(langs, weights, prior)
+    return Model(langs, columns, prior)
 
 
-def predict(text: str, model: Model) -> tuple[str, float]:
-    """The likeliest language and its probability, spread over n-grams (a mean, not a product)."""
-    total, n = np.zeros(len(model.langs)), 0
-    for part in grams(text):
-        for i, column in enumerate(model.weights):  # the entries of this text only, summed
-            total[i] += column[part].sum(dtype=np.float64)
-        n += len(part)
+def predict(texts: Iterable[str], model: Model) -> list[tuple[str, float]]:
+    """The likeliest language of each text and its probability, spread over n-grams (a mean, not a product).
+
+    Texts are scored together as a sparse matrix: a row's n-grams are the entries from its pointer on, and
+    the rows of the weights that they name are summed up to the next pointer. A long text takes several products.
+    """
+    n_langs = len(model.langs)
+    totals: list[np.ndarray] = []
+    counts: list[int] = []
+    entries: list[np.ndarray] = []
+    rows: list[int] = []
+    held = 0
+
+    def score() -> None:
+        nonlocal held
+        if entries:
+            pointers = np.cumsum([0] + [len(e) for e in entries[:-1]])
+            sums = np.add.reduceat(model.columns[np.concatenate(entries)], pointers, axis=0, dtype=np.float64)
+            for row, total in zip(rows, sums, strict=True):
+                totals[row] += total
+        entries.clear()
+        rows.clear()
+        held = 0
+
+    for row, text in enumerate(texts):
+        totals.append(np.zeros(n_langs))
+        counts.append(0)
+        for part in grams(text):
+            counts[row] += len(part)
+            entries.append(part)
+            rows.append(row)
+            held += len(part) * max(n_langs, 1)
+            if held >= PRODUCT:
+                score()
+    score()
+    return [_best(total, n, model) for total, n in zip(totals, counts, strict=True)]
+
+
+def _best(total: np.ndarray, n: int, model: Model) -> tuple[str, float]:
     if not n or not model.langs:
         return UNKNOWN, 0.0
     scores = total + model.prior
     best = int(np.argmax(scores))
-    p = np.exp(np.clip(scores - scores[best], -700, 0) / max(1.0, n / 50.0))
+    p = np.exp(np.clip((scores - scores[best]) / max(1.0, n / 50.0), -700, 0))
     return model.langs[best], float(1.0 / p.sum())
 
 
@@ -97,7 +128,7 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
 
     def predicted(columns, texts) -> dict:
         known = cast.value
-        found = [predict(t, known) for t in texts]
+        found = predict(texts, known)
         return {"doc_id": columns[0], "held_out": columns[1], "lang_pred": [x for x, _ in found], "score": [s for _, s in found]}
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import held_out, map_texts, sample_of
-from stratalake.llm.letters import blocks, letters, ngrams
+from stratalake.llm.letters import text_ngrams
 
 #: Lengths of the n-grams; a separator counts, so word starts and ends are told apart.
 ORDERS = (5, 7)
@@ -30,32 +30,44 @@ class Model(NamedTuple):
 
 
 def sentence_grams(text: str):
-    """(offset of the block, number of sentences in it, their ends, sentence and bucket of every n-gram).
+    """(ends of sentences, sentence and bucket of every n-gram) of a text, a part of it at a time.
 
-    A sentence ends after ``.``, ``!``, ``?`` or a line feed, or where a block does.
+    A sentence ends after ``.``, ``!``, ``?`` or a line feed, and with the text; sentences are numbered through.
     """
-    for offset, codes in blocks(text):
-        low, at = letters(codes)
-        parts = [ngrams(low, n, BUCKETS) for n in ORDERS]
-        ends = np.flatnonzero(np.isin(codes, _ENDS)) + 1
-        if not len(ends) or ends[-1] < len(codes):
-            ends = np.append(ends, len(codes))
+    done = 0
+    held = np.zeros(0, np.int64)  # sentences of the letters that the next part goes on from
+    for block, found, at in text_ngrams(text, ORDERS, BUCKETS):
+        ends = block.offset + np.flatnonzero(np.isin(block.codes, _ENDS)) + 1
+        last = block.offset + len(block.codes) == len(text)
+        if last and (not len(ends) or ends[-1] < len(text)):
+            ends = np.append(ends, len(text))
+        new = at[len(at) - len(block.at) :]
+        # a separator after the end of the text is of its last sentence
+        own = done + np.searchsorted(ends, new, "right").clip(max=len(ends) - 1 if last else None)
+        of = np.concatenate([held, own])
         # An n-gram is of the sentence of its second character: the first may be a separator.
-        of = np.searchsorted(ends, at[1:] - 1, "right").clip(max=len(ends) - 1)
-        yield offset, ends, np.concatenate([of[: len(p)] for p in parts]), np.concatenate(parts)
+        sentence = [of[len(of) - len(p) - n + 2 : len(of) - n + 2] for p, n in zip(found, ORDERS, strict=True)]
+        yield ends, np.concatenate(sentence), np.concatenate(found)
+        done += len(ends)
+        keep = min(max(ORDERS) - 1, len(of))
+        held = of[len(of) - keep :]
 
 
 def sentence_scores(text: str, model: Model) -> list[tuple[int, int, float]]:
-    """(start, end, score) of the sentences that have a weighted n-gram; the others have the bias alone."""
-    out = []
-    for offset, ends, sentence, found in sentence_grams(text):
+    """(start, end, score) of the sentences that have a weighted n-gram; the others count as not toxic."""
+    borders, own, weights = [np.zeros(1, np.int64)], [], []
+    for ends, sentence, found in sentence_grams(text):
+        borders.append(ends)
         used = model.weights[found] != 0
         if used.any():
-            own = sentence[used]
-            z = model.bias + np.bincount(own, model.weights[found[used]], len(ends))
-            for i in np.unique(own):
-                out.append((offset + (int(ends[i - 1]) if i else 0), offset + int(ends[i]), float(_sigmoid(z[i]))))
-    return out
+            own.append(sentence[used])
+            weights.append(model.weights[found[used]])
+    if not own:
+        return []
+    ends = np.concatenate(borders)
+    known, place = np.unique(np.concatenate(own), return_inverse=True)
+    z = model.bias + np.bincount(place, np.concatenate(weights), len(known))
+    return [(int(ends[i]), int(ends[i + 1]), float(p)) for i, p in zip(known, _sigmoid(z), strict=True)]
 
 
 def score(found: list[tuple[int, int, float]]) -> float:
@@ -82,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def seen(columns, texts) -> dict:
         n = np.zeros((2, BUCKETS), np.int64)
         for y, text in zip(columns[0].to_pylist(), texts):
-            for b in {int(b) for *_, found in sentence_grams(text) for b in np.unique(found)}:
+            for b in {int(b) for _, _, found in sentence_grams(text) for b in np.unique(found)}:
                 n[y, b] += 1
         y, b = np.nonzero(n)
         return {"toxic": y, "bucket": b, "n": n[y, b]}
@@ -103,21 +115,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     slot[best] = np.arange(len(best))
 
     def read(columns, texts) -> dict:
-        out = {"toxic": [], "rest": [], "sentence": [], "slot": []}
+        out = {"toxic": [], "sentence": [], "slot": []}
         for y, text in zip(columns[0].to_pylist(), texts):
-            n, own, slots = 0, [], []
-            for _, ends, sentence, found in sentence_grams(text):
+            own, slots = [], []
+            for _, sentence, found in sentence_grams(text):
                 used = slot[found] >= 0
-                own += (sentence[used] + n).tolist()
+                own += sentence[used].tolist()
                 slots += slot[found[used]].tolist()
-                n += len(ends)
             out["toxic"].append(y)
-            out["rest"].append(n - len(set(own)))
             out["sentence"].append(own)
             out["slot"].append(slots)
         return out
 
-    bags = map_texts(rows, read, "toxic int, rest int, sentence array<int>, slot array<int>", ("toxic", "text")).toArrow()
+    bags = map_texts(rows, read, "toxic int, sentence array<int>, slot array<int>", ("toxic", "text")).toArrow()
     learned, bias = _learn(bags, odds[best])
     weights = np.zeros(BUCKETS, np.float32)
     weights[best] = learned
@@ -125,9 +135,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def _learn(bags, start: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias by adaptive gradient steps; ``bags``: label and sentences of each document."""
+    """Weights and bias by adaptive gradient steps; ``bags``: label and sentences of each document.
+
+    As in a score, a sentence without a weighted n-gram counts as not toxic.
+    """
     y = bags["toxic"].to_numpy().astype(float)
-    rest = bags["rest"].to_numpy().astype(float)
     docs, sentences, slots, n = [], [], [], 0
     for i, (own, used) in enumerate(zip(bags["sentence"].to_pylist(), bags["slot"].to_pylist())):
         if own:
@@ -143,13 +155,13 @@ def _learn(bags, start: np.ndarray) -> tuple[np.ndarray, float]:
     grown, grown_b = np.full(len(w), 1e-6), 1e-6
     for _ in range(_STEPS):
         z = b + np.bincount(sent, w[slot], n)
-        p, p0 = _sigmoid(z), _sigmoid(b)
-        log_q = np.bincount(doc, np.log1p(-p.clip(max=1 - 1e-12)), len(y)) + rest * np.log1p(-p0)
+        p = _sigmoid(z)
+        log_q = np.bincount(doc, np.log1p(-p.clip(max=1 - 1e-12)), len(y))
         q = np.exp(log_q).clip(1e-9, 1 - 1e-9)
         pull = np.where(y == 1, -q / (1 - q), 1.0)  # of the loss, for each unit of p in a document
         each = pull[doc] * p
         gw = np.bincount(slot, each[sent], len(w)) / len(y) + 1e-5 * w
-        gb = (each.sum() + (pull * rest).sum() * p0) / len(y)
+        gb = each.sum() / len(y)
         grown += gw * gw
         grown_b += gb * gb
         w -= 0.3 * gw / np.sqrt(grown)

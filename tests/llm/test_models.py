@@ -3,24 +3,102 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from llm_rows import documents
 from pyspark.sql import functions as F
 
-from stratalake.llm import langid, toxicity
-from stratalake.llm.letters import BLOCK, blocks, letters, ngrams
+from stratalake.llm import langid, letters, toxicity
+from stratalake.llm.letters import ngrams
 from stratalake.llm.queries import op2_language, op10_toxicity
 
 SF = "/root/testdata/sf0.01"
 
 
+def whole(text):
+    """The letters of a text and their places, without blocks."""
+    low, at = [], []
+    for i, c in enumerate(text):
+        if c.isalpha():
+            if i == 0:
+                low, at = [0], [-1]
+            low.append(ord(c.lower()) if len(c.lower()) == 1 else ord(c))
+            at.append(i)
+        elif low and low[-1]:
+            low.append(0)
+            at.append(i)
+    if low and low[-1]:
+        low.append(0)
+        at.append(len(text))
+    return low, at
+
+
 def test_letters():
-    low, at = letters(next(blocks("Ab, ñ1É"))[1])
-    assert [chr(c) if c else "_" for c in low] == list("_ab_ñ_é_") and at.tolist() == [0, 1, 2, 3, 5, 6, 7, 8]
-    assert len(ngrams(low, 3, 64)) == 6 and len(ngrams(low, 20, 64)) == 0
-    rng = random.Random(1)
-    text = "".join(rng.choice("ab .") for _ in range(3 * BLOCK)) + "x" * (2 * BLOCK)
-    assert sum(len(c) for _, c in blocks(text)) == len(text)
+    (block,) = letters.letters("Ab, ñ1É")
+    assert [chr(c) if c else "_" for c in block.low] == list("_ab_ñ_é_") and block.at.tolist() == [-1, 0, 1, 2, 4, 5, 6, 7]
+    assert len(ngrams(block.low, 3, 64)) == 6 and len(ngrams(block.low, 20, 64)) == 0
+
+
+def odd_texts(rng):
+    texts = ["", "a", ".", "ab", ".a", "a.", "Ab, ñ1É", "x" * 40, ". " * 30, "İß é\n" * 9]
+    return texts + ["".join(rng.choice("abÉ .!\n1") for _ in range(rng.randrange(80))) for _ in range(200)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 16])
+def test_blocks_leave_no_seam(monkeypatch, size):
+    """Letters, n-grams, sentences and scores are those of the unsplit text."""
+    monkeypatch.setattr(letters, "BLOCK", size)
+    rng = random.Random(size)
+    for text in odd_texts(rng):
+        low, at = whole(text)
+        parts = list(letters.letters(text))
+        assert [int(c) for b in parts for c in b.low] == low and [int(i) for b in parts for i in b.at] == at
+        found = sorted(int(g) for p in langid.grams(text) for g in p)
+        want = [g for n in langid.ORDERS for g in ngrams(np.array(low, np.uint32), n, langid.BUCKETS).tolist()]
+        assert found == sorted(want)
+        ends = [i + 1 for i, c in enumerate(text) if c in ".!?\n"]
+        ends += [len(text)] if text and (not ends or ends[-1] < len(text)) else []
+        pairs = []
+        for n in toxicity.ORDERS:
+            grams = ngrams(np.array(low, np.uint32), n, toxicity.BUCKETS).tolist()
+            pairs += [(min(sum(e <= at[i + 1] for e in ends), len(ends) - 1), g) for i, g in enumerate(grams)]
+        got = list(toxicity.sentence_grams(text))
+        assert [int(e) for part in got for e in part[0]] == ends
+        assert sorted((int(s), int(g)) for _, s, b in got for s, g in zip(s, b, strict=True)) == sorted(pairs)
+
+
+def test_a_long_text_is_one_text():
+    text = "the river and stone garden window " * 6000  # 200,000 characters, one sentence
+    got = list(toxicity.sentence_grams(text))
+    assert sum(len(e) for e, _, _ in got) == 1
+    low, _ = whole(text)
+    assert sum(len(b) for _, _, b in got) == sum(len(low) - n + 1 for n in toxicity.ORDERS)
+
+
+def test_scores_against_plain_sums():
+    """Batches of texts score as each text does, n-gram by n-gram; documents as the noisy-or of their sentences."""
+    rng, random_ = random.Random(2), np.random.default_rng(2)
+    langs = langid.Model(["a", "b", "c"], random_.normal(size=(langid.BUCKETS, 3)).astype(np.float32), np.log([0.5, 0.3, 0.2]))
+    texts = odd_texts(rng) + ["lorem ipsum dolor " * 30_000]
+    for text, (lang, p) in zip(texts, langid.predict(iter(texts), langs), strict=True):
+        low, _ = whole(text)
+        grams = [g for n in langid.ORDERS for g in ngrams(np.array(low, np.uint32), n, langid.BUCKETS).tolist()]
+        if not grams:
+            assert (lang, p) == ("und", 0.0)
+            continue
+        sums = langs.columns[grams].astype(float).sum(0) + langs.prior
+        e = np.exp((sums - sums.max()) / max(1.0, len(grams) / 50))
+        assert lang == langs.langs[int(sums.argmax())] and p == pytest.approx(e.max() / e.sum(), rel=1e-6)
+    weights = np.where(random_.random(toxicity.BUCKETS) < 0.3, random_.normal(size=toxicity.BUCKETS), 0).astype(np.float32)
+    model = toxicity.Model(weights, -2.0)
+    for text in texts[:120]:
+        z = {}
+        for _, sentence, found in toxicity.sentence_grams(text):
+            for s, g in zip(sentence.tolist(), found.tolist(), strict=True):
+                if weights[g]:
+                    z[s] = z.get(s, -2.0) + float(weights[g])
+        want = 1 - np.prod([1 - 1 / (1 + np.exp(-x)) for x in z.values()])
+        assert toxicity.score(toxicity.sentence_scores(text, model)) == pytest.approx(want, abs=1e-6)
 
 
 def test_language_accuracy(spark):
@@ -35,7 +113,7 @@ def test_language_never_learns_from_held_out(spark):
     rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de", None) for i in range(200)]
     spoiled = [(i, "zzz" if zlib.crc32(str(i).encode()) % 4 == 2 else t, la, s) for i, t, la, s in rows]
     a, b = (langid.fit(documents(spark, r)) for r in (rows, spoiled))
-    assert a.langs == b.langs == ["de", "en"] and (a.weights == b.weights).all()
+    assert a.langs == b.langs == ["de", "en"] and (a.columns == b.columns).all()
 
 
 def test_language_odd_rows(spark, folder, clash):
