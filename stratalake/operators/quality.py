@@ -3,6 +3,8 @@
 Counting comes before joining, so a key shared by a third of all rows is one row in a join.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,45 +110,122 @@ def reciprocity(types: DataFrame, size: str) -> DataFrame:
     return _violations(_differences(to, back), "reciprocity", size, pair, side)
 
 
-def star_checks(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Keys, references and accepted values of the star, named ``rule:table[:column]``."""
-    t = {name.split(".")[1]: rows for name, rows in star.items()}
-    keys = {
-        "dim_type": ["type_id"],
-        "dim_species": ["species_id"],
-        "dim_move": ["move_id"],
-        "fact_root": ["root_id"],
-        "bridge_root_type": ["root_id", "type_id"],
-        "bridge_root_move": ["root_id", "move_id"],
-        "bridge_type_effectiveness": ["attacking_type_id", "defending_type_id"],
-    }
-    references = [
-        ("dim_species", "evolves_from_species_id", "dim_species", "species_id"),
-        ("dim_move", "type_id", "dim_type", "type_id"),
-        ("fact_root", "species_id", "dim_species", "species_id"),
-        ("bridge_root_type", "root_id", "fact_root", "root_id"),
-        ("bridge_root_type", "type_id", "dim_type", "type_id"),
-        ("bridge_root_move", "root_id", "fact_root", "root_id"),
-        ("bridge_root_move", "move_id", "dim_move", "move_id"),
-        ("bridge_type_effectiveness", "attacking_type_id", "dim_type", "type_id"),
-        ("bridge_type_effectiveness", "defending_type_id", "dim_type", "type_id"),
-    ]
-    values = [
-        ("dim_move", "damage_class", ["physical", "special", "status"]),
-        ("bridge_root_type", "slot", [1, 2]),
-        ("bridge_type_effectiveness", "multiplier", [0.0, 0.5, 1.0, 2.0]),
-    ]
-    checks = {f"unique:{n}": unique(t[n], n, k) for n, k in keys.items()}
-    for child, column, parent, primary in references:
-        checks[f"relationships:{child}:{column}"] = relationships(
-            t[child], child, [column], t[parent], [primary]
+# Keys, references and accepted values of the star.
+STAR_KEYS = {
+    "dim_type": ["type_id"],
+    "dim_species": ["species_id"],
+    "dim_move": ["move_id"],
+    "fact_root": ["root_id"],
+    "bridge_root_type": ["root_id", "type_id"],
+    "bridge_root_move": ["root_id", "move_id"],
+    "bridge_type_effectiveness": ["attacking_type_id", "defending_type_id"],
+}
+STAR_REFERENCES = [
+    ("dim_species", "evolves_from_species_id", "dim_species"),
+    ("dim_move", "type_id", "dim_type"),
+    ("fact_root", "species_id", "dim_species"),
+    ("bridge_root_type", "root_id", "fact_root"),
+    ("bridge_root_type", "type_id", "dim_type"),
+    ("bridge_root_move", "root_id", "fact_root"),
+    ("bridge_root_move", "move_id", "dim_move"),
+    ("bridge_type_effectiveness", "attacking_type_id", "dim_type"),
+    ("bridge_type_effectiveness", "defending_type_id", "dim_type"),
+]
+STAR_VALUES = [
+    ("dim_move", "damage_class", ["physical", "special", "status"]),
+    ("bridge_root_type", "slot", [1, 2]),
+    ("bridge_type_effectiveness", "multiplier", [0.0, 0.5, 1.0, 2.0]),
+]
+_MATRIX = "matrix:bridge_type_effectiveness"
+STAR_CHECKS = [
+    *(f"unique:{n}" for n in STAR_KEYS),
+    *(f"relationships:{child}:{column}" for child, column, _ in STAR_REFERENCES),
+    *(f"accepted_values:{table}:{column}" for table, column, _ in STAR_VALUES),
+    _MATRIX,
+]
+
+
+def _star_entries(star: dict[str, DataFrame]) -> DataFrame:
+    """(space, key, tag) of every key, reference and checked value; each table is read once.
+
+    A space is a table's keys or a column's values; tag 0 is a row of the table itself, tag n
+    the n-th reference to it.
+    """
+    spaces = list(STAR_KEYS)
+    entries: dict[str, list[str]] = {n: [] for n in spaces}
+
+    def add(table: str, space: int, key: str, tag: int) -> None:
+        entries[table].append(f"named_struct('space', {space}, 'key', {key}, 'tag', {tag})")
+
+    def text(column: str) -> str:
+        return f"cast({column} as string)"
+
+    for i, (table, key) in enumerate(STAR_KEYS.items()):
+        add(table, i, f"concat_ws(',', {', '.join(f"coalesce({text(c)}, 'null')" for c in key)})", 0)
+    for table, column, parent in STAR_REFERENCES:
+        add(table, spaces.index(parent), text(column), _tag(table, column, parent))
+    for i, (table, column, values) in enumerate(STAR_VALUES, len(spaces)):
+        # + 0.0 turns -0.0 into 0.0
+        add(table, i, f"coalesce({text(f'{column} + 0D' if isinstance(values[0], float) else column)}, 'null')", 0)
+    parts = [star[f"analytics.{n}"].selectExpr(f"inline(array({', '.join(e)}))") for n, e in entries.items()]
+    return reduce(DataFrame.unionByName, parts).where("key IS NOT NULL")
+
+
+def _tag(table: str, column: str, parent: str) -> int:
+    return [(t, c) for t, c, p in STAR_REFERENCES if p == parent].index((table, column)) + 1
+
+
+def star_violations(star: dict[str, DataFrame]) -> DataFrame:
+    """(check, rule, table_name, key, detail) of all checks of the star, named ``rule:table[:column]``.
+
+    One grouped shuffle of keys counts, per key, its rows and the references to it; every rule
+    looks at these counts. What is found is grouped once more, since a type's row of the
+    matrix fails on its number or on a pair told twice.
+    """
+    n_tags = 1 + max(_tag(*r) for r in STAR_REFERENCES)
+    counts = [F.count_if(F.col("tag") == i).alias(f"n{i}") for i in range(n_tags)]
+    n_types = star["analytics.dim_type"].agg(F.count(F.lit(1))).scalar()
+    counted = _star_entries(star).groupBy("space", "key").agg(*counts).withColumn("want", n_types)
+
+    def found(rule: str, table: str, column: str, bad: str, detail: str, key: str = "key", known: str = "true") -> str:
+        name = ":".join(filter(None, [rule, table, column]))
+        return (
+            f"named_struct('check', '{name}', 'rule', '{rule}', 'table_name', '{table}', 'key', {key}, "
+            f"'detail', {detail}, 'bad', {bad}, 'known', {known})"
         )
-    for name, column, allowed in values:
-        checks[f"accepted_values:{name}:{column}"] = accepted_values(t[name], name, column, allowed)
-    checks["matrix:bridge_type_effectiveness"] = matrix_complete(
-        t["bridge_type_effectiveness"], t["dim_type"]
+
+    pairs, by_space = "bridge_type_effectiveness", []
+    for i, table in enumerate(STAR_KEYS):
+        rules = [found("unique", table, "", "n0 > 1", "n0")]
+        for child, column, parent in STAR_REFERENCES:
+            if parent == table:
+                n = f"n{_tag(child, column, parent)}"
+                rules.append(found("relationships", child, column, f"n0 = 0 AND {n} > 0", n))
+        if table == "dim_type":
+            n = f"n{_tag(pairs, 'attacking_type_id', table)}"
+            rules.append(found("matrix", pairs, "", f"n0 > 0 AND {n} <> want", n, known="n0 > 0"))
+        if table == pairs:
+            rules.append(found("matrix", pairs, "", "n0 > 1", "0L", "substring_index(key, ',', 1)", "false"))
+        by_space.append((i, rules))
+    for i, (table, column, values) in enumerate(STAR_VALUES, len(STAR_KEYS)):
+        allowed = ", ".join(f"'{v}'" for v in values)
+        by_space.append((i, [found("accepted_values", table, column, f"key NOT IN ({allowed})", "n0")]))
+    keep = "x -> x.bad OR (x.rule = 'matrix' AND x.known)"
+    rules = " ".join(f"WHEN {i} THEN filter(array({', '.join(r)}), {keep})" for i, r in by_space)
+    hits = counted.selectExpr(f"inline(CASE space {rules} END)")
+    return (
+        hits.groupBy("check", "rule", "table_name", "key")
+        .agg(F.max("detail").cast("string").alias("detail"), F.bool_or("bad").alias("bad"), F.bool_or("known").alias("known"))
+        .where("bad AND known")
+        .drop("bad", "known")
     )
-    return checks
+
+
+def star_summary(violations: DataFrame) -> DataFrame:
+    """(check, violations) of every check of the star, those without a violation included."""
+    names = violations.sparkSession.sql(f"SELECT explode(array({', '.join(repr(c) for c in STAR_CHECKS)})) AS check")
+    counted = violations.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counted, "check", "left").select("check", F.coalesce("n", F.lit(0)).alias("violations"))
 
 
 def summary(checks: dict[str, DataFrame]) -> DataFrame:

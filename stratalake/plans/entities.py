@@ -35,19 +35,24 @@ class FieldRule:
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """One entity: payload keys that are read, the columns made of them, the table."""
+    """One entity: payload keys that are read, the columns made of them, the table.
+
+    ``cells`` is a struct of what several columns search the parsed payload for: made once a
+    payload, its fields are the leaves that those columns read.
+    """
 
     entity: str
     table: str
     payload: str
     fields: tuple[FieldRule, ...]
+    cells: str = ""
 
     @property
     def schema(self) -> T.StructType:
         return TABLES[self.table].schema
 
 
-# --- reading VARIANT leaves; ``d`` is the parsed payload --------------------------------
+# --- reading VARIANT leaves; ``d`` is the parsed payload, ``c`` its cells -----------------
 
 _KIND = {"bigint": "BIGINT", "string": "STRING", "boolean": "BOOLEAN"}
 
@@ -131,10 +136,19 @@ def slots(name: str, path: str, leaf: str) -> FieldRule:
     return FieldRule(name, value, _each_problem(f"d.{path}", ok))
 
 
-def stat(name: str, stat_name: str) -> FieldRule:
-    """One named entry of the stats array as a column; of equal names the last one counts."""
-    leaf = f"{last_match('d.stats', f"{_read('e.stat.name')} = '{stat_name}'")}.base_stat"
-    return FieldRule(name, _read(leaf, "bigint"), _leaf_problem(leaf, "bigint"))
+def stat(name: str) -> FieldRule:
+    """A stat as a column, from its cell."""
+    return FieldRule(name, _read(f"c.{name}", "bigint"), _leaf_problem(f"c.{name}", "bigint"))
+
+
+def stat_cells(stats: dict[str, str]) -> str:
+    """The named entries of the stats array, by column; of equal names the last one counts.
+
+    Names are read once an entry, and entries are searched by them.
+    """
+    named = f"transform(d.stats, e -> struct({_read('e.stat.name')} AS name, e.base_stat AS base_stat))"
+    found = ", ".join(f"'{column}', {last_match('s', f"e.name = '{name}'")}.base_stat" for column, name in stats.items())
+    return f"get(transform(array({named}), s -> named_struct({found})), 0)"
 
 
 def first_text_in(name: str, path: str, language: str) -> FieldRule:
@@ -154,9 +168,20 @@ def first_text_in(name: str, path: str, language: str) -> FieldRule:
 
 _REF_URL = "struct<url:variant>"
 _REF_NAME = "struct<name:variant>"
+# The relations of a type.
 _DAMAGE_LISTS = [
-    f"{size}_damage_{side}" for size in ("double", "half", "no") for side in ("to", "from")
-]
+    "double_damage_to", "double_damage_from", "half_damage_to", "half_damage_from", "no_damage_to", "no_damage_from",
+]
+
+# Column and name of each stat.
+_STATS = {
+    "hp": "hp",
+    "attack": "attack",
+    "defense": "defense",
+    "special_attack": "special-attack",
+    "special_defense": "special-defense",
+    "speed": "speed",
+}
 
 ROOT = EntitySpec(
     "root",
@@ -183,13 +208,9 @@ ROOT = EntitySpec(
         names("moves", "moves", "e.move.name", distinct=True),
         scalar("sprite_front_default", "string", "sprites.front_default", nullable=True),
         scalar("sprite_back_default", "string", "sprites.back_default", nullable=True),
-        stat("hp", "hp"),
-        stat("attack", "attack"),
-        stat("defense", "defense"),
-        stat("special_attack", "special-attack"),
-        stat("special_defense", "special-defense"),
-        stat("speed", "speed"),
+        *(stat(column) for column in _STATS),
     ),
+    cells=stat_cells(_STATS),
 )
 
 SPECIES = EntitySpec(
@@ -280,6 +301,8 @@ def checked(payloads: DataFrame, spec: EntitySpec, *kept: str) -> DataFrame:
     # explode of one element: without it the filter on the problems is pushed below this
     # select, and with it a copy of the parse for every field the filter looks at
     parsed = payloads.selectExpr("key", "payload", *kept, f"explode(array({document})) AS d")
+    if spec.cells:
+        parsed = parsed.selectExpr("*", f"explode(array({spec.cells})) AS c")
     broken = f"CASE WHEN d IS NULL OR d.{corrupt} IS NOT NULL THEN 'payload: {MALFORMED}' END"
     found = [f"concat('{f.name}: ', {f.problem})" for f in spec.fields]
     return parsed.selectExpr(

@@ -282,7 +282,7 @@ def q_dq_idempotent(layers: Layers) -> DataFrame:
     + ") v(c)",
 )
 def q_dq_star(layers: Layers) -> DataFrame:
-    return quality.summary(quality.star_checks(_stored_star(layers)))
+    return quality.star_summary(quality.star_violations(_stored_star(layers)))
 
 
 @query(
@@ -307,9 +307,8 @@ def q_dq_star_violations(layers: Layers) -> DataFrame:
         "analytics.fact_root": fact.unionByName(fact.where("height = 1")),
         "analytics.bridge_type_effectiveness": pairs.where("attacking_type_id <> 0"),
     }
-    checks = quality.star_checks(broken)
     names = ["relationships:bridge_root_move:move_id", "unique:fact_root", "relationships:fact_root:species_id", "matrix:bridge_type_effectiveness"]
-    return quality.summary({n: checks[n] for n in names})
+    return quality.star_summary(quality.star_violations(broken)).where(F.col("check").isin(names))
 
 
 # --- lineage and runs -----------------------------------------------------------------

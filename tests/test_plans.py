@@ -3,7 +3,7 @@
 import pytest
 from conftest import SF
 
-from stratalake.operators import scoring
+from stratalake.operators import quality, scoring
 from stratalake.operators.upsert import latest_wide, merge_rows
 from stratalake.plans.entities import ENTITIES, project
 from stratalake.sources.landing import existing_keys, raw_by_entity
@@ -68,3 +68,15 @@ def test_wide_rows_are_not_grouped(layers):
     # the first branch of the union holds the keys that occur once
     once = plan(latest_wide(layers.raw, ["key"], "fetched_at")).split("\n   +- ")[0]
     assert "LeftAnti" in once and "max(struct" not in once
+
+
+def test_star_checks_read_each_table_once(layers):
+    star = {f"analytics.{n}": layers.star(n) for n in quality.STAR_KEYS}
+    text = plan(quality.star_violations(star)).split("== Initial Plan ==")[0]
+    # dim_type once more, for the number of types; keys are shuffled once, what is found once more
+    assert text.count("FileScan") == len(star) + 1 and text.count("Exchange hashpartitioning") == 2
+
+
+def test_stats_are_searched_once_a_payload(layers):
+    text = plan(project(raw_by_entity(layers.raw, "root"), ENTITIES["root"]))
+    assert text.count(".stat.name") == 1 and "SortAggregate" not in text

@@ -279,3 +279,38 @@ def test_a_large_matrix_is_refused(spark):
     pairs = spark.range(600).selectExpr("cast(id as int) AS attacking_type_id", "cast(id as int) AS defending_type_id", "1D AS multiplier")
     with pytest.raises(Exception, match="more than 512 types"):
         scoring.effect_rows(pairs).collect()
+
+
+def test_all_checks_of_the_star_in_one_pass(spark):
+    """The one pass finds what the checks find table by table."""
+    star = {
+        "dim_type": spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b'), (3, 'c'), (4, 'd') t(type_id, name)"),
+        "dim_species": spark.sql("SELECT * FROM VALUES (1L, NULL), (2L, 1L), (3L, 9L) t(species_id, evolves_from_species_id)"),
+        "dim_move": spark.sql("SELECT * FROM VALUES (1L, 1, 'status'), (2L, 7, 'odd'), (2L, 2, NULL) t(move_id, type_id, damage_class)"),
+        "fact_root": spark.sql("SELECT * FROM VALUES (1L, 1L), (2L, 8L), (2L, 2L) t(root_id, species_id)"),
+        "bridge_root_type": spark.sql("SELECT * FROM VALUES (1L, 1, 1), (1L, 5, 3), (6L, 1, 2) t(root_id, type_id, slot)"),
+        "bridge_root_move": spark.sql("SELECT * FROM VALUES (1L, 1L), (1L, 1L), (7L, 3L) t(root_id, move_id)"),
+        # type 1 is complete, 2 has a pair twice and one too few, 3 a pair twice, 4 none; 9 is no type
+        "bridge_type_effectiveness": spark.sql(
+            """SELECT * FROM VALUES (1, 1, 1D), (1, 2, -0D), (1, 3, 2D), (1, 4, 0.5D), (2, 1, 3D), (2, 1, 1D), (2, 2, 1D), (2, 3, 1D),
+               (3, 1, 1D), (3, 1, 1D), (3, 2, 1D), (3, 3, 1D), (3, 4, 1D), (9, 1, 1D), (9, 1, 1D)
+               t(attacking_type_id, defending_type_id, multiplier)"""
+        ),
+    }
+    want = set()
+    for name, key in quality.STAR_KEYS.items():
+        want |= {(f"unique:{name}", *r) for r in quality.unique(star[name], name, key).collect()}
+    for child, column, parent in quality.STAR_REFERENCES:
+        rows = quality.relationships(star[child], child, [column], star[parent], quality.STAR_KEYS[parent])
+        want |= {(f"relationships:{child}:{column}", *r) for r in rows.collect()}
+    for name, column, values in quality.STAR_VALUES:
+        want |= {(f"accepted_values:{name}:{column}", *r) for r in quality.accepted_values(star[name], name, column, values).collect()}
+    pairs = "bridge_type_effectiveness"
+    want |= {(f"matrix:{pairs}", *r) for r in quality.matrix_complete(star[pairs], star["dim_type"]).collect()}
+    found = quality.star_violations({f"analytics.{n}": rows for n, rows in star.items()})
+    got = found.collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
+    assert {r[3] for r in want if r[1] == "matrix"} == {"2", "3", "4"}
+    counts = dict(quality.star_summary(found).collect())
+    assert list(counts) and set(counts) == set(quality.STAR_CHECKS)
+    assert all(n == sum(r[0] == check for r in want) for check, n in counts.items())
