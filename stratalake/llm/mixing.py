@@ -8,6 +8,8 @@ from stratalake.llm.common import free_name, sized, stored
 #: A Poisson count of a greater mean is the sum of counts of at most this mean.
 MAX_MEAN = 32.0
 SEED = "mix-1"
+#: Copies that one row is exploded into; a document with more goes to several tasks, that many copies each.
+PIECE = 4096
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, rest: float = 1.0, epochs: float = 1.0) -> DataFrame:
@@ -36,41 +38,55 @@ def _uniform(key: str, part: str) -> str:
 
 
 def with_cdf(rates: DataFrame) -> DataFrame:
-    """Rates with ``parts``, the number of counts to add, and ``cdf`` of one of them."""
+    """Rates with ``parts``, the number of counts to add, ``cdf`` of one of them, and ``most``, the greatest sum."""
     mean = f"(rate / greatest(1, cast(ceil(rate / {MAX_MEAN}D) as int)))"
     last = f"cast(ceil({mean} + 12 * sqrt({mean}) + 30) as int)"
     cdf = f"""aggregate(sequence(1, {last}),
         named_struct('p', exp(-{mean}), 'c', array(exp(-{mean}))),
         (a, k) -> named_struct('p', a.p * {mean} / k, 'c', concat(a.c, array(element_at(a.c, -1) + a.p * {mean} / k))),
         a -> a.c)"""
-    return rates.withColumns({"parts": F.expr(f"greatest(1, cast(ceil(rate / {MAX_MEAN}D) as int))"), "cdf": F.expr(cdf)})
+    made = rates.withColumns({"parts": F.expr(f"greatest(1, cast(ceil(rate / {MAX_MEAN}D) as int))"), "cdf": F.expr(cdf)})
+    return made.withColumn("most", F.expr("cast(parts as bigint) * size(cdf)"))
 
 
-def poisson_mix(docs: DataFrame, rates: DataFrame, seed: str = SEED) -> DataFrame:
+def poisson_mix(docs: DataFrame, rates: DataFrame, seed: str = SEED, piece: int = PIECE) -> DataFrame:
     """Every row of docs with its copies; further columns source_rate, n_copies, copy_no, place in ``mix``.
 
     ``mix`` is one struct column under a name that docs doesn't have (its last column). A row
     whose count is 0 is gone. The count depends on the seed and doc_id alone (a null doc_id
     draws by its text), so repeated rows draw alike. ``place`` orders the output at random.
+    A row of more than ``piece`` copies is exploded into pieces first, which are dealt out over all
+    tasks; rates tell whether there can be one.
     Native: hash, inversion and explode are expressions; the rates are broadcast only if few.
     """
     key = f"'{seed}', coalesce(cast(doc_id as string), text, '')"
-    table = sized(stored(with_cdf(rates.withColumnRenamed("source", "mix_source")), "rates"))
+    rated = stored(with_cdf(rates.withColumnRenamed("source", "mix_source")), "rates")
     mix = free_name(docs, "mix")
-    draw = f"size(filter(cdf, c -> c <= {_uniform(key, 'j')}))"
-    count = F.expr(f"aggregate(sequence(1, parts), 0, (n, j) -> n + {draw})")
+    # one hash a count, then its place among the sums
+    drawn = f"transform(sequence(1, parts), j -> {_uniform(key, 'j')})"
+    count = F.expr(f"aggregate({drawn}, 0L, (n, u) -> n + size(filter(cdf, c -> c <= u)))")
     place = f"cast(conv(substring(md5(concat_ws(':', {key}, 'place', copy)), 1, 15), 16, 10) as bigint)"
     d = docs.alias("d")
-    joined = d.join(table.alias("r"), F.col("d.source").eqNullSafe(F.col("r.mix_source")))
-    shown = [F.col(f"d.`{c}`") for c in docs.columns]
-    n, rate = free_name(docs, "mix_n"), free_name(docs, "mix_rate")
+    joined = d.join(sized(rated).alias("r"), F.col("d.source").eqNullSafe(F.col("r.mix_source")))
+    shown = [F.col(f"`{c}`") for c in docs.columns]
+    n, rate, first = (free_name(docs, f"mix_{name}") for name in ("n", "rate", "first"))
     # The key names columns of docs, so the draw is made before anything else is in scope.
-    drawn = joined.select(*shown, count.alias(n), F.col("r.rate").alias(rate)).where(F.col(n) > 0)
-    copies = F.expr(
-        f"transform(sequence(1, `{n}`), copy -> named_struct('rate', `{rate}`, 'n_copies', cast(`{n}` as bigint), "
-        f"'copy_no', cast(copy as bigint), 'place', {place}))"
-    )
-    return drawn.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(copies).alias(mix))
+    drawn = joined.select(*(F.col(f"d.`{c}`") for c in docs.columns), count.alias(n), F.col("r.rate").alias(rate))
+
+    def copies(rows: DataFrame, start: str, end: str) -> DataFrame:
+        made = (
+            f"transform(sequence({start}, {end}), copy -> named_struct('rate', `{rate}`, 'n_copies', `{n}`, "
+            f"'copy_no', copy, 'place', {place}))"
+        )
+        return rows.select(*shown, F.explode(F.expr(made)).alias(mix))
+
+    some = copies(drawn.where(f"`{n}` BETWEEN 1 AND {piece}"), "1L", f"`{n}`")
+    if not (rated.agg(F.max("most")).first()[0] or 0) > piece:
+        return some
+    many = drawn.where(f"`{n}` > {piece}").withColumn(first, F.explode(F.expr(f"sequence(1L, `{n}`, {piece}L)")))
+    # by number: adaptive execution would put these few bytes into one task again
+    dealt = many.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id"), F.col(first))
+    return some.unionByName(copies(dealt, f"`{first}`", f"least(`{first}` + {piece - 1}, `{n}`)"))
 
 
 def mixed(docs: DataFrame, rates: DataFrame, seed: str = SEED, numbered: bool = False) -> DataFrame:

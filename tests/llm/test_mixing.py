@@ -48,6 +48,18 @@ def test_odd_rows(spark, clash):
     assert mixed(empty, source_rates(empty)).count() == 0
 
 
+def test_a_document_of_very_many_copies_goes_to_many_tasks(spark, clash):
+    docs = clash(documents(spark, [(i, "t", None, "rare" if i == 7 else "rest") for i in range(40)]))
+    rates = source_rates(docs, {"rare": 499.0}, epochs=500.0)  # about 20,000 copies of one row
+    whole = poisson_mix(docs, rates)
+    pieces = poisson_mix(docs, rates, piece=100)
+    assert pieces.columns == whole.columns
+    rows = lambda out: sorted((r.doc_id, *r[-1]) for r in out.collect())
+    assert rows(pieces) == rows(whole)
+    spread = pieces.where("doc_id = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) >= 4 and max(r["count"] for r in spread) < 12_000
+
+
 def test_query_stores_whole_rows_in_order(spark, folder, clash):
     rows = [(i, f"text {i}", "en", "rare" if i % 40 == 0 else "rest") for i in range(800)]
     docs = clash(documents(spark, rows))
