@@ -35,8 +35,8 @@ def capture(
     """Add what the source has and raw lacks; records already captured stay as they are.
 
     A referenced or fixed key that the source doesn't have fails the capture before anything
-    is written. The keys of the source are read once, stored, and everything is decided on
-    them; payloads are read for the references of the roots and for what is new.
+    is written. The source is read for the keys and the references of the roots, whose outcome (the keys to
+    capture) is stored, then for its keys to find what is absent, then for the payloads of those keys.
     """
     with tuned(warehouse.spark):
         existing = existing_keys(warehouse.table("raw.records"))

@@ -47,6 +47,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
 
+def state_of(spark: SparkSession, path: str) -> tuple:
+    """(name, length, time of change) of what a folder holds."""
+    fs, hadoop = _path(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(hadoop)))
+
+
 def read_file(spark: SparkSession, path: str) -> str:
     """The text of a small file."""
     fs, hadoop = _path(spark, path)

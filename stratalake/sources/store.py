@@ -230,7 +230,7 @@ class Warehouse:
         """Write what :meth:`upsert` would show, without showing it yet.
 
         Keys decide, in the buckets of the batch only. A bucket that has none of them gets a
-        further file; one that has some is written anew.
+        further file; of one that has some, the rows that stay are written anew.
         """
         key = TABLES[name].key
         content = self._tables.get(name) or self._new(name)
@@ -261,14 +261,19 @@ class Warehouse:
         if not hit:
             return Staged(name, added, n)
         stale = found.where(F.col(SEQ) > F.col("_version")).select(*key) if version else None
-        if stale is not None:
-            n -= (lost := stale.count())
-            mine = mine.join(stale, key, "left_anti") if lost else mine
-        old = near.where(F.col("bucket").isin(hit)).join(mine.select(*key), key, "left_anti")
-        merged = old.unionByName(mine.where(F.col("bucket").isin(hit))).drop("bucket")
-        anew, _ = self._write(name, merged, content, SEQ if content.seq else None)
-        held[folder] = touched
-        return Staged(name, replace(content, folders=added.only(hit, held, rest=True) | {anew: None}), n)
+        lost = stale.count() if stale is not None else 0
+        fresh = mine.join(stale, key, "left_anti") if lost else mine
+        stay = near.where(F.col("bucket").isin(hit)).join(fresh.select(*key), key, "left_anti")
+        kept = content.only(hit, held, rest=True)
+        if lost:  # what the batch brought is written again, without the rows that came too late
+            kept |= Content({folder: None}).only(hit, {folder: touched}, rest=True)
+            stay = stay.unionByName(fresh.where(F.col("bucket").isin(hit)))
+        else:
+            kept |= {folder: None}
+        if not stay.isEmpty():
+            anew, _ = self._write(name, stay.drop("bucket"), content, SEQ if content.seq else None)
+            kept |= {anew: None}
+        return Staged(name, replace(content, folders=kept), n - lost)
 
     def ensure(self) -> None:
         """Give every declared table a stored, empty version unless it has one."""

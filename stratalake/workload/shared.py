@@ -5,12 +5,13 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalake.operators.layers import build_star, load
 from stratalake.plans.entities import ENTITIES
 from stratalake.sources.landing import envelope
-from stratalake.sources.shared import fresh_folder, tune
+from stratalake.sources.shared import fresh_folder, state_of, tune
 from stratalake.sources.store import Warehouse
 from stratalake.workload import universe
 from stratalake.workload.universe import Tables
 
-_warehouses: dict[tuple[str, str], Warehouse] = {}
+#: By session, data folder and state of its files: changed tables get layers of their own.
+_warehouses: dict[tuple, Warehouse] = {}
 
 
 class Layers:
@@ -20,7 +21,7 @@ class Layers:
         tune(spark)
         self.spark = spark
         self.tables = Tables(spark, folder)
-        key = (spark.sparkContext.applicationId, folder)
+        key = (spark.sparkContext.applicationId, folder, state_of(spark, folder))
         if key not in _warehouses:
             _warehouses[key] = Warehouse(spark, fresh_folder(spark, "warehouse"))
         self.warehouse = _warehouses[key]

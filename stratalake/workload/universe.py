@@ -209,9 +209,10 @@ def types(t: Tables) -> DataFrame:
         return f"struct({owner} AS n_nationkey, concat(size, '_damage_{side}') AS list, {ref} AS ref)"
 
     entries = pairs.selectExpr(f"inline(array({entry('a', 'to', 'b')}, {entry('b', 'from', 'a')}))")
+    # The relations of a type.
     relations = [
-        f"{kind}_damage_{side}" for kind in ("double", "half", "no") for side in ("to", "from")
-    ]
+        "double_damage_to", "double_damage_from", "half_damage_to", "half_damage_from", "no_damage_to", "no_damage_from",
+    ]
 
     def refs(name: str) -> str:
         picked = f"sort_array(collect_list(CASE WHEN list = '{name}' THEN ref END))"

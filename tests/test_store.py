@@ -216,7 +216,7 @@ def test_an_upsert_rewrites_the_buckets_it_changes(spark):
     n = batch.count()
     assert 10 < n < 60 and warehouse.upsert("raw.records", batch) == n
     after = files_of(warehouse, "raw.records")
-    assert len(before - after) == len(after - before) == 1
+    assert len(before - after) == len(after - before) == 1  # the batch tells all of a bucket anew
     table = warehouse.table("raw.records")
     assert table.count() == 3000 and table.where("payload = '{\"id\": 0}'").count() == n
     # of keys that are new only, no bucket is written anew
