@@ -84,9 +84,10 @@ _EDITS = """array(
 
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token count of every document, and after three edits counted without encoding it again."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return tokencount.edited_counts(docs.withColumn("edits", F.expr(_EDITS)), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    """Token count of every document, and after three edits counted from its stored tree."""
+    file = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    trees = stored(tokencount.count_trees(table(spark, sf_dir, "documents"), file), "count-trees")
+    return tokencount.edited_counts(trees.withColumn("edits", F.expr(_EDITS)), file)
 
 
 @query

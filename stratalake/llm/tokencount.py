@@ -1,7 +1,8 @@
 """Edit-aware token counts: a segment tree over the pre-tokens of each document.
 
 An edit encodes anew only the pre-tokens it touches, with the context that may change their
-bounds, and updates the sums on the way to the root.
+bounds, and updates the sums on the way to the root. Trees are a stored table: later edits start
+from it.
 """
 
 import base64
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -60,16 +62,21 @@ class Edit(NamedTuple):
 class CountTree:
     """Token counts of one text, kept through edits.
 
-    Leaves hold the lengths and counts of up to LEAF pre-tokens at first, of any number after
-    edits; every node has the characters and tokens below it.
+    Leaves hold the lengths and counts of LEAF pre-tokens at first, of up to four times as many
+    after edits; every node has the characters and tokens below it. ``pieces`` are the lengths and
+    counts of the pre-tokens of a text that was encoded before.
     """
 
-    def __init__(self, text: str, words: Vocabulary) -> None:
+    def __init__(self, text: str, words: Vocabulary, pieces: tuple[list[int], list[int]] | None = None) -> None:
         self.text, self.words, self.encoded = text, words, 0
-        pieces = words.pattern.findall(text)
-        self.encoded = len(pieces)
-        sizes, counts = list(map(len, pieces)), list(map(words.count, pieces))
-        cuts = range(0, max(1, len(pieces)), LEAF)
+        if pieces is None:
+            found = words.pattern.findall(text)
+            self.encoded = len(found)
+            pieces = list(map(len, found)), list(map(words.count, found))
+        self._lay_out(*pieces)
+
+    def _lay_out(self, sizes: list[int], counts: list[int]) -> None:
+        cuts = range(0, max(1, len(sizes)), LEAF)
         self.leaves = [(sizes[c : c + LEAF], counts[c : c + LEAF]) for c in cuts]
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
@@ -78,6 +85,10 @@ class CountTree:
         for node in range(self.width - 1, 0, -1):
             self._add_up(node)
 
+    def pieces(self) -> tuple[list[int], list[int]]:
+        """Lengths and counts of all pre-tokens, which are all that a tree is made of beside its text."""
+        return [s for leaf in self.leaves for s in leaf[0]], [n for leaf in self.leaves for n in leaf[1]]
+
     def _add_up(self, node: int) -> None:
         self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
         self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
@@ -155,7 +166,10 @@ class CountTree:
             self.leaves[first] = (self.leaves[first][0] + tail[0], self.leaves[first][1] + tail[1])
         else:
             self.leaves[leaf] = tail
-        self._update(first, leaf)
+        if max(len(self.leaves[first][0]), len(self.leaves[leaf][0])) > 4 * LEAF:
+            self._lay_out(*self.pieces())  # after 3 * LEAF new pre-tokens at least; nothing is encoded
+        else:
+            self._update(first, leaf)
 
     def _update(self, first: int, last: int) -> None:
         for i in range(first, last + 1):
@@ -167,39 +181,92 @@ class CountTree:
             low, high = low // 2, high // 2
 
 
-def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
-    """(doc_id, text, edits): edits of a table (doc_id, seq, start, end, text) as a sorted list for each row.
+_TREE = "doc_id long, text string, sizes array<int>, counts array<int>"
+_COUNTED = "n_tokens long, n_tokens_edited long, n_chars_edited long, n_pretokens long, n_encoded_again long"
+#: Characters of texts after which a batch of trees is handed on.
+_FULL = 1 << 25
+
+
+def _lists(lists: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, lists)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([x for one in lists for x in one], pa.int32()))
+
+
+def _tree_columns(trees: list[tuple]) -> list[pa.Array]:
+    ids, texts, sizes, counts = zip(*trees)
+    return [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), _lists(sizes), _lists(counts)]
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def count_trees(docs: DataFrame, file: str) -> DataFrame:
+    """(doc_id, text, sizes, counts): the tree of every row, to be stored.
+
+    ``sizes`` and ``counts`` are the characters and tokens of each pre-token, the leaves of the
+    tree; its inner sums follow from them without encoding. A null text is empty and has none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(file)
+        for batch in batches:
+            out, held = [], 0
+            for i, doc_id in enumerate(batch.column(0).to_pylist()):
+                tree = CountTree(batch.column(1)[i].as_py() or "", words)
+                out.append((doc_id, tree.text, *tree.pieces()))
+                held += len(tree.text)
+                if held >= _FULL or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(_tree_columns(out), names=_names(_TREE))
+                    out, held = [], 0
+
+    return docs.select("doc_id", "text").mapInArrow(run, _TREE)
+
+
+def with_edits(rows: DataFrame, edits: DataFrame) -> DataFrame:
+    """``rows`` with edits of a table (doc_id, seq, start, end, text) as a sorted list in each.
 
     Edits of a null doc_id are ignored; all rows of a doc_id get its edits.
     """
     row = F.struct("seq", "start", "end", "text")
-    lists = edits.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("d")).agg(F.sort_array(F.collect_list(row)).alias("edits"))
-    joined = docs.select("doc_id", "text").join(lists, F.col("doc_id") == F.col("d"), "left")
-    return joined.select("doc_id", "text", F.expr("transform(edits, e -> struct(e.start, e.end, e.text))").alias("edits"))
+    lists = edits.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_d")).agg(F.sort_array(F.collect_list(row)).alias("edits"))
+    lists = lists.select("_d", F.expr("transform(edits, e -> struct(e.start, e.end, e.text))").alias("edits"))
+    return rows.drop("edits").join(lists, F.col("doc_id") == F.col("_d"), "left").drop("_d")
 
 
-def edited_counts(rows: DataFrame, file: str) -> DataFrame:
-    """(doc_id, n_tokens, n_tokens_edited, n_chars_edited, n_pretokens, n_encoded_again) of every row.
+def edited_trees(trees: DataFrame, file: str, keep: bool = True) -> DataFrame:
+    """Stored trees after their edits, and what was counted: n_tokens before, n_tokens_edited, n_chars_edited, n_pretokens before, n_encoded_again.
 
-    ``rows``: doc_id, text and edits, an array of (start, end, text) in code points applied in
-    order; null text is empty, a null list has no edits, a null start or end is 0, a null
-    replacement is empty. Nothing is shuffled; one document's tree is in memory at a time.
+    ``trees``: as :func:`count_trees` or this function gave them, and edits, an array of
+    (start, end, text) in code points applied in order; a null list has no edits, a null start or
+    end is 0, a null replacement is empty. Only pre-tokens that an edit touches are encoded. Nothing
+    is shuffled; one document's tree is in memory at a time. Without ``keep`` (doc_id and the counts) only.
     """
+    schema = f"{_TREE}, {_COUNTED}" if keep else f"doc_id long, {_COUNTED}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("doc_id", "n_tokens", "n_tokens_edited", "n_chars_edited", "n_pretokens", "n_encoded_again")
         words = vocabulary(file)
         for batch in batches:
-            out = []
-            for doc_id, cell, edits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                tree = CountTree(cell.as_py() or "", words)
-                before, built = len(tree), tree.encoded
-                for e in edits.as_py() or []:
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(2), batch.column(3))]
+            kept, counted, held = [], [], 0
+            for i, doc_id in enumerate(batch.column(0).to_pylist()):
+                pieces = tuple(values[ends[i] : ends[i + 1]].tolist() for ends, values in lists)
+                tree = CountTree(batch.column(1)[i].as_py() or "", words, pieces)
+                before = len(tree)
+                for e in batch.column(4)[i].as_py() or []:
                     tree.apply(Edit(e["start"] or 0, e["end"] or 0, e["text"] or ""))
-                out.append((doc_id, before, len(tree), len(tree.text), built, tree.encoded - built))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=list(names))
+                counted.append((before, len(tree), len(tree.text), len(pieces[0]), tree.encoded))
+                kept.append((doc_id, tree.text, *tree.pieces()) if keep else doc_id)
+                held += len(tree.text) if keep else 0
+                if held >= _FULL or i + 1 == batch.num_rows:
+                    columns = _tree_columns(kept) if keep else [pa.array(kept, pa.int64())]
+                    columns += [pa.array(c, pa.int64()) for c in zip(*counted)]
+                    yield pa.RecordBatch.from_arrays(columns, names=_names(schema))
+                    kept, counted, held = [], [], 0
+
+    return trees.select(*_names(_TREE), "edits").mapInArrow(run, schema)
+
 
-    return rows.select("doc_id", "text", "edits").mapInArrow(
-        run, "doc_id long, n_tokens long, n_tokens_edited long, n_chars_edited long, n_pretokens long, n_encoded_again long"
-    )
+def edited_counts(trees: DataFrame, file: str) -> DataFrame:
+    """(doc_id, n_tokens, n_tokens_edited, n_chars_edited, n_pretokens, n_encoded_again) of stored trees with edits."""
+    return edited_trees(trees, file, keep=False)

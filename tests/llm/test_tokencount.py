@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 from llm_rows import documents
 
 from stratalake.llm import tokencount
+from stratalake.llm.common import stored
 from stratalake.llm.queries import op6_token_counts
-from stratalake.llm.tokencount import CountTree, Edit, edited_counts, vocabulary, with_edits
+from stratalake.llm.tokencount import CountTree, Edit, count_trees, edited_counts, edited_trees, vocabulary, with_edits
 
 FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = vocabulary(FILE)
@@ -92,6 +93,35 @@ def test_edits_of_a_table(spark, none):
     rows = [(1, "one two three"), (2, "four's five"), (None, "six"), (1, "seven"), (3, None)]
     edits = [(1, 2, 0, 3, "1"), (1, 1, 4, 4, "x"), (3, 1, 0, 0, "new"), (None, 1, 0, 1, "z"), (2, 1, None, None, None)][: 0 if none else 9]
     table = spark.createDataFrame(edits, "doc_id long, seq int, start int, end int, text string")
-    got = edited_counts(with_edits(documents(spark, rows), table), FILE).collect()
+    trees = stored(count_trees(documents(spark, rows), FILE), "trees")
+    got = edited_counts(with_edits(trees, table), FILE).collect()
     of = {} if none else {1: [(4, 4, "x"), (0, 3, "1")], 3: [(0, 0, "new")]}
     assert sorted((tuple(r)[:4] for r in got), key=str) == by_plain(rows, lambda d, _: of.get(d, []))
+
+
+def test_stored_trees_take_later_edits(spark):
+    """Two sittings, the second from what the first stored; only what is touched is encoded."""
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice(["alpha", "it's", "12", "\n\n ", "é."]) for _ in range(n))
+    rows = [(i, text(400)) for i in range(40)] + [(90, None), (91, ""), (92, "x" * 50_000)]
+    made = [(d, k, rng.randrange(1500), "'re b " * rng.randrange(3)) for d, _ in rows for k in range(4)]
+    edits = spark.createDataFrame([(d, k, a, a + 3, t) for d, k, a, t in made], "doc_id long, seq int, start int, end int, text string")
+    first = stored(edited_trees(with_edits(stored(count_trees(documents(spark, rows), FILE), "a"), edits.where("seq < 2")), FILE), "b")
+    second = edited_trees(with_edits(first, edits.where("seq >= 2")), FILE).collect()
+    for r in second:
+        new = dict(rows)[r["doc_id"]] or ""
+        for d, _, a, t in made:
+            new = edited(new, a, a + 3, t) if d == r["doc_id"] else new
+        pieces = WORDS.pattern.findall(new)
+        assert r["text"] == new and r["n_tokens_edited"] == plain(new)
+        assert r["sizes"] == list(map(len, pieces)) and r["counts"] == list(map(WORDS.count, pieces))
+        assert r["n_encoded_again"] < 60
+    assert len(second) == len(rows)
+
+
+def test_a_leaf_that_grows_is_laid_out_anew():
+    tree = CountTree("one two", WORDS)
+    for _ in range(400):
+        tree.apply(Edit(3, 3, " a b"))
+    assert max(len(s) for s, _ in tree.leaves) <= 4 * tokencount.LEAF
+    assert len(tree) == plain(tree.text) and len(tree.leaves) > 4
