@@ -184,12 +184,16 @@ class CountTree:
 _TREE = "doc_id long, text string, sizes array<int>, counts array<int>"
 _COUNTED = "n_tokens long, n_tokens_edited long, n_chars_edited long, n_pretokens long, n_encoded_again long"
 #: Characters of texts after which a batch of trees is handed on.
-_FULL = 1 << 25
+_FULL = 1 << 21
 
 
-def _lists(lists: list[list[int]]) -> pa.Array:
+def _lists(lists: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([x for one in lists for x in one], pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int32()))
+
+
+def _row(doc_id: int | None, tree: CountTree) -> tuple:
+    return doc_id, tree.text, *(np.array(x, np.int32) for x in tree.pieces())
 
 
 def _tree_columns(trees: list[tuple]) -> list[pa.Array]:
@@ -214,7 +218,7 @@ def count_trees(docs: DataFrame, file: str) -> DataFrame:
             out, held = [], 0
             for i, doc_id in enumerate(batch.column(0).to_pylist()):
                 tree = CountTree(batch.column(1)[i].as_py() or "", words)
-                out.append((doc_id, tree.text, *tree.pieces()))
+                out.append(_row(doc_id, tree))
                 held += len(tree.text)
                 if held >= _FULL or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays(_tree_columns(out), names=_names(_TREE))
@@ -256,7 +260,7 @@ def edited_trees(trees: DataFrame, file: str, keep: bool = True) -> DataFrame:
                 for e in batch.column(4)[i].as_py() or []:
                     tree.apply(Edit(e["start"] or 0, e["end"] or 0, e["text"] or ""))
                 counted.append((before, len(tree), len(tree.text), len(pieces[0]), tree.encoded))
-                kept.append((doc_id, tree.text, *tree.pieces()) if keep else doc_id)
+                kept.append(_row(doc_id, tree) if keep else doc_id)
                 held += len(tree.text) if keep else 0
                 if held >= _FULL or i + 1 == batch.num_rows:
                     columns = _tree_columns(kept) if keep else [pa.array(kept, pa.int64())]
