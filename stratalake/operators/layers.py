@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.discovery import absent, new_records, wanted_keys
+from stratalake.operators.discovery import absent, new_records, part_with, wanted_keys
 from stratalake.operators.lineage import FAILED, RUNNING, SUCCESS
 from stratalake.plans.entities import ENTITIES, accepted, all_accepted, checked, rejected
 from stratalake.plans.star import orphans, star
@@ -34,17 +34,25 @@ def capture(
 ) -> int:
     """Add what the source has and raw lacks; records already captured stay as they are.
 
-    A referenced or fixed key that the source doesn't have fails the capture before anything
-    is written. The source is read for the keys and the references of the roots, whose outcome (the keys to
-    capture) is stored, then for its keys to find what is absent, then for the payloads of those keys.
+    A referenced or fixed key that the source doesn't have fails the capture; what it has written by
+    then is never shown, and ``vacuum`` deletes it. The source is read twice: its roots for their references, whose
+    outcome (the keys to capture) is stored, and then the payloads of those keys. If it has a column ``entity_type``
+    made of file paths, the first read opens the files of roots only, the second those of entities with
+    something to capture; if there is nothing, no file.
     """
     with tuned(warehouse.spark):
         existing = existing_keys(warehouse.table("raw.records"))
         pending = checkpointed(wanted_keys(warehouse.spark, source, existing, limit=limit, fixed=fixed))
-        lacking = absent(pending, source.select("key")).orderBy("key").limit(10).collect()
-        if lacking:
+        wanted = pending.count()
+        if not wanted:
+            return 0
+        staged = warehouse.stage_upsert("raw.records", new_records(part_with(source, pending), pending), seq="seq")
+        if staged.rows < wanted:  # a row for each key that was found
+            found = warehouse.unseen(staged) if staged.rows else pending.limit(0)
+            lacking = absent(pending, found).orderBy("key").limit(10).collect()
             raise ValueError(f"the source lacks what is to be captured: {', '.join(r['key'] for r in lacking)}")
-        return warehouse.upsert("raw.records", new_records(source, pending), seq="seq")
+        warehouse.commit(staged)
+        return staged.rows
 
 
 def load(warehouse: Warehouse, on_error: str = "fail", only_changes: bool = False) -> dict[str, int]:

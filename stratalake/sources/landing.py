@@ -21,20 +21,21 @@ def _or_bad_path(found: str, key: str) -> str:
     return f"CASE WHEN {found} <> '' THEN {key} ELSE {bad_path} END AS key"
 
 
-def landing_scan(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+def landing_scan(reader: DataFrameReader | DataStreamReader, path: str, by_entity: bool = False) -> DataFrame:
     """(key, payload, seq) of a tree with one payload per file; the key comes from the path.
 
     ``reader`` is ``spark.read``, or ``spark.readStream`` for the files not yet seen. ``seq``
-    orders payloads by the time of their file.
+    orders payloads by the time of their file. ``by_entity`` adds ``entity_type``, made of the path
+    alone: a filter on it keeps files of other entities from being opened.
     """
     entity, plain, number = (f"regexp_extract({_PATH}, r'{FILE_OF_ONE}', {i})" for i in (1, 2, 3))
     files = reader.text(path, wholetext=True, recursiveFileLookup=True)
     key = _or_bad_path(entity, f"concat({entity}, ':', {plain}, {number})")
-    return files.selectExpr(key, "value AS payload", _ARRIVAL)
+    return files.selectExpr(key, "value AS payload", _ARRIVAL, *([f"{entity} AS entity_type"] if by_entity else []))
 
 
-def landing_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
-    """(key, payload, seq) of a tree of bundles, one payload per line.
+def landing_lines(reader: DataFrameReader | DataStreamReader, path: str, by_entity: bool = False) -> DataFrame:
+    """(key, payload, seq) of a tree of bundles, one payload per line; ``by_entity`` as above.
 
     The layout for many payloads, where a file each would be more files than a store can
     list. The entity comes from the folder, the id from the payload; a line without one fails.
@@ -44,7 +45,7 @@ def landing_lines(reader: DataFrameReader | DataStreamReader, path: str) -> Data
     number = "get_json_object(value, '$.id')"
     no_id = f"raise_error(concat('payload without id in: ', {_PATH}, ': ', left(value, 200)))"
     key = _or_bad_path(entity, f"concat({entity}, ':', coalesce({number}, {no_id}))")
-    return lines.selectExpr(key, "value AS payload", _ARRIVAL)
+    return lines.selectExpr(key, "value AS payload", _ARRIVAL, *([f"{entity} AS entity_type"] if by_entity else []))
 
 
 def write_landing(payloads: DataFrame, path: str) -> None:

@@ -130,6 +130,12 @@ class Warehouse:
         rows = self._read(name, replace(content, folders=newer), WRITE)
         return rows.where(F.col(WRITE) > since).drop(WRITE)
 
+    def unseen(self, staged: Staged) -> DataFrame:
+        """Rows in folders of staged content that no reader sees yet."""
+        current = self._tables.get(staged.table, Content()).folders
+        new = {f: b for f, b in staged.content.folders.items() if f not in current}
+        return self._read(staged.table, replace(staged.content, folders=new))
+
     def loaded(self, name: str) -> int:
         """The last write of its source that a table has taken in; 0 for none."""
         return self._tables.get(name, Content()).loaded

@@ -8,7 +8,7 @@ import pytest
 from conftest import kind, move, payload_rows, root, species
 
 from stratalake.operators import discovery
-from stratalake.operators.layers import load
+from stratalake.operators.layers import capture, load
 from stratalake.sources.landing import (
     fixed_keys,
     landing_lines,
@@ -134,3 +134,42 @@ def test_closure(spark):
     want = spark.createDataFrame([("a:2",), ("a:3",)], "key string")
     found = {tuple(r) for r in discovery.closure_check(have, want).collect()}
     assert found == {("a:1", "extra"), ("a:3", "missing")}
+
+
+def refs_to(*keys, url="http://w"):
+    return [{"move": {"name": "m", "url": f"{url}/move/{k}/"}} for k in keys]
+
+
+@pytest.mark.parametrize("scan", [landing_scan, landing_lines])
+def test_capture_opens_files_of_its_entities_only(spark, tmp_path, warehouse, scan):
+    """A file that can't be read stands for all of its entity."""
+    landing = tmp_path / "landing"
+    for entity, payloads in {"root": [root(1, moves=refs_to(5))], "species": [species(1)], "move": [move(5)]}.items():
+        (landing / entity).mkdir(parents=True)
+        for p in payloads:
+            (landing / entity / f"{p['id']}.json").write_text(json.dumps(p))
+    for entity in ("type", "egg-group"):
+        unreadable = landing / entity / ("1.json.gz" if scan is landing_lines else "id=1/a.json.gz")
+        unreadable.parent.mkdir(parents=True)
+        unreadable.write_bytes(b"not a zip")
+    none = spark.createDataFrame([], "key string")
+    source = scan(spark.read, str(landing), by_entity=True)
+    assert capture(warehouse, source, fixed=none) == 3
+    assert {r["key"] for r in warehouse.table("raw.records").collect()} == {"root:1", "species:1", "move:5"}
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        source.where("entity_type = 'type'").collect()
+    assert capture(warehouse, source, fixed=none) == 0
+    (landing / "root" / "2.json").write_text(json.dumps(root(2, moves=refs_to(5))))
+    os.remove(landing / "move" / "5.json")  # not needed again
+    assert capture(warehouse, scan(spark.read, str(landing), by_entity=True), fixed=none) == 1
+
+
+def test_a_capture_that_fails_shows_nothing(spark, warehouse):
+    rows = payload_rows(spark, root=[root(1, moves=refs_to(5, 6))], species=[species(1)], move=[move(5)])
+    none = spark.createDataFrame([], "key string")
+    with pytest.raises(ValueError, match="captured: move:6$"):
+        capture(warehouse, rows, fixed=none)
+    assert warehouse.table("raw.records").isEmpty() and warehouse.vacuum() == 1
+    fixed = spark.createDataFrame([("move:5",), ("root:1",)], "key string")
+    with pytest.raises(ValueError, match="captured: move:5, root:1$"):
+        capture(warehouse, rows.limit(0), fixed=fixed)
