@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.refs import key_entity, key_id, key_path, parse_key
 from stratalake.operators import discovery
-from stratalake.operators.layers import load
+from stratalake.operators.layers import capture, load
 from stratalake.sources.landing import (
     encode_payload,
     envelope,
@@ -307,6 +307,21 @@ def q_capture_universe(layers: Layers) -> DataFrame:
     return discovery.capture_universe(roots, discovery.extract_refs(roots), _fixed(layers))
 
 
+@query(
+    "capture_landing",
+    f"""SELECT key, split_part(key, ':', 1) AS entity_type,
+               CAST(split_part(key, ':', 2) AS BIGINT) AS id
+        FROM (SELECT concat('root:', id) AS key FROM u_root UNION SELECT ref FROM ({_REFS}) UNION {_FIXED})""",
+)
+def q_capture_landing(layers: Layers) -> DataFrame:
+    """What a capture takes out of landed bundles: the closure of the roots, not all that has landed."""
+    warehouse = layers.fresh_warehouse()
+    source = landing_lines(layers.spark.read, _bundles(layers), by_entity=True)
+    capture(warehouse, source, fixed=_fixed(layers))
+    rows = warehouse.table("raw.records")
+    return rows.selectExpr("key", "entity_type", "CAST(get_json_object(payload, '$.id') AS BIGINT) AS id")
+
+
 @query(
     "closure_check",
     f"""WITH want AS (SELECT concat('root:', id) AS key FROM u_root UNION
