@@ -261,6 +261,33 @@ def test_checks_find_what_is_wrong(spark):
     assert quality.same_rows(rows, rows.union(rows), "t").count() == 3
 
 
+def test_rows_that_only_look_alike_differ(spark):
+    """Nulls and elements that change places, copies, and nothing else."""
+    one = "a int, b int, c array<int>, d struct<x:int,y:int>, e double"
+    rows = [(1, None, [1, None], (None, 1), 0.0), (2, 2, [], None, 1.5), (3, None, None, None, None)]
+    same = spark.createDataFrame([*reversed(rows)], one)
+    left = spark.createDataFrame(rows, one)
+    assert quality.same_rows(left, same, "t").isEmpty()
+    assert quality.same_rows(left.limit(0), same.limit(0), "t").isEmpty()
+    for k, other in enumerate([(None, 1, [1, None], (None, 1), 0.0), (1, None, [None, 1], (None, 1), 0.0), (1, None, [1, None], (1, None), 0.0)]):
+        found = quality.same_rows(left, spark.createDataFrame([other, *rows[1:]], one), "t").collect()
+        assert sorted(r["detail"] for r in found) == ["left only", "right only"], k
+    found = quality.same_rows(left, spark.createDataFrame([(2, 2, None, None, 1.5), rows[0], rows[2]], one), "t")
+    assert [r["key"] for r in found.collect()] == ["2", "2"]
+    assert sorted(tuple(r)[2:] for r in quality.same_rows(left.union(left), left, "t").collect()) == [(str(i), "left only") for i in (1, 2, 3)]
+
+
+def test_equal_tables_move_digests_only(spark):
+    rows = spark.range(200_000).selectExpr("id", "concat('row ', id) AS text")
+    changed = rows.withColumn("text", F.when(F.col("id") == 77, "other").otherwise(F.col("text")))
+    equal, differ = quality.same_rows(rows, rows.orderBy(F.desc("id")), "t"), quality.same_rows(rows, changed, "t")
+    assert equal.collect() == []
+    final = equal._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "EmptyRelation" in final and "Exchange" not in final and "Shuffle" not in final
+    assert sorted(r["detail"] for r in differ.collect()) == ["left only", "right only"]
+    assert quality.differing_ranges(rows, changed).count() in (1, 2)
+
+
 def test_reciprocity(spark):
     good = types(spark, kind(1, "a", double_damage_to=["b"]), kind(2, "b", double_damage_from=["a"]))
     assert quality.reciprocity(good, "double").count() == 0
