@@ -3,7 +3,8 @@
 Windows of LENGTH bytes are compared only where they may be equal. Of the grams in a window
 the one of least hash is its anchor, so equal windows have anchors with one gram at one
 offset. An anchor's context is what its windows cover. A context that occurs before is
-covered whole; only contexts that share a gram but differ are sorted as suffixes.
+covered whole; only contexts that share a gram but differ are sorted as suffixes. Hashes
+bring together what may be equal; that it is, the bytes tell.
 """
 
 from collections.abc import Iterator
@@ -24,7 +25,9 @@ GRAM = 32
 BLOCK = 1 << 20
 #: A gram with more anchors is judged context by context, and one with more contexts is dealt out by window.
 MANY = 4096
-#: Windows that a task remembers, to keep repeats of them from the shuffle.
+#: Bits of the digests of contexts, each time with another seed: if different contexts of a frequent gram agree, the next one's turn comes.
+DIGESTS = (64, 64, 64)
+#: Windows, and contexts, that a task remembers, to keep repeats of them from the shuffle.
 SEEN = 1 << 17
 #: Windows that a task sorts at once.
 SORTED = 1 << 19
@@ -71,31 +74,59 @@ def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndar
     return doc[first], low[first], reach[np.append(first[1:], len(doc)) - 1]
 
 
+def _cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of a column of texts or byte strings; the bytes aren't copied."""
+    cells = column.cast(pa.large_binary())
+    _, offsets, data = cells.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[cells.offset : cells.offset + len(cells) + 1]
+    return offsets - offsets[0], np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+
+
+def _again(data: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Which byte strings are equal to an earlier one of their key. Digests find them, the bytes decide.
+
+    Of different strings with one digest only those equal to the first are told.
+    """
+    order = np.lexsort((digest, key))
+    same = np.append(False, (key[order[1:]] == key[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]]))[: len(order)]
+    first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    out = np.zeros(len(order), bool)
+    view = memoryview(data)
+    pairs = order[same], first[same]
+    equal = [
+        view[a : a + n].tobytes() == view[b : b + m].tobytes()
+        for a, n, b, m in zip(*(x[i].tolist() for i in pairs for x in (start, size)))
+    ]
+    out[pairs[0]] = equal
+    return out
+
+
 _FOUND = "gram long, context long, ord long, tie long, place long, first long, last long, covered boolean"
 
 
-def _found(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def _found(texts: DataFrame, length: int, gram: int, seed: int, bits: int) -> DataFrame:
     """A row for each anchor, but of equal contexts in a batch only the first; the others are covered intervals."""
     names = [c.split()[0] for c in _FOUND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
+            if not batch.num_rows:
+                continue
             ords, ties = (np.asarray(batch.column(i)) for i in (0, 1))
-            texts_ = batch.column(2)
+            offsets, data = _cells(batch.column(2))
             parts = []
             for i in np.lexsort((ties, ords)):  # in document order, so that what is first stays first
-                raw = texts_[int(i)].as_py().encode("utf-8", "surrogatepass")
-                view = memoryview(raw)
-                digest = xxhash.xxh3_64_intdigest
-                for grams, place, first, last in anchors(np.frombuffer(raw, np.uint8), length, gram):
-                    context = [digest(view[a : b + length], p - a) for a, b, p in zip(first.tolist(), last.tolist(), place.tolist())]
-                    parts.append((grams, np.array(context, np.uint64), np.full(len(grams), i), place, first, last))
+                text = data[offsets[i] : offsets[i + 1]]
+                view = memoryview(text)
+                for grams, place, first, last in anchors(text, length, gram):
+                    spans = zip(first.tolist(), last.tolist(), place.tolist())
+                    context = [digest(view[a : b + length], seed << 32 | p - a) for a, b, p in spans]
+                    parts.append((grams, np.array(context, np.uint64) >> np.uint64(64 - bits), np.full(len(grams), i), place, first, last))
             if not parts:
                 continue
             grams, context, row, place, first, last = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(context, kind="stable")
-            repeated = np.zeros(len(order), bool)
-            repeated[order[1:]] = (context[order[1:]] == context[order[:-1]]) & (grams[order[1:]] == grams[order[:-1]])
+            repeated = _again(data, offsets[row] + first, last - first + length, grams, context)
             one = ~repeated
             at, low, high = _merged(row[repeated], first[repeated], last[repeated] + length)
             # Covered intervals ride along under a gram of their own document.
@@ -116,82 +147,116 @@ def _found(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("ord", "tie", "text").mapInArrow(run, _FOUND)
 
 
+_CONTEXTS = "key long, check boolean, ord long, tie long, place long, first long, bytes binary"
+
+
 def _contexts(texts: DataFrame, open_: DataFrame, length: int) -> DataFrame:
-    """The bytes of the open contexts: (key, ord, tie, place, first, bytes), key dealing them to tasks.
+    """The bytes of the contexts to compare: (key, check, ord, tie, place, first, bytes), key dealing them to tasks.
 
-    The key is the gram, or for a gram of many contexts a hash of each window, which is then
-    a context of its own. A window that the task has sent from an earlier place is not sent
+    The key is the gram; to be checked (kind 3) it is one of gram and context; for a gram of many
+    contexts (kind 2) a hash of each window, which is then a context of its own. A window, or a
+    context to be checked, that the task has sent from an earlier place is not sent
     again: its interval rides along without bytes, from ``place`` to ``first``.
     """
+    names = [c.split()[0] for c in _CONTEXTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[int, int, int]] = {}  # the earliest place sent
+        checked: dict[bytes, tuple[int, int, int]] = {}
         for batch in batches:
             for i in np.lexsort([np.asarray(batch.column(k)) for k in (1, 0)]).tolist():  # the first of a batch is sent first
                 rows, data = batch.column(2)[i].as_py(), batch.column(3)[i].as_py().encode("utf-8", "surrogatepass")
-                out, covered = [], []
+                out, low, high = [], [], []
                 o, t = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+
+                def sent_before(known: dict, cell: bytes, at: int) -> bool:
+                    sent = known.get(cell)
+                    if sent is not None and sent < (o, t, at):
+                        low.append(at)
+                        high.append(at + len(cell))
+                        return True
+                    if len(known) >= SEEN:
+                        known.clear()
+                    known[cell] = (o, t, at)
+                    return False
+
                 for r in rows:
-                    if not r["many"]:
-                        out.append((r["gram"], r["place"], r["first"], data[r["first"] : r["last"] + length]))
-                        continue
-                    for s in range(r["first"], r["last"] + 1):
-                        window = data[s : s + length]
-                        sent = seen.get(window)
-                        if sent is not None and sent < (o, t, s):
-                            covered.append(s)
-                            continue
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen[window] = (o, t, s)
-                        key = xxhash.xxh3_64_intdigest(window, (r["gram"] ^ (r["place"] - s)) & (1 << 64) - 1)
-                        out.append((key - (1 << 64) if key >> 63 else key, r["place"], s, window))
-                low = np.array(covered, np.int64)
-                _, low, high = _merged(np.zeros(len(low), np.int64), low, low + length)
-                out += [(o ^ t, a, b, b"") for a, b in zip(low.tolist(), high.tolist())]
+                    cell = data[r["first"] : r["last"] + length]
+                    if r["kind"] == 1:
+                        out.append((r["key"], False, r["place"], r["first"], cell))
+                    elif r["kind"] == 3:
+                        if not sent_before(checked, cell, r["first"]):
+                            out.append((r["key"], True, r["place"], r["first"], cell))
+                    else:
+                        for s in range(r["first"], r["last"] + 1):
+                            window = data[s : s + length]
+                            if not sent_before(seen, window, s):
+                                key = xxhash.xxh3_64_intdigest(window, (r["key"] ^ (r["place"] - s)) & (1 << 64) - 1)
+                                out.append((key - (1 << 64) if key >> 63 else key, False, r["place"], s, window))
+                _, a, b = _merged(np.zeros(len(low), np.int64), np.array(low, np.int64), np.array(high, np.int64))
+                out += [(o ^ t, False, *span, b"") for span in zip(a.tolist(), b.tolist())]
                 for k in range(0, len(out), 1 << 14):
-                    keys, places, firsts, datas = zip(*out[k : k + (1 << 14)])
+                    keys, checks, places, firsts, datas = zip(*out[k : k + (1 << 14)])
                     n = len(keys)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64()), pa.array([o] * n, pa.int64()), pa.array([t] * n, pa.int64()),
+                        [pa.array(keys, pa.int64()), pa.array(checks, pa.bool_()), pa.array([o] * n, pa.int64()), pa.array([t] * n, pa.int64()),
                          pa.array(places, pa.int64()), pa.array(firsts, pa.int64()), pa.array(datas, pa.binary())],
-                        names=["key", "ord", "tie", "place", "first", "bytes"],
+                        names=names,
                     )
 
     lists = open_.groupBy(F.col("ord").alias("o"), F.col("tie").alias("t")).agg(
-        F.collect_list(F.struct("gram", "place", "first", "last", "many")).alias("rows")
+        F.collect_list(F.struct("key", "place", "first", "last", "kind")).alias("rows")
     )
     joined = texts.join(lists, (F.col("ord") == F.col("o")) & (F.col("tie") == F.col("t"))).select("ord", "tie", "rows", "text")
-    return joined.mapInArrow(run, "key long, ord long, tie long, place long, first long, bytes binary")
+    return joined.mapInArrow(run, _CONTEXTS)
+
 
+_MARK = ["ord", "tie", "low", "high", "clash"]
 
-_MARK = ["ord", "tie", "low", "high"]
 
+def _marks(ords: np.ndarray, ties: np.ndarray, low: np.ndarray, high: np.ndarray, clash: bool = False) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (ords, ties, low, high)), pa.array(np.full(len(low), clash))], names=_MARK)
 
-def _repeats(t: pa.Table, length: int) -> tuple[pa.RecordBatch, np.ndarray]:
-    """Intervals of windows that occur earlier under their key, and the rows that have a window for the first time."""
+
+def _repeats(t: pa.Table, length: int) -> tuple[list[pa.RecordBatch], np.ndarray]:
+    """Intervals of windows that occur earlier under their key, and the rows that have a window for the first time.
+
+    A context equal to an earlier one is covered whole; the windows of the others are sorted where a key has several.
+    """
     key, ords, ties, place, first = (np.asarray(t[c]) for c in ("key", "ord", "tie", "place", "first"))
-    cells = t["bytes"].combine_chunks().cast(pa.large_binary())
-    if isinstance(cells, pa.ChunkedArray):
-        cells = cells.chunk(0)
-    _, offsets_buffer, data_buffer = cells.buffers()
-    offsets = np.frombuffer(offsets_buffer, np.int64)[cells.offset : cells.offset + len(cells) + 1]
-    data = np.frombuffer(data_buffer, np.uint8)[offsets[0] : offsets[-1]]
-    starts = offsets[:-1] - offsets[0]
-    n = np.diff(offsets) - length + 1  # windows of each context
-    row = np.repeat(np.arange(len(n)), n)
+    check = t["check"].to_numpy()
+    cells = t["bytes"].combine_chunks()
+    offsets, data = _cells(cells.chunk(0) if isinstance(cells, pa.ChunkedArray) else cells)
+    starts, size = offsets[:-1], np.diff(offsets)
+    number = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
+    view = memoryview(data)
+    digest = np.array([xxhash.xxh3_64_intdigest(view[a : a + n]) for a, n in zip(starts.tolist(), size.tolist())], np.uint64)
+    again = _again(data, starts, size, number, digest)
+    left = ~again
+    several = np.bincount(number[left], minlength=number[-1] + 1) > 1
+    pick = np.flatnonzero(left & several[number])
+
+    n = size[pick] - length + 1  # windows of each context
+    row = np.repeat(pick, n)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     offset = place[row] - first[row] - inside  # of the anchor in the window
     # Rows come by key, document and place: a stable sort by key and offset keeps that order.
-    number = np.cumsum(np.append(False, key[1:] != key[:-1]))
     group = number[row] * length + offset
     order = np.argsort(group, kind="stable")
-    ranked, equal = Suffixes(data, length).sort((starts[row] + inside)[order], group[order])
-    hit = order[ranked[equal]]
-    where, low = row[hit], first[row[hit]] + inside[hit]
-    doc, low, high = _merged(where, low, low + length)
-    marks = pa.RecordBatch.from_arrays([pa.array(x) for x in (ords[doc], ties[doc], low, high)], names=_MARK)
-    return marks, np.unique(row[order[ranked[~equal]]])
+    fresh = np.flatnonzero(left & ~several[number])
+    where, low, high = np.flatnonzero(again), first[again], first[again] + size[again]
+    if len(row):
+        ranked, equal = Suffixes(data, length).sort((starts[row] + inside)[order], group[order])
+        hit = order[ranked[equal]]
+        at = first[row[hit]] + inside[hit]
+        where, low, high = np.append(where, row[hit]), np.append(low, at), np.append(high, at + length)
+        fresh = np.append(fresh, row[order[ranked[~equal]]])
+    doc, low, high = _merged(where, low, high)
+    marks = [_marks(ords[doc], ties[doc], low, high)]
+    clash = pick[check[pick]]  # contexts that were to be equal
+    if len(clash):
+        marks.append(_marks(ords[clash], ties[clash], first[clash], first[clash], True))
+    return marks, np.unique(fresh)
 
 
 def _swept(batches: Iterator[pa.RecordBatch], length: int, at_once: int) -> Iterator[pa.RecordBatch]:
@@ -203,13 +268,14 @@ def _swept(batches: Iterator[pa.RecordBatch], length: int, at_once: int) -> Iter
     size, limit = 0, at_once
 
     def windows(t: pa.Table | pa.RecordBatch) -> int:
-        return (pc.sum(pc.binary_length(t["bytes"] if isinstance(t, pa.Table) else t.column(5))).as_py() or 0) - t.num_rows * (length - 1)
+        cells = t["bytes"] if isinstance(t, pa.Table) else t.column(t.schema.get_field_index("bytes"))
+        return (pc.sum(pc.binary_length(cells)).as_py() or 0) - t.num_rows * (length - 1)
 
     for batch in batches:
-        full = pc.greater(pc.binary_length(batch.column(5)), 0)
+        full = pc.greater(pc.binary_length(batch.column(batch.schema.get_field_index("bytes"))), 0)
         if not pc.all(full).as_py():
-            done = batch.filter(pc.invert(full))  # intervals that are covered already
-            yield pa.RecordBatch.from_arrays([done.column(i) for i in (1, 2, 3, 4)], names=_MARK)
+            done = pa.Table.from_batches([batch.filter(pc.invert(full))])  # intervals that are covered already
+            yield _marks(*(np.asarray(done[c]) for c in ("ord", "tie", "place", "first")))
             batch = batch.filter(full)
         if not batch.num_rows:
             continue
@@ -220,64 +286,65 @@ def _swept(batches: Iterator[pa.RecordBatch], length: int, at_once: int) -> Iter
             keys = np.asarray(t["key"])
             cut = int(np.argmax(keys == keys[-1]))  # rows of the last key may go on
             if cut:
-                yield _repeats(t.slice(0, cut), length)[0]
+                yield from _repeats(t.slice(0, cut), length)[0]
                 rest = t.slice(cut)
             else:
                 marks, fresh = _repeats(t, length)
-                yield marks
+                yield from marks
                 rest = t.take(pa.array(fresh))
             held, size = rest.to_batches(), windows(rest)
             limit = max(at_once, 2 * size)
     if size:
-        yield _repeats(pa.Table.from_batches(held).combine_chunks(), length)[0]
+        yield from _repeats(pa.Table.from_batches(held).combine_chunks(), length)[0]
 
 
 def _sorted(contexts: DataFrame, length: int, at_once: int) -> DataFrame:
-    """(ord, tie, low, high): intervals of windows that occur earlier in another context of their key, and those that ride along.
+    """(ord, tie, low, high, clash): intervals of windows that occur earlier under their key, and those that ride along.
 
-    Tasks get whole keys in order, and sort the windows of as many keys at a time as fit.
+    Tasks get whole keys in order, and sort the windows of as many keys at a time as fit. ``clash``
+    marks contexts that were to be equal and aren't.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _swept(batches, length, at_once)
 
-    dealt = contexts.repartition("key").sortWithinPartitions("key", "ord", "tie", "place", "first")
-    return dealt.mapInArrow(run, "ord long, tie long, low long, high long")
+    dealt = contexts.repartition("key").sortWithinPartitions("key", "check", "ord", "tie", "place", "first")
+    return dealt.mapInArrow(run, "ord long, tie long, low long, high long, clash boolean")
 
 
 def _judged(found: DataFrame, many: int) -> DataFrame:
-    """(gram, ord, tie, place, first, last, kind) of anchors that count: 0 covered whole, 1 open, 2 open under a gram of over ``many`` contexts.
+    """(key, ord, tie, place, first, last, kind) of anchors that count.
 
-    A gram of over ``many`` anchors doesn't go through a window of its own rows: the firsts of
-    its contexts and their number are aggregates that combine in each task.
+    Kind 0 is covered whole. The others have their bytes compared: 1 under their gram, 2 window by window (a gram of
+    over ``many`` contexts), 3 under their gram and context. A gram of over ``many`` anchors doesn't bring
+    its rows into one task: the firsts of its contexts are aggregates that combine in each task; under the gram
+    go these only, and every anchor is checked against the first of its context (3).
     """
-    kept = ["gram", "ord", "tie", "place", "first", "last", "kind"]
-    covered = found.where("covered").withColumn("kind", F.lit(0)).select(kept)
-    anchors_ = found.where("NOT covered")
+    kept = ["key", "ord", "tie", "place", "first", "last", "kind"]
+    anchors_ = found.where("NOT covered").withColumn("key", F.col("gram"))
+    covered = found.where("covered").select(F.col("gram").alias("key"), *kept[1:-1], F.lit(0).alias("kind"))
     hot = sized(stored(anchors_.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many).select("gram"), "hot"))
     some = not hot.isEmpty()
-    by_gram = Window.partitionBy("gram")
-    in_context = by_gram.orderBy("context", "ord", "tie", "place")
-    before = F.lag("context").over(in_context)
-    new = (before.isNull() | (before != F.col("context"))).cast("int")
     cold = (
         (anchors_.join(hot, "gram", "left_anti") if some else anchors_)
-        .withColumn("new", new)
-        .withColumn("contexts", F.sum("new").over(by_gram))
-        .where((F.col("new") == 0) | (F.col("contexts") > 1))
-        .withColumn("kind", F.col("new"))
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram")))
+        .where("n > 1")
+        .withColumn("kind", F.lit(1))
         .select(kept)
     )
     out = covered.unionByName(cold)
     if not some:
         return out
     rows = anchors_.join(hot, "gram", "left_semi")
-    at = F.struct("ord", "tie", "place", "first")
-    firsts = stored(rows.groupBy("gram", "context").agg(F.min(at).alias("least")), "hot-contexts")
+    at = F.struct("ord", "tie", "place", "first", "last")
+    firsts = stored(rows.groupBy("gram", "context").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("n")), "hot-contexts")
     counts = sized(stored(firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")), "hot-counts"))
-    judged = rows.join(firsts, ["gram", "context"]).join(counts, "gram").withColumn("is_new", at == F.col("least"))
-    kind = F.when(~F.col("is_new"), F.lit(0)).when(F.col("contexts") > many, F.lit(2)).otherwise(F.lit(1))
-    return out.unionByName(judged.where("NOT is_new OR contexts > 1").withColumn("kind", kind).select(kept))
+    several = firsts.join(counts, "gram").where("contexts > 1")
+    kind = F.when(F.col("contexts") > many, F.lit(2)).otherwise(F.lit(1)).alias("kind")
+    opened = several.select(F.col("gram").alias("key"), "least.*", kind)
+    repeated = sized(firsts.where("n > 1").select("gram", "context"))
+    check = rows.join(repeated, ["gram", "context"], "left_semi").withColumn("key", F.xxhash64("gram", "context"))
+    return out.unionByName(opened).unionByName(check.withColumn("kind", F.lit(3)).select(kept))
 
 
 def _outcome(texts: DataFrame, marks: DataFrame) -> DataFrame:
@@ -305,7 +372,9 @@ def _outcome(texts: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "o long, t long, n_removed long, n_spans long, kept string")
 
 
-def repeated_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, many: int = MANY, at_once: int = SORTED) -> DataFrame:
+def repeated_substrings(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, many: int = MANY, at_once: int = SORTED, digests: tuple[int, ...] = DIGESTS
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, for strings of ``length`` bytes.
 
     A null text is empty. Documents go by doc_id (null last), of one doc_id by a hash of the
@@ -332,12 +401,16 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         once = texts.join(again, ["ord", "tie"], "left_anti")
         texts = once.unionByName(texts.join(again, ["ord", "tie"], "left_semi").dropDuplicates(["ord", "tie"]))
 
-    judged = stored(_judged(stored(_found(texts, length, gram), "found"), many), "judged")
-    whole = judged.where("kind = 0").select("ord", "tie", F.col("first").alias("low"), (F.col("last") + length).alias("high"))
-    open_ = judged.where("kind > 0").select("gram", "ord", "tie", "place", "first", "last", (F.col("kind") == 2).alias("many"))
-    touched = sized(stored(judged.select("ord", "tie").distinct(), "touched"))
-    some = texts.join(touched, ["ord", "tie"], "left_semi")
-    marks = stored(whole.unionByName(_sorted(_contexts(some, open_, length), length, at_once)), "marks")
+    for seed, bits in enumerate(digests):
+        judged = stored(_judged(stored(_found(texts, length, gram, seed, bits), "found"), many), "judged")
+        whole = judged.where("kind = 0").select("ord", "tie", F.col("first").alias("low"), (F.col("last") + length).alias("high"), F.lit(False).alias("clash"))
+        touched = sized(stored(judged.select("ord", "tie").distinct(), "touched"))
+        some = texts.join(touched, ["ord", "tie"], "left_semi")
+        marks = stored(whole.unionByName(_sorted(_contexts(some, judged.where("kind > 0"), length), length, at_once)), "marks")
+        if marks.where("clash").isEmpty():
+            break
+    else:
+        raise ValueError("different contexts of a gram agree in every digest")
     marked = sized(stored(marks.select("ord", "tie").distinct(), "marked"))
     out = stored(_outcome(texts.join(marked, ["ord", "tie"], "left_semi"), marks), "outcome")
 

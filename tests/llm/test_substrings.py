@@ -101,6 +101,20 @@ def test_against_brute_force(spark, many, at_once):
     same(repeated_substrings(docs, many=many, at_once=at_once).collect(), brute(rows, 100))
 
 
+@pytest.mark.parametrize("many", [4096, 2])
+def test_weak_digests_decide_nothing(spark, monkeypatch, many):
+    """With digests of one bit most contexts of a gram agree; of a frequent gram they are told by a second seed."""
+    rows = corpus(random.Random(77))
+    tried, plain = [], substrings._found
+    monkeypatch.setattr(substrings, "_found", lambda *a: tried.append(a[-1]) or plain(*a))
+    docs = documents(spark, rows).repartition(5)
+    same(repeated_substrings(docs, many=many, digests=(1, 64)).collect(), brute(rows, 100))
+    assert tried == ([1] if many > len(rows) else [1, 64])
+    if many < len(rows):
+        with pytest.raises(ValueError, match="agree"):
+            repeated_substrings(docs, many=many, digests=(1,))
+
+
 def test_query(spark, folder, clash):
     rng = random.Random(8)
     rows = corpus(rng, 60) + [(900, "é" * 60), (901, "é" * 60), (902, "ab" * 49), (903, "ab" * 49), (904, None), (905, "")]
@@ -132,7 +146,7 @@ def test_hot_passage_is_reduced_before_the_shuffle(spark, monkeypatch):
 
 def test_one_key_beyond_what_is_sorted_at_once():
     window = bytes(range(100))
-    names = ["key", "ord", "tie", "place", "first", "bytes"]
+    names = ["key", "ord", "tie", "place", "first", "bytes", "check"]
     taken = []
 
     def batches():
@@ -140,7 +154,7 @@ def test_one_key_beyond_what_is_sorted_at_once():
             taken.append(k)
             n = 50
             cells = [[7] * n, [k * n + i for i in range(n)], [0] * n, [10] * n, [5] * n, [window] * n]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cells[:5]), pa.array(cells[5], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cells[:5]), pa.array(cells[5], pa.binary()), pa.array([False] * n)], names=names)
 
     marks = substrings._swept(batches(), 100, 200)
     got = next(marks).to_pylist()
