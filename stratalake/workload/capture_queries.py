@@ -273,6 +273,16 @@ def q_resume_filter(layers: Layers) -> DataFrame:
     return discovery.resume_filter(wanted, _existing(layers))
 
 
+@query(
+    "resume_filter_many",
+    f"""SELECT key FROM (SELECT ref AS key FROM ({_REFS}) UNION {_FIXED})
+        EXCEPT SELECT key FROM ({_EXISTING})""",
+)
+def q_resume_filter_many(layers: Layers) -> DataFrame:
+    wanted = discovery.wanted_refs(discovery.extract_refs(_roots(layers)), _fixed(layers))
+    return discovery.resume_filter_many(wanted, _existing(layers))
+
+
 @query(
     "pending_keys",
     f"""SELECT key FROM (SELECT ref AS key FROM ({_REFS}) UNION {_FIXED})

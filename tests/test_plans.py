@@ -3,7 +3,7 @@
 import pytest
 from conftest import SF
 
-from stratalake.operators import quality, scoring
+from stratalake.operators import discovery, quality, scoring
 from stratalake.operators.upsert import latest_wide, merge_rows
 from stratalake.plans.entities import ENTITIES, project
 from stratalake.sources.landing import existing_keys, raw_by_entity
@@ -25,6 +25,15 @@ def test_one_entity_reads_one_partition(layers):
     assert "ReadSchema: struct<key:string,payload:string>" in text
 
 
+def test_captured_keys_are_not_shuffled_to_meet_the_wanted(layers):
+    bits = 8 * 4096
+    wanted = layers.tables.part.selectExpr("concat('move:', p_partkey) AS key")
+    existing = existing_keys(layers.raw)
+    text = plan(discovery.possible_hits(existing, discovery.key_bitmaps(wanted, bits), bits))
+    assert text.count("Exchange hashpartitioning") == 1  # of the bitmaps
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_keys_read_one_column(layers):
     assert "ReadSchema: struct<key:string>" in plan(existing_keys(layers.raw))
 
