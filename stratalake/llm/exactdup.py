@@ -106,7 +106,8 @@ def fingerprints(docs: DataFrame, primes: tuple[int, int] = PRIMES, huge: int =
             total += x["n_bytes"]
         return doc_id, n_chars, total, digest, high << 31 | low
 
-    numbered = rows.where(size >= huge).withColumn("row", F.monotonically_increasing_id())
+    # stored, so that each reader sees the same numbers, also after a task is run again
+    numbered = stored(rows.where(size >= huge).withColumn("row", F.monotonically_increasing_id()), "huge")
     starts = F.sequence(F.lit(0), F.floor((size - 1) / huge).cast("int"))
     pieces = numbered.select("row", F.explode(starts).alias("number"), "text").select(
         "row", "number", F.substring("text", F.col("number") * huge + 1, F.lit(huge)).alias("text")
