@@ -39,14 +39,22 @@ def catalogue(
 def defence_profile(bridge_root_type: DataFrame, matrix: DataFrame) -> DataFrame:
     """(root_id, attacking_type_id, multiplier): product over the root's own types.
 
-    The matrix is bounded, which is checked, hence the broadcast.
+    The matrix is bounded, which is checked, hence the broadcast, with a column per attacking type: a
+    root is one row until its products are made, whatever the number of types.
     """
     own = bridge_root_type.select("root_id", F.col("type_id").alias("defending_type_id"))
-    return (
-        own.join(F.broadcast(bounded_matrix(matrix)), "defending_type_id")
-        .groupBy("root_id", "attacking_type_id")
-        .agg(F.product("multiplier").alias("multiplier"))
+    matrix = bounded_matrix(matrix)
+    kind = matrix.schema["attacking_type_id"].dataType
+    attackers = [F.lit(r[0]).cast(kind) for r in matrix.select("attacking_type_id").distinct().collect()]
+    if not attackers:
+        return own.join(matrix, "defending_type_id").select("root_id", "attacking_type_id", "multiplier")
+    factor = [F.when(F.col("attacking_type_id").eqNullSafe(a), F.col("multiplier")) for a in attackers]
+    factors = matrix.groupBy("defending_type_id").agg(*[F.product(f).alias(f"f{i}") for i, f in enumerate(factor)])
+    products = own.join(F.broadcast(factors), "defending_type_id").groupBy("root_id").agg(
+        *[F.product(f"f{i}").alias(f"f{i}") for i in range(len(attackers))]
     )
+    pairs = [F.struct(a.alias("attacking_type_id"), F.col(f"f{i}").alias("multiplier")) for i, a in enumerate(attackers)]
+    return products.select("root_id", F.inline(F.array(*pairs))).where("multiplier IS NOT NULL")
 
 
 def dashboard(
