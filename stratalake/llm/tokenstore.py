@@ -13,16 +13,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import stored
+from stratalake.sources.shared import batches_up_to
 
 #: Id that ends every document.
 END = 2
 #: Tokens after which a file ends; a document is never split over files.
 FILE_TOKENS = 1 << 20
+#: Bytes of texts that a worker gets at once.
+BATCH_BYTES = 4 << 20
 #: Bits of an id that one level holds.
 CHUNK = 8
 _MAGIC = b"DACS"
 _RANK = 64  # bytes of the bitmap that one entry of the rank directory spans
-_CACHE = 700_000
+#: Pre-tokens that a worker holds at most, some 35 MB; once full, misses after which the cache starts anew.
+_CACHE = 150_000
+_RENEW = 8 * _CACHE
+_MARKED = 1 << 20  # slots that tell whether a pre-token was met before; half of them used, they start anew
 _BLOCK = 1 << 16
 _SPACE = re.compile("[\\t-\\r\\x20]")
 #: Texts of characters whose normal form, lower case and class need no look-up beyond these.
@@ -59,7 +65,11 @@ def _pieces(low: str) -> list[str]:
 
 
 class Pieces(dict):
-    """Ids of a pre-token, as bytes, merged by the library's model when first met. A full cache starts anew."""
+    """Ids of a pre-token, as bytes, merged by the library's model; held from the second time it is met.
+
+    What is met once takes no memory. A full cache stays as it is, as frequent pre-tokens came
+    first, until misses show that texts may have changed: then it starts anew.
+    """
 
     def __init__(self, model) -> None:
         self.model = model
@@ -67,12 +77,30 @@ class Pieces(dict):
         other = [b for b in range(256) if b not in printable]
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256.
         self.alphabet = dict(zip([*printable, *other], [chr(b) for b in printable] + [chr(256 + i) for i in range(len(other))]))
+        self._unmark()
+        self.missed = 0
+
+    def _unmark(self) -> None:
+        self.met, self.marks = bytearray(_MARKED), 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= _CACHE:
-            self.clear()
         mapped = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
-        out = self[piece] = _packed([t.id for t in self.model.tokenize(mapped)])
+        out = _packed([t.id for t in self.model.tokenize(mapped)])
+        if len(self) >= _CACHE:
+            self.missed += 1
+            if self.missed >= _RENEW:
+                self.clear()
+                self._unmark()
+                self.missed = 0
+            return out
+        at = hash(piece) % _MARKED
+        if self.met[at]:
+            self[piece] = out
+        else:
+            self.met[at] = 1
+            self.marks += 1
+            if self.marks > _MARKED // 2:
+                self._unmark()
         return out
 
 
@@ -257,7 +285,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, name: str = "tokens", order:
     made = rows.mapInArrow(files, "n_docs long, n_tokens long, data binary")
     # An id is its task's number and its place in the task, so it keeps the order of files.
     numbered = made.withColumn("file_no", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id())
-    kept = stored(numbered.select("part", "file_no", "n_docs", "n_tokens", "data"), name)
+    with batches_up_to(docs.sparkSession, BATCH_BYTES):
+        kept = stored(numbered.select("part", "file_no", "n_docs", "n_tokens", "data"), name)
     sums = kept.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumnRenamed("part", "p")
     before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
     offsets = sums.select("p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

@@ -3,6 +3,7 @@
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,8 +197,9 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs, all columns, whose score is below THRESHOLD. Nothing is shuffled."""
     cast = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(texts):
-        return texts.map(lambda t: score(sentence_scores(t or "", cast.value)))
+    # one text at a time: as pandas a batch would be held twice
+    @F.arrow_udf("double")
+    def scores(texts: pa.Array) -> pa.Array:
+        return pa.array([score(sentence_scores(t.as_py() or "", cast.value)) for t in texts], pa.float64())
 
     return docs.where(scores(F.col("text")) < THRESHOLD)

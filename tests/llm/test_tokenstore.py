@@ -4,12 +4,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from llm_rows import documents
 from tokenizers import Tokenizer
 
 from stratalake.llm import tokenstore
 from stratalake.llm.queries import op3_token_store
 from stratalake.llm.tokenstore import Encoder, TokenFile, packed_file, read_tokens, write_tokens
+from stratalake.sources.shared import batches_up_to
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "Ⅷ ½x É́ ﬁ <|endoftext|>a <|EndOfText|> I'll'LL 'S x²y ªb  a\xa0b İİ ΑΣ J̌ don't__x 日本 a\x1cb \x85", "a\x00b ퟿",
@@ -45,6 +47,49 @@ def test_other_vocabularies_take_the_whole_tokenizer(tmp_path):
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_pretokens_met_once_take_no_memory():
+    enc, words = Encoder(FILE), ["once" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(30_000)]
+    enc.ids(" ".join(words))
+    assert len(enc.pieces) < 3000  # by chance, as marks are shared
+    enc.ids("again and again and again")
+    assert {"again", "and"} <= enc.pieces.keys()
+
+
+def test_cache_is_bounded_and_exact(monkeypatch):
+    for name, value in {"_CACHE": 20, "_RENEW": 100, "_MARKED": 64}.items():
+        monkeypatch.setattr(tokenstore, name, value)
+    enc, plain, rng, renewed, before = Encoder(FILE), Tokenizer.from_file(FILE), random.Random(7), 0, 0
+    words = ["w" + "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 5))) for _ in range(300)]
+    for _ in range(400):
+        text = " ".join(rng.choice(words) for _ in range(20))
+        assert np.frombuffer(enc.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(enc.pieces) <= 20
+        renewed, before = renewed + (len(enc.pieces) < before), len(enc.pieces)
+    assert renewed
+
+
+def test_batches_end_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    with batches_up_to(spark, 1 << 16):
+        rows = documents(spark, [(i, "x" * 10_000) for i in range(100)]).coalesce(1).select("text")
+        got = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == 100 and max(got) <= 8 and spark.conf.get(name) == before
+
+
+def test_tokens_are_written_from_small_batches(spark, monkeypatch):
+    seen, plain = [], tokenstore.stored
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(tokenstore, "stored", lambda rows, to: seen.append((to, spark.conf.get(name))) or plain(rows, to))
+    write_tokens(documents(spark, [(1, "a b")]), FILE)
+    assert ("tokens", str(tokenstore.BATCH_BYTES)) in seen
+
+
 def test_file_round_trip_and_access():
     rng = np.random.default_rng(1)
     for top in (200, 70_000, 1 << 31):
