@@ -52,6 +52,14 @@ def sized(rows: DataFrame, limit: int = SMALL_ROWS, most: int = SMALL_BYTES) ->
     return F.broadcast(rows) if found["n"] <= limit and (found["bytes"] or 0) <= most else rows
 
 
+def exploded(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows of an explode, marked for broadcast if they are few, else for a shuffle of both sides.
+
+    Without a mark Spark would broadcast them by the size of what went into the explode.
+    """
+    return F.broadcast(rows) if n <= SMALL_ROWS else rows.hint("merge")
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     """Whether a row is in the quarter that no model learns from; a null id is."""
     part = F.crc32(F.col(doc_id).cast("string")) % 4

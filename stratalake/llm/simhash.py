@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import map_texts, sized, stored
+from stratalake.llm.common import exploded, map_texts, sized, stored
 
 #: A bucket of a segment's table with more fingerprints is searched by whole balls instead.
 BUCKET = 32
@@ -88,6 +88,8 @@ def near_pairs(fps: DataFrame, radius: int = 2, parts: int = 2, bucket: int = BU
         entries = entries.join(full, ["seg", "part"], "left_anti")
     verified = (F.col("t.fp") > F.col("p.fp")) & (F.bit_count(F.col("t.fp").bitwiseXOR(F.col("p.fp"))) <= radius)
     same = (F.col("t.seg") == F.col("p.seg")) & (F.col("t.part") == F.col("p.part"))
+    # the side of fewer rows: one a segment against a ball of each
+    entries = exploded(entries, fps.count() * len(masks))
     pairs = entries.alias("t").join(probes.alias("p"), same & verified).select(F.col("p.fp").alias("a"), F.col("t.fp").alias("b"))
     if some:
         pairs = pairs.unionByName(_whole_balls(around, radius))
@@ -100,14 +102,14 @@ def _signed(value: int) -> int:
 
 def _whole_balls(fps: DataFrame, radius: int) -> DataFrame:
     """Near pairs by keys that both have in a ball around them."""
-    low, high = radius // 2, radius - radius // 2
+    low, high = (_masks(0, 64, r) for r in (radius // 2, radius - radius // 2))
 
-    def keys(r: int, name: str) -> DataFrame:
-        ball = F.transform(_longs(_masks(0, 64, r)), lambda x: F.col("fp").bitwiseXOR(x))
-        return fps.select("fp", F.explode(ball).alias("key")).alias(name)
+    def keys(masks: list[int]) -> DataFrame:
+        return fps.select("fp", F.explode(F.transform(_longs(masks), lambda x: F.col("fp").bitwiseXOR(x))).alias("key"))
 
     near = (F.col("t.fp") > F.col("p.fp")) & (F.bit_count(F.col("t.fp").bitwiseXOR(F.col("p.fp"))) <= radius)
-    joined = keys(low, "t").join(keys(high, "p"), (F.col("t.key") == F.col("p.key")) & near)
+    few = exploded(keys(low), fps.count() * len(low))
+    joined = few.alias("t").join(keys(high).alias("p"), (F.col("t.key") == F.col("p.key")) & near)
     return joined.select(F.col("p.fp").alias("a"), F.col("t.fp").alias("b"))
 
 

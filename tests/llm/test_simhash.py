@@ -1,8 +1,10 @@
 import random
+import re
 
 import xxhash
 from llm_rows import documents
 
+from stratalake.llm import common
 from stratalake.llm.queries import op4_simhash
 from stratalake.llm.simhash import components, fingerprint, near_pairs
 
@@ -86,3 +88,14 @@ def test_query(spark, folder, clash):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
     assert op4_simhash(spark, folder(documents=documents(spark, []))).count() == 0
+
+
+def test_exploded_sides_are_not_broadcast_by_a_guess(spark, monkeypatch):
+    monkeypatch.setattr(common, "SMALL_ROWS", 100)
+    values = [(v * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63) for v in range(300)]
+    frame = spark.createDataFrame([(v,) for v in values + [values[0] ^ 1]], "fp long")
+    for bucket in (32, 1):
+        pairs = near_pairs(frame, bucket=bucket)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == (1 if bucket > 1 else 2) and not re.search("BroadcastHashJoin .*Inner", plan), plan
+        assert pairs.count() == 1
