@@ -222,7 +222,7 @@ def q_stage_move(layers: Layers) -> DataFrame:
 # --- gate -----------------------------------------------------------------------------
 
 # One required number, read from the props of the events; some of them are spoiled first.
-_PROPS = EntitySpec("event", "staging.event", "k variant", (scalar("k", "bigint"),))
+_PROPS = EntitySpec("event", "staging.event", "k {int}", (scalar("k", "bigint"),))
 
 _BAD = {
     WRONG_TYPE: "event_type = 'error' AND value >= 10",
